@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.session import shuffle_partitions
+from panelkit.session import materialize, shuffle_partitions
 
 _CONST_GROUP = "_pk_all"
 
@@ -37,10 +37,14 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def value_positions(df: DataFrame, groups: Sequence[str], value: str,
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Distinct (groups..., value) with ``_cnt`` (multiplicity), ``_start``
     (0-based position of the first occurrence, ascending, NULL last) and
-    ``_n`` (rows in the group)."""
+    ``_n`` (rows in the group).
+
+    The collapsed (group, value, count) table feeds three consumers (split
+    points, bucket totals, positions); it is checkpointed once so the input
+    is scanned and shuffled once."""
     g = list(groups)
     if not g:
         df = df.withColumn(_CONST_GROUP, F.lit(0))
@@ -50,6 +54,8 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
     accuracy = max(10000, 20 * nb)
 
     v = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    if checkpoint:
+        v = materialize(v)
     splits = v.groupBy(*g).agg(
         F.percentile_approx(value, fractions, accuracy).alias("_splits"))
     vb = (v.join(splits, g, "left")
@@ -57,10 +63,8 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
               F.col(value).isNull() | F.col("_splits").isNull(), F.lit(nb))
               .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
           .drop("_splits"))
-    within = (Window.partitionBy(*g, "_bucket").orderBy(F.asc_nulls_last(value))
-              .rowsBetween(Window.unboundedPreceding, -1))
-    vb = vb.withColumn("_before", F.coalesce(F.sum("_cnt").over(within), F.lit(0)))
-
+    # Bucket totals need no ordering: taken before the window, so the window
+    # over (group, bucket) runs once.
     totals = vb.groupBy(*g, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
     earlier = (Window.partitionBy(*g).orderBy("_bucket")
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -69,6 +73,10 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
         F.coalesce(F.sum("_bcnt").over(earlier), F.lit(0)).alias("_boff"),
         F.sum("_bcnt").over(Window.partitionBy(*g)).alias("_n"))
 
+    within = (Window.partitionBy(*g, "_bucket").orderBy(F.asc_nulls_last(value))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    vb = vb.withColumn("_before", F.coalesce(F.sum("_cnt").over(within), F.lit(0)))
+
     pos = vb.join(totals, [*g, "_bucket"]).select(
         *g, value, "_cnt", (F.col("_boff") + F.col("_before")).alias("_start"), "_n")
     if g == [_CONST_GROUP]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import round_half_up, row_mean
@@ -84,15 +84,22 @@ def net_change(panel: DataFrame, spec: PanelSpec, out: str = "net_change") -> Da
         (F.max_by(spec.score, spec.period) - F.min_by(spec.score, spec.period)).alias(out))
 
 
+def exact_mean(c: str) -> Column:
+    """Mean from an exact DECIMAL sum: the same value whatever the partitioning
+    or summation order (a double sum is not), so rounding it is reproducible."""
+    return F.sum(F.col(c).cast("decimal(38,6)")).cast("double") / F.count(c)
+
+
 def entity_profile(panel: DataFrame, spec: PanelSpec, digits: int = 2) -> DataFrame:
     """Score mean/std/min/max and the mean of each component per entity,
-    rounded (half up) to ``digits``."""
+    rounded (half up) to ``digits``. Means use :func:`exact_mean`, so a mean
+    sitting on a rounding half point always rounds the same way."""
     s = spec.score
     aggs = [
-        round_half_up(F.avg(s), digits).alias(f"{s}_mean"),
+        round_half_up(exact_mean(s), digits).alias(f"{s}_mean"),
         round_half_up(F.stddev_samp(s), digits).alias(f"{s}_std"),
         round_half_up(F.min(s), digits).alias(f"{s}_min"),
         round_half_up(F.max(s), digits).alias(f"{s}_max"),
     ]
-    aggs += [round_half_up(F.avg(c), digits).alias(f"{c}_mean") for c in spec.components]
+    aggs += [round_half_up(exact_mean(c), digits).alias(f"{c}_mean") for c in spec.components]
     return panel.groupBy(spec.entity).agg(*aggs)

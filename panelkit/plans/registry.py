@@ -13,10 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions import round_half_up
-from panelkit.operators.leaders import top_performers
-from panelkit.operators.panel import clean_panel, entity_summary, period_trends
-from panelkit.plans.bindings import NATION_SPEC, PART_SPEC, nation_panel, part_panel
-from panelkit.plans.oracle import nation_with, part_with, r6
+from panelkit.operators.leaders import (default_selection, latest_slice, most_improved,
+                                       top_performers)
+from panelkit.operators.panel import (clean_panel, entity_profile, entity_summary, net_change,
+                                     period_trends)
+from panelkit.operators.profile import (correlation_matrix, describe_numeric,
+                                        exploration_summary, filter_domain, domain_stride,
+                                        null_profile, period_bounds, record_counts,
+                                        table_schema)
+from panelkit.operators.quality import duplicate_check, null_check, quality_checks
+from panelkit.operators.reshape import component_matrix, unpivot_components
+from panelkit.operators.views import (kpis, view_distribution, view_heatmap, view_improvement,
+                                      view_ranking, view_time_series)
+from panelkit.plans.bindings import (NATION_SPEC, PART_SPEC, nation_panel, part_panel,
+                                     read_table)
+from panelkit.plans.oracle import nation_with, part_with, r2, r6
+from panelkit.session import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -37,11 +49,13 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def part_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_panel(part_panel(spark, sf), PART_SPEC)
+    """Raw panel and clean panel are stage tables (the reference materialises
+    both): each is computed once and read by every consumer downstream."""
+    return materialize(clean_panel(materialize(part_panel(spark, sf)), PART_SPEC))
 
 
 def nation_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_panel(nation_panel(spark, sf), NATION_SPEC)
+    return materialize(clean_panel(materialize(nation_panel(spark, sf)), NATION_SPEC))
 
 
 # --------------------------------------------------------------------------
@@ -100,3 +114,320 @@ def q_top_performers(spark, sf):
           + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("c.avg_score")))
 def q_top_performers_nation(spark, sf):
     return _r6(top_performers(nation_clean(spark, sf), NATION_SPEC), "avg_score")
+
+
+# --------------------------------------------------------------------------
+# Windows and slices: W1-W3, P11, A15, T6/T8, A20
+
+@register("lag_change", part_with() + """
+SELECT l_partkey, ship_year, revenue, score_change FROM clean""")
+def q_lag_change(spark, sf):
+    return part_clean(spark, sf).select("l_partkey", "ship_year", "revenue", "score_change")
+
+
+@register("yearly_rank", part_with() + """
+SELECT ship_year, l_partkey, revenue, yearly_rank FROM clean""")
+def q_yearly_rank(spark, sf):
+    return part_clean(spark, sf).select("ship_year", "l_partkey", "revenue", "yearly_rank")
+
+
+@register("latest_slice", part_with() + """
+SELECT * FROM clean WHERE ship_year = (SELECT MAX(ship_year) FROM clean)""")
+def q_latest_slice(spark, sf):
+    return latest_slice(part_clean(spark, sf), PART_SPEC)
+
+
+_NET_SQL = """
+net AS (
+  SELECT l_partkey, arg_max(revenue, ship_year) - arg_min(revenue, ship_year) AS net_change
+  FROM clean GROUP BY l_partkey
+)"""
+
+
+@register("net_change", part_with(_NET_SQL) + "\nSELECT * FROM net")
+def q_net_change(spark, sf):
+    return net_change(part_clean(spark, sf), PART_SPEC)
+
+
+@register("most_improved", part_with(_NET_SQL) + """
+SELECT * FROM net ORDER BY net_change DESC NULLS LAST, l_partkey LIMIT 5""")
+def q_most_improved(spark, sf):
+    return most_improved(part_clean(spark, sf), PART_SPEC)
+
+
+@register("entity_profile", part_with() + f"""
+SELECT l_partkey,
+  {r2('CAST(SUM(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) / COUNT(revenue)')} AS revenue_mean, {r2('STDDEV_SAMP(revenue)')} AS revenue_std,
+  {r2('MIN(revenue)')} AS revenue_min, {r2('MAX(revenue)')} AS revenue_max,
+  {r2('CAST(SUM(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) / COUNT(quantity)')} AS quantity_mean, {r2('CAST(SUM(CAST(discount AS DECIMAL(38,6))) AS DOUBLE) / COUNT(discount)')} AS discount_mean,
+  {r2('CAST(SUM(CAST(tax AS DECIMAL(38,6))) AS DOUBLE) / COUNT(tax)')} AS tax_mean, {r2('CAST(SUM(CAST(line_count AS DECIMAL(38,6))) AS DOUBLE) / COUNT(line_count)')} AS line_count_mean
+FROM clean GROUP BY l_partkey""")
+def q_entity_profile(spark, sf):
+    return entity_profile(part_clean(spark, sf), PART_SPEC)
+
+
+# --------------------------------------------------------------------------
+# Quality: A10, A11, A18, X3; counts A3/A9
+
+@register("quality_nulls", part_with() + """
+SELECT 'null_values' AS "check", COUNT(*) = 0 AS passed,
+  'Found ' || COUNT(*) || ' null values' AS details, COUNT(*) AS observed
+FROM clean WHERE revenue IS NULL""")
+def q_quality_nulls(spark, sf):
+    return null_check(part_clean(spark, sf), "revenue")
+
+
+@register("quality_duplicates", """
+SELECT 'duplicates' AS "check", COUNT(*) = 0 AS passed,
+  'Found ' || COUNT(*) || ' duplicate records' AS details, COUNT(*) AS observed,
+  CAST(COALESCE(SUM(cnt - 1), 0) AS BIGINT) AS excess_rows
+FROM (SELECT l_orderkey, l_linenumber, COUNT(*) AS cnt FROM lineitem
+      GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)""")
+def q_quality_duplicates(spark, sf):
+    return duplicate_check(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("quality_checks", part_with("""
+checks AS (
+  SELECT 'null_values' AS "check", COUNT(*) = 0 AS passed,
+    'Found ' || COUNT(*) || ' null values' AS details, COUNT(*) AS observed
+  FROM clean WHERE revenue IS NULL
+  UNION ALL
+  SELECT 'duplicates', COUNT(*) = 0, 'Found ' || COUNT(*) || ' duplicate records', COUNT(*)
+  FROM (SELECT l_partkey, ship_year FROM clean GROUP BY 1, 2 HAVING COUNT(*) > 1)
+)""") + """
+SELECT *, bool_and(passed) OVER () AS all_passed FROM checks""")
+def q_quality_checks(spark, sf):
+    return quality_checks(part_clean(spark, sf), PART_SPEC.score, PART_SPEC.key)
+
+
+@register("record_counts", part_with() + """
+SELECT 'clean_infrastructure' AS table_name, COUNT(*) AS record_count FROM clean
+UNION ALL SELECT 'country_summary', COUNT(DISTINCT l_partkey) FROM clean
+UNION ALL SELECT 'yearly_trends', COUNT(DISTINCT ship_year) FROM clean""")
+def q_record_counts(spark, sf):
+    clean = part_clean(spark, sf)
+    return record_counts({
+        "clean_infrastructure": clean,
+        "country_summary": entity_summary(clean, PART_SPEC),
+        "yearly_trends": period_trends(clean, PART_SPEC),
+    })
+
+
+# --------------------------------------------------------------------------
+# Profile: A12/P13, A13, A14, A21, A22/T9, A8, W4, X12
+
+@register("null_profile", part_with() + """
+SELECT column_name, null_count FROM (
+  SELECT 'l_partkey' AS column_name, COUNT(*) - COUNT(l_partkey) AS null_count FROM clean
+  UNION ALL SELECT 'ship_year', COUNT(*) - COUNT(ship_year) FROM clean
+  UNION ALL SELECT 'revenue', COUNT(*) - COUNT(revenue) FROM clean
+  UNION ALL SELECT 'quantity', COUNT(*) - COUNT(quantity) FROM clean
+  UNION ALL SELECT 'discount', COUNT(*) - COUNT(discount) FROM clean
+  UNION ALL SELECT 'tax', COUNT(*) - COUNT(tax) FROM clean
+  UNION ALL SELECT 'line_count', COUNT(*) - COUNT(line_count) FROM clean
+  UNION ALL SELECT 'avg_resilience', COUNT(*) - COUNT(avg_resilience) FROM clean
+  UNION ALL SELECT 'score_change', COUNT(*) - COUNT(score_change) FROM clean
+  UNION ALL SELECT 'yearly_rank', COUNT(*) - COUNT(yearly_rank) FROM clean
+) WHERE null_count > 0""")
+def q_null_profile(spark, sf):
+    return null_profile(part_clean(spark, sf))
+
+
+_LINEITEM_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                     "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _describe_sql(cols) -> str:
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {r6(f'AVG({x})')} AS mean, "
+            f"{r6(f'STDDEV_SAMP({x})')} AS std, MIN({x}) AS min, "
+            f"{r6(f'quantile_cont({x}, 0.25)')} AS p25, {r6(f'quantile_cont({x}, 0.5)')} AS p50, "
+            f"{r6(f'quantile_cont({x}, 0.75)')} AS p75, MAX({x}) AS max FROM lineitem")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("describe_numeric", _describe_sql(_LINEITEM_NUMERIC))
+def q_describe_numeric(spark, sf):
+    d = describe_numeric(read_table(spark, sf, "lineitem"), _LINEITEM_NUMERIC)
+    return _r6(d, "mean", "std", "p25", "p50", "p75")
+
+
+def _corr_sql(cols, src) -> str:
+    parts = []
+    for a in cols:
+        for b in cols:
+            parts.append(
+                f"SELECT '{a}' AS var_x, '{b}' AS var_y, "
+                f"{r6(f'COVAR_SAMP({a}, {b}) / NULLIF(STDDEV_SAMP({a}) * STDDEV_SAMP({b}), 0)')}"
+                f" AS corr FROM {src} WHERE {a} IS NOT NULL AND {b} IS NOT NULL")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("correlation_matrix", part_with(
+    "latest AS (SELECT * FROM clean WHERE ship_year = (SELECT MAX(ship_year) FROM clean))")
+    + "\n" + _corr_sql(PART_SPEC.components, "latest"))
+def q_correlation_matrix(spark, sf):
+    latest = latest_slice(part_clean(spark, sf), PART_SPEC)
+    return _r6(correlation_matrix(latest, PART_SPEC.components), "corr")
+
+
+@register("table_schema", """
+SELECT 'lineitem' AS table_name, column_name, CAST(ordinal_position AS BIGINT) AS position,
+  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+    WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,
+  (SELECT COUNT(*) FROM lineitem) AS num_rows,
+  (SELECT COUNT(*) FROM information_schema.columns WHERE table_name = 'lineitem') AS num_columns
+FROM information_schema.columns WHERE table_name = 'lineitem'""")
+def q_table_schema(spark, sf):
+    return table_schema(read_table(spark, sf, "lineitem"), "lineitem")
+
+
+@register("filter_domain", part_with() + """
+SELECT DISTINCT l_partkey FROM clean WHERE l_partkey IS NOT NULL""")
+def q_filter_domain(spark, sf):
+    return filter_domain(part_clean(spark, sf), "l_partkey")
+
+
+@register("period_bounds", part_with() + """
+SELECT MIN(ship_year) AS first_period, MAX(ship_year) AS last_period FROM clean""")
+def q_period_bounds(spark, sf):
+    return period_bounds(part_clean(spark, sf), PART_SPEC)
+
+
+@register("domain_stride", part_with() + """
+SELECT ship_year, CAST((i - 1) / 2 AS BIGINT) AS mark FROM (
+  SELECT ship_year, ROW_NUMBER() OVER (ORDER BY ship_year) AS i
+  FROM (SELECT DISTINCT ship_year FROM clean WHERE ship_year IS NOT NULL))
+WHERE (i - 1) % 2 = 0""")
+def q_domain_stride(spark, sf):
+    return domain_stride(part_clean(spark, sf), "ship_year", 2)
+
+
+@register("exploration_summary", part_with(_NET_SQL) + """
+SELECT MIN(ship_year) AS first_period, MAX(ship_year) AS last_period,
+  COUNT(DISTINCT l_partkey) AS num_entities, COUNT(*) AS total_records,
+  (SELECT l_partkey FROM clean WHERE ship_year = (SELECT MAX(ship_year) FROM clean)
+   ORDER BY revenue DESC NULLS LAST, l_partkey LIMIT 1) AS top_performer,
+  (SELECT l_partkey FROM net ORDER BY net_change DESC NULLS LAST, l_partkey LIMIT 1)
+    AS most_improved
+FROM clean""")
+def q_exploration_summary(spark, sf):
+    return exploration_summary(part_clean(spark, sf), PART_SPEC)
+
+
+# --------------------------------------------------------------------------
+# Dashboard views X6-X11, T10, reshape R1-R3
+
+_TOP5_SQL = _SUMMARY_SQL.format(e="l_partkey", p="ship_year") + """,
+top AS (""" + _TOP_SQL.format(e="l_partkey", p="ship_year", avg="c.avg_score") + """),
+sel AS (SELECT l_partkey FROM top ORDER BY latest_score DESC NULLS LAST, l_partkey LIMIT 5)"""
+
+
+def _part_top(spark, sf):
+    clean = part_clean(spark, sf)
+    return clean, top_performers(clean, PART_SPEC)
+
+
+@register("default_selection", part_with(_TOP5_SQL.replace(
+    "sel AS (SELECT l_partkey FROM top",
+    "sel AS (SELECT l_partkey, CAST(ROW_NUMBER() OVER (ORDER BY latest_score DESC NULLS LAST,"
+    " l_partkey) AS BIGINT) AS position FROM top")) + "\nSELECT * FROM sel")
+def q_default_selection(spark, sf):
+    return default_selection(_part_top(spark, sf)[1], PART_SPEC)
+
+
+@register("kpis", part_with(_TOP5_SQL) + """
+SELECT COUNT(DISTINCT l_partkey) AS countries_analyzed,
+  """ + r6("AVG(revenue)") + """ AS avg_score, COUNT(*) AS data_points,
+  (SELECT l_partkey FROM top ORDER BY latest_score DESC NULLS LAST, l_partkey LIMIT 1)
+    AS top_performer,
+  format('{:,}', COUNT(*)) AS data_points_text
+FROM clean""")
+def q_kpis(spark, sf):
+    clean, top = _part_top(spark, sf)
+    # avg_score_text (Python ``:.1f``) is checked in the unit tests; the
+    # oracle compares the rounded number.
+    return _r6(kpis(clean, top, PART_SPEC).drop("avg_score_text"), "avg_score")
+
+
+@register("view_time_series", part_with(_TOP5_SQL) + """
+SELECT l_partkey, ship_year, revenue FROM clean
+WHERE l_partkey IN (SELECT l_partkey FROM sel) AND ship_year BETWEEN 1997 AND 2000""")
+def q_view_time_series(spark, sf):
+    clean, top = _part_top(spark, sf)
+    return view_time_series(clean, PART_SPEC, default_selection(top, PART_SPEC), 1997, 2000)
+
+
+@register("view_ranking", part_with() + """
+SELECT l_partkey, ship_year, revenue FROM clean WHERE ship_year = 1998
+ORDER BY revenue DESC NULLS LAST, l_partkey LIMIT 10""")
+def q_view_ranking(spark, sf):
+    return view_ranking(part_clean(spark, sf), PART_SPEC, 1998, 10)
+
+
+@register("view_heatmap", part_with(_TOP5_SQL) + f"""
+SELECT l_partkey, {r6('AVG(quantity)')} AS quantity, {r6('AVG(discount)')} AS discount,
+  {r6('AVG(tax)')} AS tax, {r6('AVG(line_count)')} AS line_count
+FROM clean WHERE l_partkey IN (SELECT l_partkey FROM sel) GROUP BY l_partkey""")
+def q_view_heatmap(spark, sf):
+    clean, top = _part_top(spark, sf)
+    h = view_heatmap(clean, PART_SPEC, default_selection(top, PART_SPEC))
+    return _r6(h, *PART_SPEC.components)
+
+
+@register("view_improvement", part_with(_TOP5_SQL) + """
+SELECT l_partkey, score_improvement FROM summary
+WHERE l_partkey IN (SELECT l_partkey FROM sel)""")
+def q_view_improvement(spark, sf):
+    clean, top = _part_top(spark, sf)
+    return view_improvement(entity_summary(clean, PART_SPEC), PART_SPEC,
+                            default_selection(top, PART_SPEC))
+
+
+def _box_sql(cols, period) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""
+SELECT '{c}' AS variable, COUNT(v) AS n, MIN(v) AS min, {r6('q1')} AS q1, {r6('med')} AS median,
+  {r6('q3')} AS q3, MAX(v) AS max,
+  MIN(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1)) AS lower_fence,
+  MAX(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1)) AS upper_fence,
+  COUNT(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM (SELECT {c} AS v FROM clean WHERE ship_year = {period} AND {c} IS NOT NULL),
+  (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS med,
+          quantile_cont({c}, 0.75) AS q3 FROM clean WHERE ship_year = {period})
+GROUP BY q1, med, q3""")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("view_distribution", part_with() + _box_sql(PART_SPEC.components, 1998))
+def q_view_distribution(spark, sf):
+    return _r6(view_distribution(part_clean(spark, sf), PART_SPEC, 1998), "q1", "median", "q3")
+
+
+@register("unpivot_components", part_with() + """
+SELECT l_partkey, ship_year, variable, value,
+  CASE variable WHEN 'quantity' THEN 'Quantity' WHEN 'discount' THEN 'Discount'
+    WHEN 'tax' THEN 'Tax' WHEN 'line_count' THEN 'Lines' END AS label
+FROM (UNPIVOT (SELECT l_partkey, ship_year, quantity, discount, tax, line_count FROM clean)
+      ON quantity, discount, tax, line_count INTO NAME variable VALUE value)""")
+def q_unpivot_components(spark, sf):
+    return unpivot_components(part_clean(spark, sf), PART_SPEC)
+
+
+@register("component_matrix", nation_with(
+    "latest AS (SELECT * FROM clean WHERE order_year = (SELECT MAX(order_year) FROM clean))") + """
+PIVOT (UNPIVOT (SELECT n_name, quantity, discount, tax, line_count FROM latest)
+       ON quantity, discount, tax, line_count INTO NAME variable VALUE value)
+ON n_name USING first(value) GROUP BY variable""")
+def q_component_matrix(spark, sf):
+    latest = latest_slice(nation_clean(spark, sf), NATION_SPEC)
+    # The nation dimension bounds the column count (25); Spark finds the
+    # distinct names itself (capped by spark.sql.pivotMaxValues).
+    long = component_matrix(latest, NATION_SPEC)
+    return long.groupBy("variable").pivot("n_name").agg(F.first("value"))

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -84,3 +85,12 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary: write the frame once to the shared
+    checkpoint folder and read it back (a reliable checkpoint, so it survives
+    executor loss; never ``localCheckpoint``). Use where a result feeds
+    several consumers, as the reference materialises each stage as a table."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
