@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.functions import round_half_up
 from panelkit.operators.leaders import (default_selection, latest_slice, most_improved,
@@ -27,8 +28,14 @@ from panelkit.operators.views import (kpis, view_distribution, view_heatmap, vie
                                       view_ranking, view_time_series)
 from panelkit.plans.bindings import (NATION_SPEC, PART_SPEC, nation_panel, part_panel,
                                      read_table)
-from panelkit.plans.oracle import nation_with, part_with, r2, r6
-from panelkit.session import materialize
+from panelkit.plans.oracle import NATION_PANEL, PART_PANEL, nation_with, part_with, r2, r6
+from panelkit.session import materialize, scratch_path
+from panelkit.sources.catalog import catalog_totals, data_catalog
+from panelkit.sources.files import panel_schema, read_csv, read_csv_tagged
+from panelkit.sources.grid import panel_grid
+from panelkit.sources.indicator import encode_envelopes, read_indicator_payloads
+from panelkit.sources.sinks import publish_gold, write_csv, write_parquet
+from panelkit.spec import REFERENCE_SPEC
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -431,3 +438,149 @@ def q_component_matrix(spark, sf):
     # distinct names itself (capped by spark.sql.pivotMaxValues).
     long = component_matrix(latest, NATION_SPEC)
     return long.groupBy("variable").pivot("n_name").agg(F.first("value"))
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks: S1-S3, S5, S6-S12, X4, A19. Each writes data derived
+# from the driver tables to a fresh folder under the shared checkpoint folder
+# and reads it back.
+
+_PART_PANEL_SELECT = """
+SELECT l_partkey, ship_year, revenue, quantity, discount, tax, line_count FROM panel"""
+
+
+@register("scan_csv_roundtrip", "WITH " + PART_PANEL + _PART_PANEL_SELECT)
+def q_scan_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "panel-csv")
+    write_csv(part_panel(spark, sf), path)
+    return read_csv(spark, path, panel_schema(PART_SPEC, T.LongType()))
+
+
+@register("scan_glob_tagged", "WITH " + NATION_PANEL + """
+SELECT 'raw_' || variable AS source, n_name, order_year, value
+FROM (UNPIVOT (SELECT n_name, order_year, quantity, discount, tax, line_count FROM panel)
+      ON quantity, discount, tax, line_count INTO NAME variable VALUE value)""")
+def q_scan_glob_tagged(spark, sf):
+    base = scratch_path(spark, "landing")
+    long = nation_panel(spark, sf).unpivot(["n_name", "order_year"], list(NATION_SPEC.components),
+                                           "indicator", "value")
+    long.write.mode("overwrite").partitionBy("indicator").option("header", True).csv(base)
+    schema = T.StructType([T.StructField("n_name", T.StringType()),
+                           T.StructField("order_year", T.LongType()),
+                           T.StructField("value", T.DoubleType())])
+    df = read_csv_tagged(spark, f"{base}/indicator=*/*.csv", schema,
+                         tag_regex=r"indicator=([^/]+)/")
+    return df.select("source", "n_name", "order_year", "value")
+
+
+def _payload_rows(spark, sf):
+    p = part_panel(spark, sf)
+    idv = lambda i, v: F.struct(i.alias("id"), v.alias("value"))
+    return p.select(
+        F.col("l_partkey"),
+        idv(F.lit("REVENUE"), F.lit("revenue")).alias("indicator"),
+        idv(F.col("l_partkey").cast("string"),
+            F.concat(F.lit("part "), F.col("l_partkey").cast("string"))).alias("country"),
+        F.format_string("P%07d", F.col("l_partkey")).alias("countryiso3code"),
+        F.col("ship_year").cast("string").alias("date"),
+        F.col("revenue").alias("value"),
+        F.lit("").alias("unit"), F.lit("").alias("obs_status"), F.lit(0).cast("bigint").alias("decimal"))
+
+
+@register("indicator_flatten", "WITH " + PART_PANEL + """
+SELECT 'REVENUE' AS indicator_id, 'revenue' AS indicator_name,
+  CAST(l_partkey AS VARCHAR) AS country_id, 'part ' || CAST(l_partkey AS VARCHAR) AS country,
+  'P' || lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS iso3, ship_year AS year, revenue AS value
+FROM panel""")
+def q_indicator_flatten(spark, sf):
+    path = scratch_path(spark, "payloads")
+    env = encode_envelopes(_payload_rows(spark, sf), "l_partkey")
+    # The API's empty answers: element 1 null, empty, or absent -> no rows.
+    edge = spark.createDataFrame([('[{"page":0}, null]',), ('[{"page":0}, []]',),
+                                  ('[{"message":"invalid"}]',)], "value string")
+    env.unionByName(edge).write.mode("overwrite").text(path)
+    return read_indicator_payloads(spark, path, wholetext=False)
+
+
+_GRID_SPEC = REFERENCE_SPEC.with_(entity="p_partkey")
+
+
+@register("panel_grid", """
+SELECT p_partkey, CAST(y AS BIGINT) AS year,
+  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) AS infrastructure_score,
+  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + 5.0 AS transport_resilience,
+  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + -5.0 AS energy_resilience,
+  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + 2.0 AS water_resilience,
+  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + 10.0 AS digital_resilience
+FROM part CROSS JOIN range(2010, 2024) t(y)""")
+def q_panel_grid(spark, sf):
+    ents = read_table(spark, sf, "part").select(
+        "p_partkey", (F.col("p_partkey") - 1).alias("idx"))
+    return panel_grid(ents, _GRID_SPEC, 2010, 2023)
+
+
+@register("sink_parquet_roundtrip", part_with() + "\nSELECT * FROM clean")
+def q_sink_parquet_roundtrip(spark, sf):
+    path = scratch_path(spark, "clean-parquet")
+    write_parquet(part_clean(spark, sf), path, partition_by=["ship_year"],
+                  sort_within=["l_partkey"])
+    cols = part_clean_columns()
+    return spark.read.parquet(path).select(*cols)
+
+
+def part_clean_columns() -> list[str]:
+    s = PART_SPEC
+    return [*s.columns, s.component_mean, s.change, s.rank]
+
+
+@register("sink_csv_roundtrip", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year")) + f"""
+SELECT l_partkey, first_year, last_year, num_years, {r6('avg_score')} AS avg_score,
+  min_score, max_score, score_improvement, {r6('avg_yearly_change')} AS avg_yearly_change
+FROM summary""")
+def q_sink_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "summary-csv")
+    summary = q_country_summary(spark, sf)
+    write_csv(summary, path, sort_within=["l_partkey"])
+    return read_csv(spark, path, summary.schema)
+
+
+@register("run_metadata", part_with() + """
+SELECT 'clean_infrastructure' AS table_name, COUNT(*) AS record_count, TRUE AS created FROM clean
+UNION ALL SELECT 'country_summary', COUNT(DISTINCT l_partkey), TRUE FROM clean
+UNION ALL SELECT 'yearly_trends', COUNT(DISTINCT ship_year), TRUE FROM clean""")
+def q_run_metadata(spark, sf):
+    out = scratch_path(spark, "gold")
+    clean = part_clean(spark, sf)
+    meta = publish_gold(spark, {
+        "clean_infrastructure": clean,
+        "country_summary": entity_summary(clean, PART_SPEC),
+        "yearly_trends": period_trends(clean, PART_SPEC),
+    }, out, formats=("parquet",))
+    return meta.select(F.explode("record_counts").alias("table_name", "record_count"),
+                       "tables_created").select(
+        "table_name", F.col("record_count").cast("bigint").alias("record_count"),
+        F.array_contains("tables_created", F.col("table_name")).alias("created"))
+
+
+def _landing_catalog(spark, sf):
+    """A landing folder shaped like the reference's raw folder: one CSV
+    dataset per indicator plus the panel, written from the driver tables."""
+    base = scratch_path(spark, "raw")
+    panel = nation_panel(spark, sf)
+    write_csv(panel, f"{base}/infrastructure_scores")
+    long = panel.unpivot(["n_name", "order_year"], list(NATION_SPEC.components),
+                         "indicator", "value")
+    long.write.mode("overwrite").partitionBy("indicator").option("header", True).csv(
+        f"{base}/indicators")
+    return data_catalog(spark, base, "*.csv")
+
+
+@register("data_catalog")
+def q_data_catalog(spark, sf):
+    # Sizes and modification times are file-system facts: no SQL oracle.
+    return _landing_catalog(spark, sf).drop("path")
+
+
+@register("catalog_totals")
+def q_catalog_totals(spark, sf):
+    return catalog_totals(_landing_catalog(spark, sf))
