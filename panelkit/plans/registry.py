@@ -29,7 +29,7 @@ from panelkit.operators.views import (kpis, view_distribution, view_heatmap, vie
 from panelkit.plans.bindings import (NATION_SPEC, PART_SPEC, nation_panel, part_panel,
                                      read_table)
 from panelkit.plans.oracle import NATION_PANEL, PART_PANEL, nation_with, part_with, r2, r6
-from panelkit.session import materialize, scratch_path
+from panelkit.session import scratch_path, stage_table
 from panelkit.sources.catalog import catalog_totals, data_catalog
 from panelkit.sources.files import panel_schema, read_csv, read_csv_tagged
 from panelkit.sources.grid import panel_grid
@@ -55,14 +55,32 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: round_half_up(c, 6) for c in cols})
 
 
+def _inputs(sf: str, *tables: str) -> list[str]:
+    return [f"{sf.rstrip('/')}/{t}.parquet" for t in tables]
+
+
+def part_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_table(spark, f"part_panel:{sf}", lambda: part_panel(spark, sf),
+                       _inputs(sf, "lineitem"))
+
+
 def part_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Raw panel and clean panel are stage tables (the reference materialises
     both): each is computed once and read by every consumer downstream."""
-    return materialize(clean_panel(materialize(part_panel(spark, sf)), PART_SPEC))
+    raw = part_raw(spark, sf)
+    return stage_table(spark, f"part_clean:{sf}", lambda: clean_panel(raw, PART_SPEC),
+                       _inputs(sf, "lineitem"))
+
+
+def nation_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_table(spark, f"nation_panel:{sf}", lambda: nation_panel(spark, sf),
+                       _inputs(sf, "lineitem", "orders", "customer", "nation"))
 
 
 def nation_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(clean_panel(materialize(nation_panel(spark, sf)), NATION_SPEC))
+    raw = nation_raw(spark, sf)
+    return stage_table(spark, f"nation_clean:{sf}", lambda: clean_panel(raw, NATION_SPEC),
+                       _inputs(sf, "lineitem", "orders", "customer", "nation"))
 
 
 # --------------------------------------------------------------------------
@@ -452,7 +470,7 @@ SELECT l_partkey, ship_year, revenue, quantity, discount, tax, line_count FROM p
 @register("scan_csv_roundtrip", "WITH " + PART_PANEL + _PART_PANEL_SELECT)
 def q_scan_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "panel-csv")
-    write_csv(part_panel(spark, sf), path)
+    write_csv(part_raw(spark, sf), path)
     return read_csv(spark, path, panel_schema(PART_SPEC, T.LongType()))
 
 
@@ -462,7 +480,7 @@ FROM (UNPIVOT (SELECT n_name, order_year, quantity, discount, tax, line_count FR
       ON quantity, discount, tax, line_count INTO NAME variable VALUE value)""")
 def q_scan_glob_tagged(spark, sf):
     base = scratch_path(spark, "landing")
-    long = nation_panel(spark, sf).unpivot(["n_name", "order_year"], list(NATION_SPEC.components),
+    long = nation_raw(spark, sf).unpivot(["n_name", "order_year"], list(NATION_SPEC.components),
                                            "indicator", "value")
     long.write.mode("overwrite").partitionBy("indicator").option("header", True).csv(base)
     schema = T.StructType([T.StructField("n_name", T.StringType()),
@@ -474,7 +492,7 @@ def q_scan_glob_tagged(spark, sf):
 
 
 def _payload_rows(spark, sf):
-    p = part_panel(spark, sf)
+    p = part_raw(spark, sf)
     idv = lambda i, v: F.struct(i.alias("id"), v.alias("value"))
     return p.select(
         F.col("l_partkey"),
@@ -566,7 +584,7 @@ def _landing_catalog(spark, sf):
     """A landing folder shaped like the reference's raw folder: one CSV
     dataset per indicator plus the panel, written from the driver tables."""
     base = scratch_path(spark, "raw")
-    panel = nation_panel(spark, sf)
+    panel = nation_raw(spark, sf)
     write_csv(panel, f"{base}/infrastructure_scores")
     long = panel.unpivot(["n_name", "order_year"], list(NATION_SPEC.components),
                          "indicator", "value")

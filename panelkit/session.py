@@ -88,9 +88,42 @@ def env_int(name: str, default: int) -> int:
 
 
 def materialize(df):
-    """Cut lineage at a stage boundary: write the frame once to the shared
-    checkpoint folder and read it back (a reliable checkpoint, so it survives
-    executor loss; never ``localCheckpoint``). Use where a result feeds
-    several consumers, as the reference materialises each stage as a table."""
+    """Cut lineage at a stage boundary: a reliable checkpoint in the shared
+    checkpoint folder (survives executor loss; never ``localCheckpoint``).
+    The frame is persisted first so the checkpoint write reads the computed
+    partitions instead of running the plan a second time."""
+    from pyspark import StorageLevel
+
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
+
+
+_STAGES: dict = {}
+
+
+def _fingerprint(paths) -> tuple:
+    out = []
+    for p in paths:
+        lp = local_path(p)
+        try:
+            st = os.stat(lp)
+            out.append((p, st.st_mtime_ns, st.st_size))
+        except OSError:
+            out.append((p, None, None))
+    return tuple(out)
+
+
+def stage_table(spark: SparkSession, name: str, build, inputs=()):
+    """A stage table (the reference's ``CREATE OR REPLACE TABLE``): built and
+    materialised once per Spark application and input state, then read by
+    every later query of the session. ``inputs`` are the files it derives
+    from; a changed input rebuilds it."""
+    key = (spark.sparkContext.applicationId, name, _fingerprint(inputs))
+    df = _STAGES.get(key)
+    if df is None:
+        df = materialize(build())
+        _STAGES[key] = df
+    return df
