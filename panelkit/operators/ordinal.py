@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,20 +43,21 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
     (0-based position of the first occurrence, ascending, NULL last) and
     ``_n`` (rows in the group).
 
-    The collapsed (group, value, count) table feeds three consumers (split
-    points, bucket totals, positions); it is checkpointed once so the input
-    is scanned and shuffled once."""
+    The bucketed (group, value, count, bucket) table feeds two consumers
+    (bucket totals, positions); it is checkpointed, so the input is scanned
+    and shuffled once and the split sketch is built once."""
     g = list(groups)
     if not g:
         df = df.withColumn(_CONST_GROUP, F.lit(0))
         g = [_CONST_GROUP]
     nb = buckets or default_buckets(df)
     fractions = [i / nb for i in range(1, nb)]
-    accuracy = max(10000, 20 * nb)
+    # Rank error of the split sketch ~ a quarter of a bucket: balance only.
+    accuracy = max(1000, 4 * nb)
 
     v = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt"))
     if checkpoint:
-        v = materialize(v)
+        v = v.persist(StorageLevel.MEMORY_AND_DISK)
     splits = v.groupBy(*g).agg(
         F.percentile_approx(value, fractions, accuracy).alias("_splits"))
     vb = (v.join(splits, g, "left")
@@ -63,6 +65,12 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
               F.col(value).isNull() | F.col("_splits").isNull(), F.lit(nb))
               .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
           .drop("_splits"))
+    if checkpoint:
+        # One job: the collapsed table is computed once (cached), the split
+        # sketch once; both consumers below read the checkpointed buckets.
+        vb = materialize(vb)
+        v.unpersist()
+
     # Bucket totals need no ordering: taken before the window, so the window
     # over (group, bucket) runs once.
     totals = vb.groupBy(*g, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
