@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.functions import safe_corr
 from panelkit.operators.leaders import latest_slice, top_n
-from panelkit.operators.ordinal import exact_quantiles
+from panelkit.operators.ordinal import exact_quantiles, value_positions
 from panelkit.operators.panel import net_change
 from panelkit.spec import PanelSpec
 
@@ -121,13 +121,12 @@ def period_bounds(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def domain_stride(df: DataFrame, column: str, step: int = 2) -> DataFrame:
     """Every ``step``-th value of the sorted distinct domain (slider
-    marks). Meant for a bounded domain such as periods: the numbering window
-    runs over the distinct values only."""
-    dom = filter_domain(df, column)
-    w = Window.orderBy(F.asc_nulls_last(column))
-    return (dom.withColumn("_i", F.row_number().over(w) - 1)
-            .where(F.col("_i") % step == 0)
-            .select(column, (F.col("_i") / step).cast("bigint").alias("mark")))
+    marks), with its mark number. The position of each distinct value comes
+    from the bucketed ordinal helper, so even a huge domain is numbered in
+    parallel (no global ``row_number`` window in one task)."""
+    pos = value_positions(filter_domain(df, column), [], column)
+    return (pos.where(F.col("_start") % step == 0)
+            .select(column, (F.col("_start") / step).cast("bigint").alias("mark")))
 
 
 def _one(df: DataFrame) -> DataFrame:

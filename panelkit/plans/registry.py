@@ -585,11 +585,12 @@ def _landing_catalog(spark, sf):
     dataset per indicator plus the panel, written from the driver tables."""
     base = scratch_path(spark, "raw")
     panel = nation_raw(spark, sf)
-    write_csv(panel, f"{base}/infrastructure_scores")
+    # The nation panel is bounded (nations x years): one file per dataset.
+    write_csv(panel, f"{base}/infrastructure_scores", single_file=True)
     long = panel.unpivot(["n_name", "order_year"], list(NATION_SPEC.components),
                          "indicator", "value")
-    long.write.mode("overwrite").partitionBy("indicator").option("header", True).csv(
-        f"{base}/indicators")
+    (long.repartition("indicator").write.mode("overwrite").partitionBy("indicator")
+     .option("header", True).csv(f"{base}/indicators"))
     return data_catalog(spark, base, "*.csv")
 
 
