@@ -67,8 +67,12 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         F.min(F.col(c).cast("double")).alias(f"{c}__min"),
         F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
     moments = _stack(moments, cols, ["count", "mean", "std", "min", "max"], "column_name")
-    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols],
-                      "column_name", "value")
+    # Long form as a union of one-column projections rather than an unpivot:
+    # each branch scans only its column, and the branches' tasks run side by
+    # side (an unpivot multiplies every row inside the scan's few tasks).
+    long = reduce(DataFrame.unionByName, [
+        df.select(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+        for c in cols])
     qs = exact_quantiles(long, ["column_name"], "value", (0.25, 0.5, 0.75),
                          ("p25", "p50", "p75"))
     return (moments.join(qs, "column_name", "left")
