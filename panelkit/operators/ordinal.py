@@ -112,10 +112,18 @@ def competition_rank(df: DataFrame, groups: Sequence[str], score: str, out: str,
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str,
                     qs: Sequence[float], names: Sequence[str],
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, approx: bool = False,
+                    accuracy: int = 10000) -> DataFrame:
     """Exact quantiles with linear interpolation between closest ranks
     (pandas ``describe``, DuckDB ``quantile_cont``, Spark ``percentile``),
-    NULL values ignored. One row per group that has a non-NULL value."""
+    NULL values ignored. One row per group that has a non-NULL value.
+
+    ``approx=True`` trades exactness for one mergeable-sketch aggregation
+    (``percentile_approx``: nearest-rank values, rank error 1/accuracy)."""
+    if approx:
+        pa = F.percentile_approx(F.col(value).cast("double"), list(qs), accuracy)
+        agg = df.where(F.col(value).isNotNull()).groupBy(*groups).agg(pa.alias("_q"))
+        return agg.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     nn = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias(value))
     pos = value_positions(nn, groups, value, buckets)
     start, cnt, n = F.col("_start"), F.col("_cnt"), F.col("_n")

@@ -52,13 +52,15 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None,
     return out.where(F.col("null_count") > 0) if only_missing else out
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
+                     approx: bool = False) -> DataFrame:
     """Pandas ``describe()`` per numeric column, long form: count, mean,
     std (sample), min, 25/50/75 % (exact, linear interpolation), max.
 
     Moments come from one wide aggregation; the quartiles from the skew-proof
     ordinal machinery over the long (column_name, value) form - never one
-    task per column."""
+    task per column. ``approx=True``: sketch quartiles (one pass, no shuffle
+    of values)."""
     cols = list(columns or numeric_columns(df))
     moments = df.agg(*[e for c in cols for e in (
         F.count(c).cast("bigint").alias(f"{c}__count"),
@@ -74,7 +76,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         df.select(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
         for c in cols])
     qs = exact_quantiles(long, ["column_name"], "value", (0.25, 0.5, 0.75),
-                         ("p25", "p50", "p75"))
+                         ("p25", "p50", "p75"), approx=approx)
     return (moments.join(qs, "column_name", "left")
             .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 

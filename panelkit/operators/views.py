@@ -31,11 +31,14 @@ def select_entities(df: DataFrame, spec: PanelSpec, selection: Selection,
     return df.where(F.col(spec.entity).isin(list(selection)))
 
 
-def kpis(clean: DataFrame, top: DataFrame, spec: PanelSpec) -> DataFrame:
+def kpis(clean: DataFrame, top: DataFrame, spec: PanelSpec, approx: bool = False) -> DataFrame:
     """Entities analysed, mean score (and its ``:.1f`` text), the first top
-    performer, data points (and its ``:,`` text) - one row."""
+    performer, data points (and its ``:,`` text) - one row. ``approx`` counts
+    entities with a HyperLogLog++ sketch."""
+    distinct = (F.approx_count_distinct(spec.entity) if approx
+                else F.count_distinct(spec.entity))
     stats = clean.agg(
-        F.count_distinct(spec.entity).cast("bigint").alias("countries_analyzed"),
+        distinct.cast("bigint").alias("countries_analyzed"),
         F.avg(spec.score).alias("avg_score"),
         F.count(F.lit(1)).cast("bigint").alias("data_points"))
     best = top_n(top, "latest_score", spec.entity, 1).select(
@@ -72,13 +75,15 @@ def view_improvement(summary: DataFrame, spec: PanelSpec, selection: Selection)
             .orderBy(F.asc_nulls_last("score_improvement"), F.asc_nulls_last(spec.entity)))
 
 
-def box_summary(long: DataFrame, group: str = "variable", value: str = "value") -> DataFrame:
+def box_summary(long: DataFrame, group: str = "variable", value: str = "value",
+                approx: bool = False) -> DataFrame:
     """Per group min, quartiles (exact, linear), max, IQR fences = the most
     extreme values within 1.5 IQR of the box, and the outlier count.
     Quartiles use the skew-proof ordinal machinery; the fences are a second,
     conditional aggregation against the per-group quartiles (one row per
     group, broadcast: the number of components bounds it)."""
-    q = exact_quantiles(long, [group], value, (0.25, 0.5, 0.75), ("q1", "median", "q3"))
+    q = exact_quantiles(long, [group], value, (0.25, 0.5, 0.75), ("q1", "median", "q3"),
+                        approx=approx)
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     v = F.col(value)

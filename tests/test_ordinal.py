@@ -79,3 +79,13 @@ def test_quantiles_small_groups(spark):
     assert got[1] == (1.75, 2.5, 4.75)   # pandas / DuckDB, not nearest rank
     assert got[2] == (5.0, 5.0, 5.0)
     assert 3 not in got
+
+
+def test_approx_variants_close(spark):
+    from panelkit.operators.profile import describe_numeric
+    from panelkit.sources.grid import reference_panel
+    p = reference_panel(spark)
+    ex = {r.column_name: r for r in describe_numeric(p, ["infrastructure_score"]).collect()}
+    ap = {r.column_name: r for r in describe_numeric(p, ["infrastructure_score"], approx=True).collect()}
+    for q in ("p25", "p50", "p75"):
+        assert abs(ex["infrastructure_score"][q] - ap["infrastructure_score"][q]) <= 1.0
