@@ -15,12 +15,12 @@ def latest_period(df: DataFrame, spec: PanelSpec, out: str = "_latest") -> DataF
 
 
 def latest_slice(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Rows of the latest period. The one-row max is broadcast (size
-    bound: one row), so the panel is never shuffled for it; when the panel is
-    stored partitioned by period, dynamic partition pruning reads one folder."""
-    mx = latest_period(df, spec)
-    return (df.join(F.broadcast(mx), F.col(spec.period) == F.col("_latest"))
-            .drop("_latest"))
+    """P11 + J2: rows of the latest period, ``WHERE period = (SELECT MAX(period))``.
+    The scalar subquery runs once before the scan; on a table stored
+    ``partitionBy(period)`` it is a partition filter, so only the latest
+    period's folder is read. No join and no shuffle of the panel."""
+    latest = latest_period(df, spec).scalar()
+    return df.where(F.col(spec.period) == latest)
 
 
 def top_n(df: DataFrame, by: str, tie: str, n: int, ascending: bool = False) -> DataFrame:
