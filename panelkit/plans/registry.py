@@ -33,7 +33,8 @@ from panelkit.session import scratch_path, stage_table
 from panelkit.sources.catalog import catalog_totals, data_catalog
 from panelkit.sources.files import panel_schema, read_csv, read_csv_tagged
 from panelkit.sources.grid import panel_grid
-from panelkit.sources.indicator import encode_envelopes, read_indicator_payloads
+from panelkit.plans.pipeline import ingest_indicators, run_pipeline
+from panelkit.sources.indicator import FLAT_COLUMNS, encode_envelopes, read_indicator_payloads
 from panelkit.sources.sinks import publish_gold, write_csv, write_parquet
 from panelkit.spec import REFERENCE_SPEC
 
@@ -603,3 +604,33 @@ def q_data_catalog(spark, sf):
 @register("catalog_totals")
 def q_catalog_totals(spark, sf):
     return catalog_totals(_landing_catalog(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# Composite jobs end to end: X5 (pipeline) and X13 (landing ingest)
+
+@register("pipeline_run",
+          nation_with(_SUMMARY_SQL.format(e="n_name", p="order_year"))
+          + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("c.avg_score")))
+def q_pipeline_run(spark, sf):
+    """The whole ETL on the nation panel written as the raw CSV: extract,
+    transform, checks before publish, gold Parquet + CSV, metadata, view."""
+    base = scratch_path(spark, "pipeline")
+    write_csv(nation_raw(spark, sf), f"{base}/raw", single_file=True)
+    run_pipeline(spark, f"{base}/raw", f"{base}/final", NATION_SPEC)
+    return _r6(spark.read.parquet(f"{base}/final/top_performers.parquet"), "avg_score")
+
+
+@register("landing_ingest", "WITH " + PART_PANEL + """
+SELECT 'REVENUE' AS indicator_id, 'revenue' AS indicator_name,
+  CAST(l_partkey AS VARCHAR) AS country_id, 'part ' || CAST(l_partkey AS VARCHAR) AS country,
+  'P' || lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS iso3, ship_year AS year, revenue AS value,
+  'revenue_total' AS indicator
+FROM panel""")
+def q_landing_ingest(spark, sf):
+    """Payloads landed as files -> tidy table partitioned by indicator (named
+    through the code -> name map), raw CSVs, catalog and collection report."""
+    land, out = scratch_path(spark, "landing"), scratch_path(spark, "ingest")
+    encode_envelopes(_payload_rows(spark, sf), "l_partkey").write.mode("overwrite").text(land)
+    ingest_indicators(spark, land, out, {"REVENUE": "revenue_total"}, wholetext=False)
+    return spark.read.parquet(f"{out}/indicators.parquet").select(*FLAT_COLUMNS, "indicator")
