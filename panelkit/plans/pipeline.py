@@ -56,7 +56,7 @@ def run_pipeline(spark: SparkSession, raw_csv: str, out_dir: str,
         partition_by={"clean_infrastructure": [spec.period]},
         sort_within={"clean_infrastructure": [spec.entity, spec.period],
                      "country_summary": [spec.entity], "yearly_trends": [spec.period]})
-    gold = load_gold(spark, out_dir, GOLD_TABLES)
+    gold = load_gold(spark, out_dir, GOLD_TABLES, {n: t.schema for n, t in tables.items()})
     view = top_performers(gold["clean_infrastructure"], spec, top,
                           summary=gold["country_summary"])
     write_parquet(view, f"{out_dir}/top_performers.parquet", single_file=True)

@@ -35,7 +35,7 @@ from panelkit.sources.files import panel_schema, read_csv, read_csv_tagged
 from panelkit.sources.grid import panel_grid
 from panelkit.plans.pipeline import ingest_indicators, run_pipeline
 from panelkit.sources.indicator import FLAT_COLUMNS, encode_envelopes, read_indicator_payloads
-from panelkit.sources.sinks import publish_gold, write_csv, write_parquet
+from panelkit.sources.sinks import publish_gold, read_parquet, write_csv, write_parquet
 from panelkit.spec import REFERENCE_SPEC
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -526,12 +526,12 @@ _GRID_SPEC = REFERENCE_SPEC.with_(entity="p_partkey")
 
 @register("panel_grid", """
 SELECT p_partkey, CAST(y AS BIGINT) AS year,
-  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) AS infrastructure_score,
-  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + 5.0 AS transport_resilience,
-  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + -5.0 AS energy_resilience,
-  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + 2.0 AS water_resilience,
-  50.0 + 2.0 * (p_partkey - 1) + 0.5 * (y - 2010) + 10.0 AS digital_resilience
-FROM part CROSS JOIN range(2010, 2024) t(y)""")
+  s AS infrastructure_score, s + CAST(5 AS DOUBLE) AS transport_resilience,
+  s + CAST(-5 AS DOUBLE) AS energy_resilience, s + CAST(2 AS DOUBLE) AS water_resilience,
+  s + CAST(10 AS DOUBLE) AS digital_resilience
+FROM (SELECT p_partkey, y, CAST(50 AS DOUBLE) + CAST(2 AS DOUBLE) * (p_partkey - 1)
+             + CAST(0.5 AS DOUBLE) * (y - 2010) AS s
+      FROM part CROSS JOIN range(2010, 2024) t(y))""")
 def q_panel_grid(spark, sf):
     ents = read_table(spark, sf, "part").select(
         "p_partkey", (F.col("p_partkey") - 1).alias("idx"))
@@ -541,15 +541,9 @@ def q_panel_grid(spark, sf):
 @register("sink_parquet_roundtrip", part_with() + "\nSELECT * FROM clean")
 def q_sink_parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "clean-parquet")
-    write_parquet(part_clean(spark, sf), path, partition_by=["ship_year"],
-                  sort_within=["l_partkey"])
-    cols = part_clean_columns()
-    return spark.read.parquet(path).select(*cols)
-
-
-def part_clean_columns() -> list[str]:
-    s = PART_SPEC
-    return [*s.columns, s.component_mean, s.change, s.rank]
+    clean = part_clean(spark, sf)
+    write_parquet(clean, path, partition_by=["ship_year"], sort_within=["l_partkey"])
+    return read_parquet(spark, path, clean.schema)
 
 
 @register("sink_csv_roundtrip", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year")) + f"""

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 METADATA_SCHEMA = ("pipeline_run string, tables_created array<string>, "
                    "record_counts map<string, bigint>")
@@ -49,11 +50,20 @@ def write_json(df: DataFrame, path: str, single_file: bool = True) -> str:
     return path
 
 
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a table written by :func:`write_parquet`. With the written schema,
+    partition columns keep their types (discovery would make a BIGINT period an
+    INT) and their position."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
     """``CREATE OR REPLACE TABLE t AS SELECT``: write, then read back the
     written table (cuts the lineage; later readers prune and push down)."""
     write_parquet(df, path, partition_by)
-    return df.sparkSession.read.parquet(path)
+    return read_parquet(df.sparkSession, path, df.schema)
 
 
 def publish_gold(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
@@ -69,7 +79,7 @@ def publish_gold(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir:
     for name, df in tables.items():
         pq = f"{out_dir}/{name}.parquet"
         write_parquet(df, pq, partition_by.get(name), sort_within.get(name))
-        written = spark.read.parquet(pq)
+        written = read_parquet(spark, pq, df.schema)
         if "csv" in formats:
             write_csv(written, f"{out_dir}/{name}.csv", sort_within.get(name))
         counts.append(written.agg(F.count(F.lit(1)).cast("bigint").alias("c"))
@@ -87,9 +97,12 @@ def publish_gold(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir:
 
 def load_gold(spark: SparkSession, out_dir: str,
               names: Sequence[str] = ("clean_infrastructure", "country_summary",
-                                      "yearly_trends", "top_performers")) -> dict[str, DataFrame]:
+                                      "yearly_trends", "top_performers"),
+              schemas: Mapping[str, T.StructType] | None = None) -> dict[str, DataFrame]:
     """The published tables as a named bundle. A missing table is an
-    error (no silent fallback to demo data)."""
-    out = {n: spark.read.parquet(f"{out_dir}/{n}.parquet") for n in names}
+    error (no silent fallback to demo data). ``schemas`` (the published
+    schemas) keep partition columns typed."""
+    schemas = schemas or {}
+    out = {n: read_parquet(spark, f"{out_dir}/{n}.parquet", schemas.get(n)) for n in names}
     out["metadata"] = spark.read.schema(METADATA_SCHEMA).json(f"{out_dir}/pipeline_metadata.json")
     return out

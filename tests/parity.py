@@ -25,6 +25,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark simpleString -> DuckDB type name, for the schema part of the check.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "int": "INTEGER", "timestamp_ntz": "TIMESTAMP", "array<string>": "VARCHAR[]"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -78,19 +83,24 @@ def compare(spark, sf_dir: str, keys=None, con=None, verbose=True) -> dict:
                 print(f"{k:28s} rows={len(srows):7d} (no oracle) {st:.2f}s")
             continue
         t0 = time.time()
-        res = con.execute(sqls[k])
-        dcols = [d[0] for d in res.description]
-        dcols, drows = rows_of(dcols, res.fetchall())
+        rel = con.sql(sqls[k])
+        dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        dcols, drows = rows_of(list(rel.columns), rel.fetchall())
         dt = time.time() - t0
+        stypes = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
+        types_ok = stypes == dtypes
         exact = scols == dcols and srows == drows
         tol = scols == dcols and len(srows) == len(drows) and all(
             close(a, b) for a, b in zip(srows, drows))
         report[k] = {"rows": len(srows), "oracle_rows": len(drows), "cols": scols == dcols,
-                     "exact": exact, "tolerant": tol, "spark_s": round(st, 2),
+                     "types": types_ok, "exact": exact and types_ok, "tolerant": tol,
+                     "spark_s": round(st, 2),
                      "duck_s": round(dt, 3)}
         if verbose:
             print(f"{k:28s} rows={len(srows):7d}/{len(drows):7d} cols={scols == dcols} "
-                  f"exact={exact} tol={tol} spark={st:.2f}s duck={dt:.3f}s")
+                  f"types={types_ok} exact={exact} tol={tol} spark={st:.2f}s duck={dt:.3f}s")
+            if not types_ok:
+                print("   spark types", stypes, "\n   duck  types", dtypes)
             if scols != dcols:
                 print("   spark cols", scols, "\n   duck  cols", dcols)
             elif not exact:
