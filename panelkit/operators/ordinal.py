@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +42,10 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
     (0-based position of the first occurrence, ascending, NULL last) and
     ``_n`` (rows in the group).
 
-    The bucketed (group, value, count, bucket) table feeds two consumers
-    (bucket totals, positions); it is checkpointed, so the input is scanned
-    and shuffled once and the split sketch is built once."""
+    The collapsed (group, value, count) table and the bucketed table each
+    feed two consumers; both are materialised (Parquet tables in the shared
+    folder), so the input is scanned and shuffled once and the split sketch
+    is built once."""
     g = list(groups)
     if not g:
         df = df.withColumn(_CONST_GROUP, F.lit(0))
@@ -57,7 +57,10 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
 
     v = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt"))
     if checkpoint:
-        v = v.persist(StorageLevel.MEMORY_AND_DISK)
+        # Read twice (split sketch, buckets): a written table, so the input is
+        # aggregated once. (A persisted frame would keep every un-coalesced
+        # shuffle partition: measured slower with many shuffle partitions.)
+        v = materialize(v, "value-counts")
     splits = v.groupBy(*g).agg(
         F.percentile_approx(value, fractions, accuracy).alias("_splits"))
     vb = (v.join(splits, g, "left")
@@ -66,10 +69,9 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
               .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
           .drop("_splits"))
     if checkpoint:
-        # One job: the collapsed table is computed once (cached), the split
-        # sketch once; both consumers below read the checkpointed buckets.
-        vb = materialize(vb)
-        v.unpersist()
+        # The split sketch is built once; both consumers below read the
+        # materialised buckets.
+        vb = materialize(vb, "value-buckets")
 
     # Bucket totals need no ordering: taken before the window, so the window
     # over (group, bucket) runs once.
