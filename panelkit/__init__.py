@@ -11,7 +11,7 @@ from panelkit.operators.ordinal import (competition_rank, exact_quantiles,  # no
 from panelkit.operators.panel import (clean_panel, entity_profile, entity_summary,  # noqa: F401
                                       net_change, period_trends, select_panel, with_change,
                                       with_component_mean, with_rank)
-from panelkit.operators.profile import (correlation_matrix, describe_numeric,  # noqa: F401
+from panelkit.operators.profile import (completeness, correlation_matrix, describe_numeric,  # noqa: F401
                                         domain_stride, exploration_summary, filter_domain,
                                         null_profile, period_bounds, record_counts,
                                         table_schema)

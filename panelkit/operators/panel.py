@@ -50,10 +50,17 @@ def clean_panel(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     return out.select(*spec.columns, spec.component_mean, spec.change, spec.rank)
 
 
-def entity_summary(clean: DataFrame, spec: PanelSpec) -> DataFrame:
-    """A1: ``country_summary`` - one row per entity (partial + final hash agg)."""
+def _keys(df: DataFrame, key: str, drop_null_keys: bool) -> DataFrame:
+    """SQL GROUP BY keeps a NULL key as a group; pandas ``groupby`` drops it
+    (A4/A5). The default is the SQL behaviour."""
+    return df.where(F.col(key).isNotNull()) if drop_null_keys else df
+
+
+def entity_summary(clean: DataFrame, spec: PanelSpec, drop_null_keys: bool = False) -> DataFrame:
+    """A1 (and its pandas subset A4): ``country_summary`` - one row per
+    entity (partial + final hash agg)."""
     s = F.col(spec.score)
-    return clean.groupBy(spec.entity).agg(
+    return _keys(clean, spec.entity, drop_null_keys).groupBy(spec.entity).agg(
         F.min(spec.period).alias("first_year"),
         F.max(spec.period).alias("last_year"),
         F.count(F.lit(1)).cast("bigint").alias("num_years"),
@@ -65,14 +72,16 @@ def entity_summary(clean: DataFrame, spec: PanelSpec) -> DataFrame:
     )
 
 
-def period_trends(clean: DataFrame, spec: PanelSpec, approx: bool = False) -> DataFrame:
-    """A2: ``yearly_trends`` - per period mean, sample std, min, max and the
+def period_trends(clean: DataFrame, spec: PanelSpec, approx: bool = False,
+                  drop_null_keys: bool = False) -> DataFrame:
+    """A2 (and its pandas subset A5): ``yearly_trends`` - per period mean,
+    sample std, min, max and the
     number of distinct entities (two-phase distinct aggregation; ``approx``
     uses a HyperLogLog++ sketch instead: one partial aggregation, ~1% error)."""
     s = F.col(spec.score)
     distinct = (F.approx_count_distinct(spec.entity) if approx
                 else F.count_distinct(spec.entity))
-    return clean.groupBy(spec.period).agg(
+    return _keys(clean, spec.period, drop_null_keys).groupBy(spec.period).agg(
         F.avg(s).alias("global_avg_score"),
         F.stddev_samp(s).alias("score_std_dev"),
         F.min(s).alias("min_score"),

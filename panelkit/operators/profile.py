@@ -52,6 +52,14 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None,
     return out.where(F.col("null_count") > 0) if only_missing else out
 
 
+def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row - total NULL cells and whether none is missing
+    (``missing.sum() == 0``), from the same single pass as the NULL profile."""
+    total = F.coalesce(F.sum("null_count"), F.lit(0)).cast("bigint")
+    return (null_profile(df, columns, only_missing=False)
+            .agg(total.alias("missing"), (total == F.lit(0)).alias("no_missing")))
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                      approx: bool = False) -> DataFrame:
     """Pandas ``describe()`` per numeric column, long form: count, mean,

@@ -18,8 +18,8 @@ from panelkit.operators.quality import quality_checks, quality_report, require
 from panelkit.sources.catalog import collection_report, data_catalog
 from panelkit.sources.files import panel_schema, read_csv
 from panelkit.sources.indicator import name_indicators, read_indicator_payloads
-from panelkit.sources.sinks import (load_gold, publish_gold, save_table, write_csv,
-                                    write_json, write_parquet)
+from panelkit.sources.sinks import (load_gold, publish_gold, register_views, save_table,
+                                    write_csv, write_json, write_parquet)
 from panelkit.spec import REFERENCE_SPEC, PanelSpec
 
 GOLD_TABLES = ("clean_infrastructure", "country_summary", "yearly_trends")
@@ -59,6 +59,7 @@ def run_pipeline(spark: SparkSession, raw_csv: str, out_dir: str,
     gold = load_gold(spark, out_dir, GOLD_TABLES, {n: t.schema for n, t in tables.items()})
     view = top_performers(gold["clean_infrastructure"], spec, top,
                           summary=gold["country_summary"])
+    register_views({**{n: gold[n] for n in GOLD_TABLES}, "top_performers": view})
     write_parquet(view, f"{out_dir}/top_performers.parquet", single_file=True)
     write_csv(view.orderBy(F.desc_nulls_last("latest_score"), spec.entity),
               f"{out_dir}/top_performers.csv", single_file=True)

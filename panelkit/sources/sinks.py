@@ -95,6 +95,14 @@ def publish_gold(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir:
     return spark.read.schema(METADATA_SCHEMA).json(f"{out_dir}/pipeline_metadata.json")
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """``CREATE OR REPLACE VIEW``: each frame becomes a temporary view of
+    the session, so the published tables and views can be queried with
+    ``spark.sql`` as in the reference's database."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def load_gold(spark: SparkSession, out_dir: str,
               names: Sequence[str] = ("clean_infrastructure", "country_summary",
                                       "yearly_trends", "top_performers"),

@@ -109,3 +109,17 @@ def test_empty_selection(clean):
     assert view_time_series(clean, S, [], 2010, 2020).count() == 0
     assert view_heatmap(clean, S, []).count() == 0
     assert view_time_series(clean, S, ["A"], 2010, 2010).count() == 1
+
+
+def test_null_keys_sql_vs_pandas(spark):
+    rows = ROWS + [(None, 2011, 1.0, 1.0, 1.0, 1.0, 1.0)]
+    c = clean_panel(spark.createDataFrame(rows, SCHEMA), S)
+    keys = {r.country for r in entity_summary(c, S).collect()}
+    assert None in keys                                       # SQL keeps the NULL group
+    assert None not in {r.country for r in entity_summary(c, S, drop_null_keys=True).collect()}
+
+
+def test_completeness(spark, clean):
+    from panelkit.operators.profile import completeness
+    r = completeness(clean).first()
+    assert r.missing > 0 and r.no_missing is False

@@ -144,3 +144,9 @@ def test_exploration_summary(clean):
     assert (r.first_period, r.last_period, r.num_entities, r.total_records) == (2010, 2023, 15, 210)
     assert r.top_performer == "Indonesia"
     assert r.most_improved == "Australia"
+
+
+def test_completeness_golden(panel):
+    from panelkit.operators.profile import completeness
+    r = completeness(panel).first()
+    assert (r.missing, r.no_missing) == (0, True)

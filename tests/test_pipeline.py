@@ -22,6 +22,10 @@ def test_run_pipeline_golden(spark, tmp_dir):
     assert [r.country for r in top][:3] == ["Indonesia", "Mexico", "Australia"]
     q = spark.read.json(f"{tmp_dir}/final/quality_report.json").first()
     assert q.all_passed and len(q.checks) == 2
+    # The gold tables and the view are queryable with SQL.
+    assert spark.sql("SELECT country FROM top_performers ORDER BY latest_rank LIMIT 1").first()[0] \
+        == "Indonesia"
+    assert spark.sql("SELECT COUNT(*) FROM clean_infrastructure").first()[0] == 210
 
 
 def test_run_pipeline_checks_before_publish(spark, tmp_dir):
