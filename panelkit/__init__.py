@@ -5,7 +5,8 @@ Everything takes and returns DataFrames; column names come from a
 """
 
 from panelkit.operators.leaders import (default_selection, latest_period, latest_slice,  # noqa: F401
-                                        most_improved, top_in_period, top_n, top_performers)
+                                        most_improved, top_in_period, top_n, top_per_period,
+                                        top_performers)
 from panelkit.operators.ordinal import (competition_rank, exact_quantiles,  # noqa: F401
                                         value_positions)
 from panelkit.operators.panel import (clean_panel, entity_profile, entity_summary,  # noqa: F401

@@ -36,6 +36,18 @@ def top_in_period(clean: DataFrame, spec: PanelSpec, period, n: int = 10) -> Dat
     return top_n(clean.where(F.col(spec.period) == F.lit(period)), spec.score, spec.entity, n)
 
 
+def top_per_period(clean: DataFrame, spec: PanelSpec, n: int = 10) -> DataFrame:
+    """T4 for every period at once (the ranking view for each slider year):
+    rows with ``RANK() <= n`` per period, ties kept. Spark plans this as a
+    ``WindowGroupLimit``: every map task keeps at most the top n rows per
+    period before the shuffle, so even a period holding a third of all rows
+    ships only n rows per task."""
+    w = Window.partitionBy(spec.period).orderBy(F.desc_nulls_last(spec.score))
+    return (clean.select(spec.entity, spec.period, spec.score)
+            .withColumn("period_rank", F.rank().over(w).cast("bigint"))
+            .where(F.col("period_rank") <= n))
+
+
 def top_performers(clean: DataFrame, spec: PanelSpec, n: int = 10,
                    summary: DataFrame | None = None) -> DataFrame:
     """The n best entities of the latest period with their summary.

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from panelkit.functions import round_half_up
 from panelkit.operators.leaders import (default_selection, latest_slice, most_improved,
-                                       top_performers)
+                                       top_per_period, top_performers)
 from panelkit.operators.panel import (clean_panel, entity_profile, entity_summary, net_change,
                                      period_trends)
 from panelkit.operators.profile import (correlation_matrix, describe_numeric,
@@ -628,3 +628,13 @@ def q_landing_ingest(spark, sf):
     encode_envelopes(_payload_rows(spark, sf), "l_partkey").write.mode("overwrite").text(land)
     ingest_indicators(spark, land, out, {"REVENUE": "revenue_total"}, wholetext=False)
     return spark.read.parquet(f"{out}/indicators.parquet").select(*FLAT_COLUMNS, "indicator")
+
+
+@register("top_per_period", part_with() + """
+SELECT * FROM (
+  SELECT l_partkey, ship_year, revenue,
+    CAST(RANK() OVER (PARTITION BY ship_year ORDER BY revenue DESC NULLS LAST) AS BIGINT)
+      AS period_rank
+  FROM clean) WHERE period_rank <= 10""")
+def q_top_per_period(spark, sf):
+    return top_per_period(part_clean(spark, sf), PART_SPEC, 10)

@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from panelkit.operators.leaders import latest_slice, top_performers  # noqa: E402
+from panelkit.operators.leaders import latest_slice, top_per_period, top_performers  # noqa: E402
 from panelkit.operators.panel import clean_panel, entity_summary, period_trends  # noqa: E402
 from panelkit.operators.profile import describe_numeric  # noqa: E402
 from panelkit.operators.quality import duplicate_check  # noqa: E402
@@ -68,6 +68,8 @@ def main() -> None:
             g_clean, PART_SPEC, 10, summary=g_summary),
         "latest slice (scalar subquery as a partition filter)": latest_slice(g_clean, PART_SPEC),
         "one-year ranking over the published clean panel": view_ranking(g_clean, PART_SPEC, 1998),
+        "top 10 of every period (rank <= k: WindowGroupLimit before the shuffle)":
+            top_per_period(g_clean, PART_SPEC, 10),
         "duplicate-key check on lineitem": duplicate_check(
             read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),
         "describe of two lineitem columns": describe_numeric(

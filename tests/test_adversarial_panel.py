@@ -123,3 +123,9 @@ def test_completeness(spark, clean):
     from panelkit.operators.profile import completeness
     r = completeness(clean).first()
     assert r.missing > 0 and r.no_missing is False
+
+
+def test_top_per_period_keeps_ties(clean):
+    from panelkit.operators.leaders import top_per_period
+    rows = top_per_period(clean, S, 1).where("year = 2011").collect()
+    assert sorted(r.country for r in rows) == ["A", "B"] and {r.period_rank for r in rows} == {1}
