@@ -22,9 +22,11 @@ Selection = Sequence[str] | DataFrame
 
 
 def select_entities(df: DataFrame, spec: PanelSpec, selection: Selection,
-                    bounded: bool = True) -> DataFrame:
+                    bounded: bool = False) -> DataFrame:
     """Membership filter; an empty list gives an empty result. A DataFrame
-    selection is a left-semi join, broadcast when ``bounded`` (top-k keys)."""
+    selection is a left-semi join; it is broadcast explicitly only when the
+    caller vouches for its size (``bounded``, e.g. a top-k result), otherwise
+    Catalyst/AQE choose from measured sizes."""
     if isinstance(selection, DataFrame):
         keys = selection.select(spec.entity)
         return df.join(F.broadcast(keys) if bounded else keys, spec.entity, "left_semi")
@@ -50,10 +52,11 @@ def kpis(clean: DataFrame, top: DataFrame, spec: PanelSpec, approx: bool = False
 
 
 def view_time_series(clean: DataFrame, spec: PanelSpec, selection: Selection,
-                     first, last) -> DataFrame:
+                     first, last, bounded: bool = False) -> DataFrame:
     """X7 = P7 + P8 + P14: score over time for selected entities and periods."""
     rows = clean.where(F.col(spec.period).between(F.lit(first), F.lit(last)))
-    return select_entities(rows, spec, selection).select(spec.entity, spec.period, spec.score)
+    return (select_entities(rows, spec, selection, bounded)
+            .select(spec.entity, spec.period, spec.score))
 
 
 def view_ranking(clean: DataFrame, spec: PanelSpec, period, n: int = 10) -> DataFrame:
@@ -61,34 +64,37 @@ def view_ranking(clean: DataFrame, spec: PanelSpec, period, n: int = 10) -> Data
     return top_in_period(clean, spec, period, n).select(spec.entity, spec.period, spec.score)
 
 
-def view_heatmap(clean: DataFrame, spec: PanelSpec, selection: Selection) -> DataFrame:
+def view_heatmap(clean: DataFrame, spec: PanelSpec, selection: Selection,
+                 bounded: bool = False) -> DataFrame:
     """X9 + A16: mean of each component per selected entity (the pivot table
     has only an index, so this is a plain grouped aggregation)."""
-    return (select_entities(clean, spec, selection).groupBy(spec.entity)
+    return (select_entities(clean, spec, selection, bounded).groupBy(spec.entity)
             .agg(*[F.avg(c).alias(c) for c in spec.components]))
 
 
-def view_improvement(summary: DataFrame, spec: PanelSpec, selection: Selection) -> DataFrame:
+def view_improvement(summary: DataFrame, spec: PanelSpec, selection: Selection,
+                     bounded: bool = False) -> DataFrame:
     """Score improvement of the selected entities, ascending."""
-    return (select_entities(summary, spec, selection)
+    return (select_entities(summary, spec, selection, bounded)
             .select(spec.entity, "score_improvement")
             .orderBy(F.asc_nulls_last("score_improvement"), F.asc_nulls_last(spec.entity)))
 
 
 def box_summary(long: DataFrame, group: str = "variable", value: str = "value",
-                approx: bool = False) -> DataFrame:
+                approx: bool = False, few_groups: bool = False) -> DataFrame:
     """Per group min, quartiles (exact, linear), max, IQR fences = the most
     extreme values within 1.5 IQR of the box, and the outlier count.
     Quartiles use the skew-proof ordinal machinery; the fences are a second,
     conditional aggregation against the per-group quartiles (one row per
-    group, broadcast: the number of components bounds it)."""
+    group; broadcast only with ``few_groups``, e.g. one group per component)."""
     q = exact_quantiles(long, [group], value, (0.25, 0.5, 0.75), ("q1", "median", "q3"),
                         approx=approx)
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    stats = long.where(v.isNotNull()).join(F.broadcast(q), group).groupBy(group).agg(
+    qb = F.broadcast(q) if few_groups else q
+    stats = long.where(v.isNotNull()).join(qb, group).groupBy(group).agg(
         F.count(v).cast("bigint").alias("n"),
         F.min(v).alias("min"), F.max(v).alias("max"),
         F.min(F.when(inside, v)).alias("lower_fence"),
@@ -101,4 +107,6 @@ def box_summary(long: DataFrame, group: str = "variable", value: str = "value",
 def view_distribution(clean: DataFrame, spec: PanelSpec, period) -> DataFrame:
     """X11: box summary of every component in one period."""
     rows = clean.where(F.col(spec.period) == F.lit(period))
-    return box_summary(unpivot_components(rows, spec, [spec.entity], with_labels=False))
+    # One group per component: a bound fixed by the spec.
+    return box_summary(unpivot_components(rows, spec, [spec.entity], with_labels=False),
+                       few_groups=True)

@@ -386,7 +386,9 @@ SELECT l_partkey, ship_year, revenue FROM clean
 WHERE l_partkey IN (SELECT l_partkey FROM sel) AND ship_year BETWEEN 1997 AND 2000""")
 def q_view_time_series(spark, sf):
     clean, top = _part_top(spark, sf)
-    return view_time_series(clean, PART_SPEC, default_selection(top, PART_SPEC), 1997, 2000)
+    # The selection is a top-5 result: a proven bound, broadcast.
+    return view_time_series(clean, PART_SPEC, default_selection(top, PART_SPEC), 1997, 2000,
+                            bounded=True)
 
 
 @register("view_ranking", part_with() + """
@@ -402,7 +404,7 @@ SELECT l_partkey, {r6('AVG(quantity)')} AS quantity, {r6('AVG(discount)')} AS di
 FROM clean WHERE l_partkey IN (SELECT l_partkey FROM sel) GROUP BY l_partkey""")
 def q_view_heatmap(spark, sf):
     clean, top = _part_top(spark, sf)
-    h = view_heatmap(clean, PART_SPEC, default_selection(top, PART_SPEC))
+    h = view_heatmap(clean, PART_SPEC, default_selection(top, PART_SPEC), bounded=True)
     return _r6(h, *PART_SPEC.components)
 
 
@@ -412,7 +414,7 @@ WHERE l_partkey IN (SELECT l_partkey FROM sel)""")
 def q_view_improvement(spark, sf):
     clean, top = _part_top(spark, sf)
     return view_improvement(entity_summary(clean, PART_SPEC), PART_SPEC,
-                            default_selection(top, PART_SPEC))
+                            default_selection(top, PART_SPEC), bounded=True)
 
 
 def _box_sql(cols, period) -> str:

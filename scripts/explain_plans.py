@@ -22,7 +22,7 @@ from panelkit.operators.panel import clean_panel, entity_summary, period_trends
 from panelkit.operators.profile import describe_numeric  # noqa: E402
 from panelkit.operators.quality import duplicate_check  # noqa: E402
 from panelkit.operators.views import view_ranking  # noqa: E402
-from panelkit.plans.bindings import (NATION_SPEC, PART_SPEC, nation_panel, part_panel,  # noqa: E402
+from panelkit.plans.bindings import (PART_SPEC, nation_panel, part_panel,  # noqa: E402
                                      read_table)
 from panelkit.session import get_spark, scratch_path  # noqa: E402
 from panelkit.sources.sinks import write_parquet  # noqa: E402
