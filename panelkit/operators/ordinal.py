@@ -36,6 +36,21 @@ def default_buckets(df: DataFrame) -> int:
     return max(2, min(4096, shuffle_partitions(df.sparkSession)))
 
 
+def bucketize(v: DataFrame, groups: Sequence[str], value: str, nb: int,
+              accuracy: int) -> DataFrame:
+    """``_bucket`` in 0..nb-1 for every distinct value (NULL: nb), from per-group
+    ``percentile_approx`` split points: order-preserving, equal values share a
+    bucket, about 1/nb of a group's distinct values per bucket."""
+    fractions = [i / nb for i in range(1, nb)]
+    splits = v.groupBy(*groups).agg(
+        F.percentile_approx(value, fractions, accuracy).alias("_splits"))
+    return (v.join(splits, list(groups), "left")
+            .withColumn("_bucket", F.when(
+                F.col(value).isNull() | F.col("_splits").isNull(), F.lit(nb))
+                .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
+            .drop("_splits"))
+
+
 def value_positions(df: DataFrame, groups: Sequence[str], value: str,
                     buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Distinct (groups..., value) with ``_cnt`` (multiplicity), ``_start``
@@ -51,7 +66,6 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
         df = df.withColumn(_CONST_GROUP, F.lit(0))
         g = [_CONST_GROUP]
     nb = buckets or default_buckets(df)
-    fractions = [i / nb for i in range(1, nb)]
     # Rank error of the split sketch ~ a quarter of a bucket: balance only.
     accuracy = max(1000, 4 * nb)
 
@@ -61,13 +75,7 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
         # aggregated once. (A persisted frame would keep every un-coalesced
         # shuffle partition: measured slower with many shuffle partitions.)
         v = materialize(v, "value-counts")
-    splits = v.groupBy(*g).agg(
-        F.percentile_approx(value, fractions, accuracy).alias("_splits"))
-    vb = (v.join(splits, g, "left")
-          .withColumn("_bucket", F.when(
-              F.col(value).isNull() | F.col("_splits").isNull(), F.lit(nb))
-              .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
-          .drop("_splits"))
+    vb = bucketize(v, g, value, nb, accuracy)
     if checkpoint:
         # The split sketch is built once; both consumers below read the
         # materialised buckets.

@@ -61,15 +61,22 @@ def name_indicators(flat: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return flat.withColumn("indicator", F.coalesce(m[F.col("indicator_id")], F.col("indicator_id")))
 
 
-def encode_envelopes(rows: DataFrame, page_key: str) -> DataFrame:
+def encode_envelopes(rows: DataFrame, page_key: str, page_size: int = 5000) -> DataFrame:
     """Inverse of :func:`parse_envelopes`, used to build landing data from a
-    table: one envelope per ``page_key`` value (a page must stay small, as in
-    the API; the key must bound the rows per page). ``rows`` has the columns
-    of :data:`PAYLOAD_ROW`."""
+    table: envelopes per ``page_key`` value, at most about ``page_size`` rows
+    each (the API pages by 5000). A key with more rows is split over
+    ceil(rows / page_size) pages by a hash of the row - deterministic, so a
+    retried task builds the same pages - and no group is ever collected
+    whole. ``rows`` has the columns of :data:`PAYLOAD_ROW`."""
     row = F.struct(*[F.col(f.name) for f in PAYLOAD_ROW.fields])
-    per_page = rows.groupBy(page_key).agg(
-        F.count(F.lit(1)).alias("_total"), F.collect_list(row).alias("_rows"))
-    meta = F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"),
-                    F.col("_total").alias("per_page"), F.col("_total").alias("total"))
+    counts = rows.groupBy(page_key).agg(F.count(F.lit(1)).alias("_n"))
+    pages = F.ceil(F.col("_n") / F.lit(float(page_size)))
+    paged = rows.join(counts, page_key).withColumn(
+        "_page", F.pmod(F.xxhash64(*[F.col(f.name) for f in PAYLOAD_ROW.fields]), pages))
+    per_page = paged.groupBy(page_key, "_page").agg(
+        F.first(pages).alias("_pages"), F.count(F.lit(1)).alias("_total"),
+        F.collect_list(row).alias("_rows"))
+    meta = F.struct((F.col("_page") + 1).alias("page"), F.col("_pages").alias("pages"),
+                    F.lit(page_size).alias("per_page"), F.col("_total").alias("total"))
     return per_page.select(F.concat(F.lit("["), F.to_json(meta), F.lit(","),
                                     F.to_json("_rows"), F.lit("]")).alias("value"))

@@ -89,3 +89,30 @@ def test_approx_variants_close(spark):
     ap = {r.column_name: r for r in describe_numeric(p, ["infrastructure_score"], approx=True).collect()}
     for q in ("p25", "p50", "p75"):
         assert abs(ex["infrastructure_score"][q] - ap["infrastructure_score"][q]) <= 1.0
+
+
+def test_hot_group_is_spread_over_buckets(spark):
+    """One group holding every row: its distinct values land in B buckets of
+    about equal size, i.e. B window partitions instead of one task."""
+    from pyspark.sql import functions as F
+    from panelkit.operators.ordinal import bucketize
+    v = spark.range(20000).select(F.lit(1).alias("g"), (F.col("id") * 7 % 20011).cast("double").alias("v"),
+                                  F.lit(1).alias("_cnt"))
+    sizes = [r["count"] for r in bucketize(v, ["g"], "v", 8, 1000).groupBy("_bucket").count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * 20000 / 8
+
+
+def test_envelope_pages_are_bounded(spark):
+    from pyspark.sql import functions as F
+    from panelkit.sources.indicator import encode_envelopes, parse_envelopes
+    idv = F.struct(F.lit("X").alias("id"), F.lit("x").alias("value"))
+    rows = spark.range(12000).select(
+        F.lit(1).alias("k"), idv.alias("indicator"), idv.alias("country"),
+        F.lit("XXX").alias("countryiso3code"), (F.col("id") % 50 + 1970).cast("string").alias("date"),
+        F.col("id").cast("double").alias("value"), F.lit("").alias("unit"),
+        F.lit("").alias("obs_status"), F.lit(0).cast("bigint").alias("decimal"))
+    env = encode_envelopes(rows, "k", page_size=5000)
+    totals = [r[0] for r in env.select(F.get_json_object("value", "$[0].total")).collect()]
+    assert len(totals) == 3 and sum(int(t) for t in totals) == 12000
+    assert max(int(t) for t in totals) < 5000 * 1.2
+    assert parse_envelopes(env).count() == 12000
