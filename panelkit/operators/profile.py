@@ -65,24 +65,21 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     """Pandas ``describe()`` per numeric column, long form: count, mean,
     std (sample), min, 25/50/75 % (exact, linear interpolation), max.
 
-    Moments come from one wide aggregation; the quartiles from the skew-proof
-    ordinal machinery over the long (column_name, value) form - never one
-    task per column. ``approx=True``: sketch quartiles (one pass, no shuffle
+    Moments are one partial+final aggregation over the long (column_name,
+    value) form; the quartiles come from the skew-proof ordinal machinery over
+    the same form - never one task per column. ``approx=True``: sketch quartiles (one pass, no shuffle
     of values)."""
     cols = list(columns or numeric_columns(df))
-    moments = df.agg(*[e for c in cols for e in (
-        F.count(c).cast("bigint").alias(f"{c}__count"),
-        F.avg(F.col(c).cast("double")).alias(f"{c}__mean"),
-        F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__std"),
-        F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-        F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
-    moments = _stack(moments, cols, ["count", "mean", "std", "min", "max"], "column_name")
     # Long form as a union of one-column projections rather than an unpivot:
     # each branch scans only its column, and the branches' tasks run side by
     # side (an unpivot multiplies every row inside the scan's few tasks).
     long = reduce(DataFrame.unionByName, [
         df.select(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
         for c in cols])
+    v = F.col("value")
+    moments = long.groupBy("column_name").agg(
+        F.count(v).cast("bigint").alias("count"), F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
     qs = exact_quantiles(long, ["column_name"], "value", (0.25, 0.5, 0.75),
                          ("p25", "p50", "p75"), approx=approx)
     return (moments.join(qs, "column_name", "left")
@@ -109,16 +106,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def table_schema(df: DataFrame, table_name: str) -> DataFrame:
     """Shape and column types as rows (table_name, column_name, position,
     data_type, num_rows, num_columns). The types come from the schema
-    (metadata); the row count is one partial+final count over the table."""
-    spark = df.sparkSession
-    fields = [(table_name, f.name, i + 1, f.dataType.simpleString())
-              for i, f in enumerate(df.schema.fields)]
-    meta = spark.createDataFrame(
-        fields, "table_name string, column_name string, position bigint, data_type string")
+    (metadata, literal structs); the row count is one partial+final count over
+    the table. All JVM-side: no local rows shipped from Python."""
+    fields = df.schema.fields
+    rows = F.array(*[F.struct(F.lit(table_name).alias("table_name"),
+                              F.lit(f.name).alias("column_name"),
+                              F.lit(i + 1).cast("bigint").alias("position"),
+                              F.lit(f.dataType.simpleString()).alias("data_type"))
+                     for i, f in enumerate(fields)])
     count = df.agg(F.count(F.lit(1)).cast("bigint").alias("num_rows"))
-    return (meta.join(F.broadcast(count.withColumn("_one", F.lit(1))),
-                      F.lit(1) == F.col("_one"))
-            .drop("_one")
+    return (count.select(F.inline(rows), "num_rows")
             .withColumn("num_columns", F.lit(len(fields)).cast("bigint")))
 
 

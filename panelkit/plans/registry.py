@@ -517,8 +517,9 @@ def q_indicator_flatten(spark, sf):
     path = scratch_path(spark, "payloads")
     env = encode_envelopes(_payload_rows(spark, sf), "l_partkey")
     # The API's empty answers: element 1 null, empty, or absent -> no rows.
-    edge = spark.createDataFrame([('[{"page":0}, null]',), ('[{"page":0}, []]',),
-                                  ('[{"message":"invalid"}]',)], "value string")
+    edge = spark.range(1).select(F.explode(F.array(
+        F.lit('[{"page":0}, null]'), F.lit('[{"page":0}, []]'),
+        F.lit('[{"message":"invalid"}]'))).alias("value"))
     env.unionByName(edge).write.mode("overwrite").text(path)
     return read_indicator_payloads(spark, path, wholetext=False)
 
