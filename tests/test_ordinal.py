@@ -116,3 +116,18 @@ def test_envelope_pages_are_bounded(spark):
     assert len(totals) == 3 and sum(int(t) for t in totals) == 12000
     assert max(int(t) for t in totals) < 5000 * 1.2
     assert parse_envelopes(env).count() == 12000
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-20, 20))),
+                min_size=1, max_size=80),
+       st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))
+def test_quantile_property(spark, data, q):
+    rows = [(g, i, None if v is None else float(v)) for i, (g, v) in enumerate(data)]
+    got = {r.g: r.x for r in exact_quantiles(_frame(spark, rows), ["g"], "v", (q,), ("x",),
+                                             buckets=3).collect()}
+    df = pd.DataFrame(rows, columns=["g", "id", "v"]).dropna()
+    want = {g: float(np.quantile(p["v"].to_numpy(), q)) for g, p in df.groupby("g")}
+    assert set(got) == set(want)
+    for g in want:
+        assert got[g] == pytest.approx(want[g], abs=1e-9)
