@@ -40,19 +40,28 @@ def get_spark(master: str | None = None, app: str = "panelkit",
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     shared_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Set from the session when present; otherwise (tests) a fresh local folder
-    is created and registered, so ``DataFrame.checkpoint()`` works too.
-    """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    is created and registered, so ``DataFrame.checkpoint()`` works too."""
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         # SparkContext appends a per-application UUID; the parent is the
         # configured, shared folder.
@@ -60,7 +69,10 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="panelkit-ckpt-")
-    sc.setCheckpointDir(d)
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -123,7 +135,9 @@ def stage_table(spark: SparkSession, name: str, build, inputs=()):
     materialised once per Spark application and input state, then read by
     every later query of the session. ``inputs`` are the files it derives
     from; a changed input rebuilds it."""
-    key = (spark.sparkContext.applicationId, name, _fingerprint(inputs))
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+    key = (app, name, _fingerprint(inputs))
     df = _STAGES.get(key)
     if df is None:
         df = materialize(build(), name.split(":")[0])
