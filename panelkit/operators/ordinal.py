@@ -37,22 +37,35 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def bucketize(v: DataFrame, groups: Sequence[str], value: str, nb: int,
-              accuracy: int) -> DataFrame:
-    """``_bucket`` in 0..nb-1 for every distinct value (NULL: nb), from per-group
-    ``percentile_approx`` split points: order-preserving, equal values share a
-    bucket, about 1/nb of a group's distinct values per bucket."""
+              accuracy: int, min_split: int = 10000) -> DataFrame:
+    """``_bucket`` for every distinct value of ``v`` (NULL value: nb).
+
+    Groups with at least ``min_split`` distinct values are cut into nb
+    buckets at per-group ``percentile_approx`` split points: order-preserving,
+    equal values share a bucket, about 1/nb of the group per bucket. Smaller
+    groups stay whole (bucket 0): their window is small anyway, and the split
+    table stays bounded by (distinct values / min_split) x nb however many
+    groups there are. Group keys match NULL-safely (a NULL key is a group)."""
     fractions = [i / nb for i in range(1, nb)]
-    splits = v.groupBy(*groups).agg(
-        F.percentile_approx(value, fractions, accuracy).alias("_splits"))
-    return (v.join(splits, list(groups), "left")
-            .withColumn("_bucket", F.when(
-                F.col(value).isNull() | F.col("_splits").isNull(), F.lit(nb))
-                .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
-            .drop("_splits"))
+    ren = {c: f"_bk_{i}" for i, c in enumerate(groups)}
+    sizes = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("_nd"))
+    big = sizes.where(F.col("_nd") >= F.lit(min_split)).select(
+        *[F.col(c).alias(a) for c, a in ren.items()])
+    on_big = [v[c].eqNullSafe(big[a]) for c, a in ren.items()]
+    splits = (v.join(big, on_big, "left_semi").groupBy(*groups)
+              .agg(F.percentile_approx(value, fractions, accuracy).alias("_splits"))
+              .select(*[F.col(c).alias(a) for c, a in ren.items()], "_splits"))
+    on_splits = [v[c].eqNullSafe(splits[a]) for c, a in ren.items()]
+    bucket = (F.when(F.col(value).isNull(), F.lit(nb))
+              .when(F.col("_splits").isNull(), F.lit(0))
+              .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
+    return (v.join(splits, on_splits, "left").withColumn("_bucket", bucket)
+            .drop("_splits", *ren.values()))
 
 
 def value_positions(df: DataFrame, groups: Sequence[str], value: str,
-                    buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
+                    buckets: int | None = None, checkpoint: bool = True,
+                    min_split: int = 10000) -> DataFrame:
     """Distinct (groups..., value) with ``_cnt`` (multiplicity), ``_start``
     (0-based position of the first occurrence, ascending, NULL last) and
     ``_n`` (rows in the group).
@@ -75,7 +88,7 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
         # aggregated once. (A persisted frame would keep every un-coalesced
         # shuffle partition: measured slower with many shuffle partitions.)
         v = materialize(v, "value-counts")
-    vb = bucketize(v, g, value, nb, accuracy)
+    vb = bucketize(v, g, value, nb, accuracy, min_split)
     if checkpoint:
         # The split sketch is built once; both consumers below read the
         # materialised buckets.
@@ -95,7 +108,12 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
               .rowsBetween(Window.unboundedPreceding, -1))
     vb = vb.withColumn("_before", F.coalesce(F.sum("_cnt").over(within), F.lit(0)))
 
-    pos = vb.join(totals, [*g, "_bucket"]).select(
+    # NULL-safe on the group keys: a NULL group is a group like any other.
+    tren = {c: f"_tg_{i}" for i, c in enumerate(g)}
+    totals = totals.select(*[F.col(c).alias(a) for c, a in tren.items()],
+                           F.col("_bucket").alias("_tb"), "_boff", "_n")
+    on = [vb[c].eqNullSafe(totals[a]) for c, a in tren.items()] + [vb["_bucket"] == totals["_tb"]]
+    pos = vb.join(totals, on).select(
         *g, value, "_cnt", (F.col("_boff") + F.col("_before")).alias("_start"), "_n")
     if g == [_CONST_GROUP]:
         pos = pos.drop(_CONST_GROUP)
@@ -103,13 +121,14 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
 
 
 def competition_rank(df: DataFrame, groups: Sequence[str], score: str, out: str,
-                     descending: bool = True, buckets: int | None = None) -> DataFrame:
+                     descending: bool = True, buckets: int | None = None,
+                     min_split: int = 10000) -> DataFrame:
     """``RANK() OVER (PARTITION BY groups ORDER BY score DESC NULLS LAST)`` as
     a BIGINT column ``out``; ties share a rank and leave a gap, NULL scores
     rank after every non-NULL score of their group."""
     key = "_rk_key"
     src = df.withColumn(key, -F.col(score) if descending else F.col(score))
-    pos = value_positions(src.select(*groups, key), groups, key, buckets)
+    pos = value_positions(src.select(*groups, key), groups, key, buckets, min_split=min_split)
     ren = {c: f"_rk_g{i}" for i, c in enumerate(groups)}
     ranked = pos.select(*[F.col(c).alias(a) for c, a in ren.items()],
                         F.col(key).alias("_rk_v"),
@@ -123,7 +142,7 @@ def competition_rank(df: DataFrame, groups: Sequence[str], score: str, out: str,
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str,
                     qs: Sequence[float], names: Sequence[str],
                     buckets: int | None = None, approx: bool = False,
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, min_split: int = 10000) -> DataFrame:
     """Exact quantiles with linear interpolation between closest ranks
     (pandas ``describe``, DuckDB ``quantile_cont``, Spark ``percentile``),
     NULL values ignored. One row per group that has a non-NULL value.
@@ -135,7 +154,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str,
         agg = df.where(F.col(value).isNotNull()).groupBy(*groups).agg(pa.alias("_q"))
         return agg.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     nn = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias(value))
-    pos = value_positions(nn, groups, value, buckets)
+    pos = value_positions(nn, groups, value, buckets, min_split=min_split)
     start, cnt, n = F.col("_start"), F.col("_cnt"), F.col("_n")
     aggs = []
     for q, name in zip(qs, names):
