@@ -58,8 +58,9 @@ def _context(spark: SparkSession):
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set from the session when present; otherwise (tests) a fresh local folder
-    is created and registered, so ``DataFrame.checkpoint()`` works too."""
+    Set from the session when present; otherwise, in local mode only (tests),
+    a fresh local folder is created and registered. On a cluster an unset
+    folder is an error."""
     sc = _context(spark)
     d = sc.getCheckpointDir() if sc is not None else None
     if d:
@@ -68,6 +69,10 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/").rsplit("/", 1)[0]
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            # A machine-local folder is invisible to the other executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         d = tempfile.mkdtemp(prefix="panelkit-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", d)
