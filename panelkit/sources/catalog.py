@@ -17,12 +17,14 @@ _FIELD_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
-                 recursive: bool = True) -> DataFrame:
+                 recursive: bool = True, quoted_newlines: bool = True) -> DataFrame:
     """(filename, rows, columns, size_mb, downloaded) per file.
 
-    rows = CSV records after the header (quoted newlines are one record, so
-    a file is parsed by one task - correct counts first; many files still
-    run in parallel);
+    rows = CSV records after the header. With ``quoted_newlines`` (default)
+    a quoted newline stays inside one record, so each file is parsed by one
+    task - correct counts first; many files still run in parallel. Without
+    it, large files are split across tasks (correct when no field holds a
+    newline);
     columns = field count of the widest line (a well-formed CSV has the
     header's width on every line); files without a line are skipped, like the
     unreadable files of the reference."""
@@ -30,7 +32,8 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
             "ignoreCorruptFiles": "true"}
     listing = (spark.read.format("binaryFile").options(**opts).load(folder)
                .select(F.col("path"), F.col("length"), F.col("modificationTime")))
-    records = (spark.read.options(**opts).option("header", True).option("multiLine", True)
+    records = (spark.read.options(**opts).option("header", True)
+               .option("multiLine", quoted_newlines)
                .csv(folder)
                .select(F.col("_metadata.file_path").alias("path"))
                .groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("rows")))

@@ -76,3 +76,10 @@ def test_stream_indicators_incremental(spark, tmp_dir):
     q = stream_indicators(spark, land, out, ck)   # restart from the checkpoint
     q.awaitTermination(120)
     assert sorted(r.year for r in spark.read.parquet(out).collect()) == [2010, 2011, 2012]
+
+
+def test_cli_pipeline(spark, tmp_dir):
+    from panelkit.__main__ import main
+    write_csv(reference_panel(spark), f"{tmp_dir}/raw", single_file=True)
+    assert main(["pipeline", f"{tmp_dir}/raw", f"{tmp_dir}/out"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/out/country_summary.parquet").count() == 15
