@@ -140,23 +140,15 @@ def domain_stride(df: DataFrame, column: str, step: int = 2) -> DataFrame:
             .select(column, (F.col("_start") / step).cast("bigint").alias("mark")))
 
 
-def _one(df: DataFrame) -> DataFrame:
-    return df.withColumn("_one", F.lit(1))
-
-
 def exploration_summary(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     """One row - period range, entity and record counts, top performer
-    of the latest period, most improved entity (last - first)."""
-    stats = panel.agg(
+    of the latest period, most improved entity (last - first). The two
+    top-1 results are scalar subqueries: no join."""
+    top = top_n(latest_slice(panel, spec), spec.score, spec.entity, 1).select(spec.entity)
+    imp = top_n(net_change(panel, spec), "net_change", spec.entity, 1).select(spec.entity)
+    return panel.agg(
         F.min(spec.period).alias("first_period"),
         F.max(spec.period).alias("last_period"),
         F.count_distinct(spec.entity).cast("bigint").alias("num_entities"),
-        F.count(F.lit(1)).cast("bigint").alias("total_records"))
-    top = top_n(latest_slice(panel, spec), spec.score, spec.entity, 1).select(
-        F.col(spec.entity).alias("top_performer"))
-    imp = top_n(net_change(panel, spec), "net_change", spec.entity, 1).select(
-        F.col(spec.entity).alias("most_improved"))
-    out = _one(stats)
-    for small in (top, imp):  # one-row frames: size bound 1
-        out = out.join(F.broadcast(_one(small)), "_one", "left")
-    return out.drop("_one")
+        F.count(F.lit(1)).cast("bigint").alias("total_records"),
+    ).select("*", top.scalar().alias("top_performer"), imp.scalar().alias("most_improved"))

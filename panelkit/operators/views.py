@@ -43,12 +43,10 @@ def kpis(clean: DataFrame, top: DataFrame, spec: PanelSpec, approx: bool = False
         distinct.cast("bigint").alias("countries_analyzed"),
         F.avg(spec.score).alias("avg_score"),
         F.count(F.lit(1)).cast("bigint").alias("data_points"))
-    best = top_n(top, "latest_score", spec.entity, 1).select(
-        F.col(spec.entity).alias("top_performer"), F.lit(1).alias("_one"))
-    return (stats.withColumn("_one", F.lit(1))
-            .join(F.broadcast(best), "_one", "left").drop("_one")
-            .withColumn("avg_score_text", fixed_text("avg_score", 1))
-            .withColumn("data_points_text", thousands_text("data_points")))
+    best = top_n(top, "latest_score", spec.entity, 1).select(spec.entity)  # scalar subquery
+    return stats.select("*", best.scalar().alias("top_performer"),
+                        fixed_text("avg_score", 1).alias("avg_score_text"),
+                        thousands_text("data_points").alias("data_points_text"))
 
 
 def view_time_series(clean: DataFrame, spec: PanelSpec, selection: Selection,
