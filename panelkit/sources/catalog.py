@@ -1,8 +1,8 @@
 """File catalog of a landing folder (S12) and its totals.
 
-One listing (``binaryFile`` without its ``content`` column: names, sizes and
-modification times only) plus one distributed text scan for the per-file
-counts. No file is read by the driver.
+One distributed text scan (file names, sizes and times from ``_metadata``,
+the widest line per file) plus one CSV scan for the record counts. No file
+is read by the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.functions import bytes_to_mb, file_name, round_half_up
+from panelkit.functions import bytes_to_mb, round_half_up
 
 # A comma outside double quotes (a CSV field separator).
 _FIELD_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -30,28 +30,37 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
     unreadable files of the reference."""
     opts = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower(),
             "ignoreCorruptFiles": "true"}
-    listing = (spark.read.format("binaryFile").options(**opts).load(folder)
-               .select(F.col("path"), F.col("length"), F.col("modificationTime")))
-    records = (spark.read.options(**opts).option("header", True)
-               .option("multiLine", quoted_newlines)
-               .csv(folder)
-               .select(F.col("_metadata.file_path").alias("path"))
-               .groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
+    meta = F.col("_metadata")
     line = F.col("value")
     # The quote-aware split costs O(n^2) per line; only quoted lines need it.
     width = F.when(F.instr(line, '"') > 0, F.size(F.split(line, _FIELD_SEP))) \
              .otherwise(F.size(F.split(line, ",")))
-    widths = (spark.read.options(**opts).text(folder)
-              .select(F.col("_metadata.file_path").alias("path"), width.alias("_w"))
-              .groupBy("path").agg(F.max("_w").cast("bigint").alias("columns")))
-    return (listing.join(widths, "path")
-            .join(records, "path", "left")
-            .select(file_name("path").alias("filename"),
+    # One text scan gives every file's name, size, time and widest line
+    # (file metadata from ``_metadata``: no separate listing to join).
+    files = (spark.read.options(**opts).text(folder)
+             .select(meta.file_path.alias("path"), meta.file_name.alias("name"),
+                     meta.file_size.alias("length"),
+                     meta.file_modification_time.alias("mtime"), width.alias("_w"))
+             .groupBy("path").agg(F.max("name").alias("name"), F.max("length").alias("length"),
+                                  F.max("mtime").alias("mtime"),
+                                  F.max("_w").cast("bigint").alias("columns")))
+    records = (spark.read.options(**opts).option("header", True)
+               .option("multiLine", quoted_newlines)
+               .csv(folder)
+               .select(meta.file_path.alias("path"))
+               .groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
+    return (files.join(records, "path", "left")
+            .select(_decoded("name").alias("filename"),
                     F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
                     "columns",
                     bytes_to_mb("length").alias("size_mb"),
-                    F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss").alias("downloaded"),
-                    F.col("path")))
+                    F.date_format("mtime", "yyyy-MM-dd HH:mm:ss").alias("downloaded"),
+                    _decoded("path").alias("path")))
+
+
+def _decoded(c: str):
+    """``_metadata`` paths are URI-encoded (a space is %20, '+' stays '+')."""
+    return F.url_decode(F.regexp_replace(F.col(c), r"\+", "%2B"))
 
 
 def catalog_totals(catalog: DataFrame) -> DataFrame:

@@ -112,3 +112,12 @@ def test_schema_types():
     s = panel_schema(S)
     assert [f.dataType for f in s.fields][:2] == [T.StringType(), T.LongType()]
     assert len(s.fields) == 7
+
+
+def test_catalog_odd_file_names(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/raw dir")
+    with open(f"{tmp_dir}/raw dir/my file+1.csv", "w") as f:
+        f.write("a,b\n1,2\n3,4\n")
+    open(f"{tmp_dir}/raw dir/empty.csv", "w").close()   # unreadable: skipped
+    rows = {r.filename: (r.rows, r.columns) for r in data_catalog(spark, f"{tmp_dir}/raw dir").collect()}
+    assert rows == {"my file+1.csv": (2, 2)}
