@@ -13,14 +13,21 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every double of magnitude >= 2^53 is an integer: floor() is the identity there.
+_INTEGRAL = float(2 ** 53)
+
+
 def round_half_up(c, digits: int) -> Column:
     """``floor(x * 10^d + 0.5) / 10^d`` as a double.
 
     The same arithmetic gives bit-identical results in Spark and DuckDB,
-    which ``round()`` does not at half points. Valid while |x|*10^d < 9e18.
-    """
+    which ``round()`` does not at half points. Spark's ``floor`` returns a
+    BIGINT (an ANSI overflow error past 9.2e18), so it is applied only below
+    2^53, where it is needed; above, the value already is an integer."""
     scale = float(10 ** digits)
-    return (F.floor(col(c) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+    y = col(c) * F.lit(scale) + F.lit(0.5)
+    floored = F.when(F.abs(y) < F.lit(_INTEGRAL), F.floor(y).cast("double")).otherwise(y)
+    return floored / F.lit(scale)
 
 
 def row_mean(cols: Sequence[str]) -> Column:
