@@ -61,6 +61,12 @@ def thousands_text(c) -> Column:
     return F.format_number(col(c), 0)
 
 
+def decoded_path(path_col) -> Column:
+    """``_metadata.file_path``/``file_name`` are URI-encoded (a space is %20;
+    '+' is left as is, so it is protected from form decoding)."""
+    return F.url_decode(F.regexp_replace(col(path_col), r"\+", "%2B"))
+
+
 def file_name(path_col) -> Column:
     return F.regexp_extract(col(path_col), r"([^/]+)$", 1)
 

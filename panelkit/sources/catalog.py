@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.functions import bytes_to_mb, round_half_up
+from panelkit.functions import bytes_to_mb, decoded_path, round_half_up
 
 # A comma outside double quotes (a CSV field separator).
 _FIELD_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -50,17 +50,12 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
                .select(meta.file_path.alias("path"))
                .groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
     return (files.join(records, "path", "left")
-            .select(_decoded("name").alias("filename"),
+            .select(decoded_path("name").alias("filename"),
                     F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
                     "columns",
                     bytes_to_mb("length").alias("size_mb"),
                     F.date_format("mtime", "yyyy-MM-dd HH:mm:ss").alias("downloaded"),
-                    _decoded("path").alias("path")))
-
-
-def _decoded(c: str):
-    """``_metadata`` paths are URI-encoded (a space is %20, '+' stays '+')."""
-    return F.url_decode(F.regexp_replace(F.col(c), r"\+", "%2B"))
+                    decoded_path("path").alias("path")))
 
 
 def catalog_totals(catalog: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions import file_stem
+from panelkit.functions import decoded_path, file_stem
 from panelkit.spec import PanelSpec
 
 
@@ -43,7 +43,7 @@ def read_csv_tagged(spark: SparkSession, pattern: str, schema: T.StructType,
     tag_regex>`` on the path). One DataFrame instead of a table per file, so
     later operators treat the tag as an ordinary key."""
     df = spark.read.option("header", True).schema(schema).csv(pattern)
-    path = F.col("_metadata.file_path")
+    path = decoded_path("_metadata.file_path")
     name = F.regexp_extract(path, tag_regex, 1) if tag_regex else file_stem(path)
     return df.withColumn(tag, F.concat(F.lit(prefix), name))
 

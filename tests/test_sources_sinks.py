@@ -121,3 +121,11 @@ def test_catalog_odd_file_names(spark, tmp_dir):
     open(f"{tmp_dir}/raw dir/empty.csv", "w").close()   # unreadable: skipped
     rows = {r.filename: (r.rows, r.columns) for r in data_catalog(spark, f"{tmp_dir}/raw dir").collect()}
     assert rows == {"my file+1.csv": (2, 2)}
+
+
+def test_glob_tag_decodes_file_names(spark, tmp_dir):
+    with open(f"{tmp_dir}/gdp per capita.csv", "w") as f:
+        f.write("country,year,infrastructure_score,transport_resilience,energy_resilience,"
+                "water_resilience,digital_resilience\nA,2010,1,1,1,1,1\n")
+    df = read_csv_tagged(spark, f"{tmp_dir}/*.csv", panel_schema(S))
+    assert [r.source for r in df.collect()] == ["raw_gdp per capita"]
