@@ -1,7 +1,7 @@
 """Command line: the reference's runnable jobs.
 
     python -m panelkit pipeline RAW_CSV OUT_DIR [--on-fail warn|raise]
-    python -m panelkit ingest LANDING_DIR OUT_DIR CODE=NAME [CODE=NAME ...]
+    python -m panelkit ingest LANDING_DIR OUT_DIR [CODE=NAME ...]   (default: the reference's 4)
     python -m panelkit catalog FOLDER [--pattern '*.csv']
 
 Run under spark-submit on a cluster (``spark.checkpoint.dir`` must name a
@@ -27,7 +27,8 @@ def main(argv=None) -> int:
     i = sub.add_parser("ingest", help="payload landing folder -> tidy table + catalog (X13)")
     i.add_argument("landing_dir")
     i.add_argument("out_dir")
-    i.add_argument("names", nargs="+", help="indicator CODE=name pairs")
+    i.add_argument("names", nargs="*", help="indicator CODE=name pairs (default: the "
+                   "reference's four indicators)")
     c = sub.add_parser("catalog", help="file catalog of a folder (S12) with totals (A19)")
     c.add_argument("folder")
     c.add_argument("--pattern", default="*.csv")
@@ -41,7 +42,8 @@ def main(argv=None) -> int:
         return 0 if res["success"] else 1
     if args.cmd == "ingest":
         from panelkit.plans.pipeline import ingest_indicators
-        names = dict(x.split("=", 1) for x in args.names)
+        from panelkit.spec import REFERENCE_INDICATORS
+        names = dict(x.split("=", 1) for x in args.names) or REFERENCE_INDICATORS
         catalog = ingest_indicators(spark, args.landing_dir, args.out_dir, names)
         print(f"catalogued {catalog.count()} files under {args.out_dir}")
         return 0

@@ -20,7 +20,7 @@ from panelkit.sources.files import panel_schema, read_csv
 from panelkit.sources.indicator import name_indicators, read_indicator_payloads
 from panelkit.sources.sinks import (load_gold, publish_gold, register_views, save_table,
                                     write_csv, write_json, write_parquet)
-from panelkit.spec import REFERENCE_SPEC, PanelSpec
+from panelkit.spec import REFERENCE_INDICATORS, REFERENCE_SPEC, PanelSpec
 
 GOLD_TABLES = ("clean_infrastructure", "country_summary", "yearly_trends")
 
@@ -71,8 +71,8 @@ def run_pipeline(spark: SparkSession, raw_csv: str, out_dir: str,
 
 
 def ingest_indicators(spark: SparkSession, landing_dir: str, out_dir: str,
-                      names: Mapping[str, str], raw_dir: str | None = None,
-                      wholetext: bool = True) -> DataFrame:
+                      names: Mapping[str, str] = REFERENCE_INDICATORS,
+                      raw_dir: str | None = None, wholetext: bool = True) -> DataFrame:
     """Every payload in the landing folder -> one tidy table partitioned
     by indicator (Parquet) plus one CSV folder per indicator; then the catalog
     of the raw folder and the collection report. Returns the catalog."""

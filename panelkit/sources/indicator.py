@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.spec import REFERENCE_PAGE_SIZE
+
 _IDV = T.StructType([T.StructField("id", T.StringType()), T.StructField("value", T.StringType())])
 
 PAYLOAD_ROW = T.StructType([
@@ -61,7 +63,8 @@ def name_indicators(flat: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return flat.withColumn("indicator", F.coalesce(m[F.col("indicator_id")], F.col("indicator_id")))
 
 
-def encode_envelopes(rows: DataFrame, page_key: str, page_size: int = 5000) -> DataFrame:
+def encode_envelopes(rows: DataFrame, page_key: str,
+                     page_size: int = REFERENCE_PAGE_SIZE) -> DataFrame:
     """Inverse of :func:`parse_envelopes`, used to build landing data from a
     table: envelopes per ``page_key`` value, at most about ``page_size`` rows
     each (the API pages by 5000). A key with more rows is split over

@@ -72,4 +72,14 @@ REFERENCE_LABELS = {
     "digital_resilience": "Digital",
 }
 
+# The indicators the reference collects (API code -> friendly
+# name, in its order) and the API page size.
+REFERENCE_INDICATORS = {
+    "EN.GHG.CO2.PC.CE.AR5": "co2_emissions_per_capita",
+    "NY.GDP.PCAP.CD": "gdp_per_capita",
+    "SP.POP.TOTL": "population_total",
+    "EG.FEC.RNEW.ZS": "renewable_energy_consumption",
+}
+REFERENCE_PAGE_SIZE = 5000
+
 REFERENCE_SPEC = PanelSpec(labels=REFERENCE_LABELS)

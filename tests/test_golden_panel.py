@@ -16,6 +16,7 @@ from panelkit.operators.views import kpis
 from panelkit.sources.grid import reference_panel
 from panelkit.spec import REFERENCE_COUNTRIES, REFERENCE_SPEC as S
 
+# The expected top 10 of 2023.
 TOP10 = [("Indonesia", 84.5), ("Mexico", 82.5), ("Australia", 80.5), ("Spain", 78.5),
          ("South Korea", 76.5), ("Canada", 74.5), ("Brazil", 72.5), ("Italy", 70.5),
          ("France", 68.5), ("United Kingdom", 66.5)]

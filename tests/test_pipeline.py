@@ -58,9 +58,10 @@ def test_ingest_indicators(spark, tmp_dir):
     _land(land, "gdp.json", [_r("NY.GDP.PCAP.CD", y, 1.0 * y) for y in range(2010, 2024)])
     _land(land, "pop.json", [_r("SP.POP.TOTL", y, 2.0) for y in range(2010, 2012)])
     _land(land, "none.json", None)
-    cat = ingest_indicators(spark, land, f"{tmp_dir}/out",
-                            {"NY.GDP.PCAP.CD": "gdp_per_capita", "SP.POP.TOTL": "population_total"})
+    cat = ingest_indicators(spark, land, f"{tmp_dir}/out")   # the reference's code -> name map
     assert sum(r.rows for r in cat.collect()) == 16
+    names = {r.indicator for r in spark.read.parquet(f"{tmp_dir}/out/indicators.parquet").collect()}
+    assert names == {"gdp_per_capita", "population_total"}
     rep = spark.read.json(f"{tmp_dir}/out/collection_report.json").first()
     assert rep.datasets_collected == cat.count()
 
