@@ -16,6 +16,12 @@ The result, for every distinct value, is its multiplicity and the 0-based
 position of its first occurrence in ascending order - which is exactly what a
 competition rank and a linear-interpolation quantile need. The split points
 only affect balance, never the answer.
+
+Trade-off, chosen on purpose: ranking the rows directly with a window over
+(group, bucket) would save the join of the ranks back to the rows, but a
+score shared by a third of a group's rows would then sit in one window
+partition (one task). Collapsing ties first keeps every task bounded; the join
+back is an equi-join on (group, value) whose hot keys AQE splits.
 """
 
 from __future__ import annotations
