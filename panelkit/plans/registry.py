@@ -34,7 +34,8 @@ from panelkit.sources.catalog import catalog_totals, data_catalog
 from panelkit.sources.files import panel_schema, read_csv, read_csv_tagged
 from panelkit.sources.grid import panel_grid
 from panelkit.plans.pipeline import ingest_indicators, run_pipeline
-from panelkit.sources.indicator import FLAT_COLUMNS, encode_envelopes, read_indicator_payloads
+from panelkit.sources.indicator import (FLAT_COLUMNS, encode_envelopes, read_indicator_csv,
+                                        read_indicator_payloads)
 from panelkit.sources.sinks import publish_gold, read_parquet, write_csv, write_parquet
 from panelkit.spec import REFERENCE_SPEC
 
@@ -641,3 +642,29 @@ SELECT * FROM (
   FROM clean) WHERE period_rank <= 10""")
 def q_top_per_period(spark, sf):
     return top_per_period(part_clean(spark, sf), PART_SPEC, 10)
+
+
+def _dict_cell(i, v):
+    """A dict cell as a pandas collector writes it: Python repr."""
+    return F.concat(F.lit("{'id': '"), i, F.lit("', 'value': '"), v, F.lit("'}"))
+
+
+@register("scan_indicator_csv", "WITH " + PART_PANEL + """
+SELECT 'REVENUE' AS indicator_id, 'revenue' AS indicator_name,
+  CAST(l_partkey AS VARCHAR) AS country_id, 'part ' || CAST(l_partkey AS VARCHAR) AS country,
+  'P' || lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS iso3, ship_year AS year, revenue AS value,
+  'raw_worldbank_revenue' AS source
+FROM panel""")
+def q_scan_indicator_csv(spark, sf):
+    """Downloaded indicator CSVs (dict cells in Python repr) -> tidy rows."""
+    base = scratch_path(spark, "raw-indicators")
+    rows = _payload_rows(spark, sf)
+    cells = rows.select(
+        _dict_cell(F.col("indicator.id"), F.col("indicator.value")).alias("indicator"),
+        _dict_cell(F.col("country.id"), F.col("country.value")).alias("country"),
+        "countryiso3code", "date", F.col("value").cast("string").alias("value"),
+        "unit", "obs_status", F.col("decimal").cast("string").alias("decimal"))
+    (cells.write.mode("overwrite").option("header", True).option("escape", '"')
+     .csv(f"{base}/worldbank_revenue"))
+    return read_indicator_csv(spark, f"{base}/worldbank_*/*.csv",
+                              tag_regex=r"/(worldbank_[^/]+)/")

@@ -43,6 +43,12 @@ def read_csv_tagged(spark: SparkSession, pattern: str, schema: T.StructType,
     tag_regex>`` on the path). One DataFrame instead of a table per file, so
     later operators treat the tag as an ordinary key."""
     df = spark.read.option("header", True).schema(schema).csv(pattern)
+    return tag_source(df, tag, tag_regex, prefix)
+
+
+def tag_source(df: DataFrame, tag: str = "source", tag_regex: str | None = None,
+               prefix: str = "raw_") -> DataFrame:
+    """Add the table name of each row's file (from ``_metadata``)."""
     path = decoded_path("_metadata.file_path")
     name = F.regexp_extract(path, tag_regex, 1) if tag_regex else file_stem(path)
     return df.withColumn(tag, F.concat(F.lit(prefix), name))

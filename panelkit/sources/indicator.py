@@ -49,6 +49,35 @@ def parse_envelopes(text: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+# The indicator CSV files a pandas collector writes: the API rows, one column
+# per field, dict-valued cells in Python repr ({'id': 'X', 'value': 'Y'}).
+RAW_CSV_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in PAYLOAD_ROW.fields])
+
+
+def read_indicator_csv(spark: SparkSession, pattern: str, tag: str = "source",
+                       tag_regex: str | None = None) -> DataFrame:
+    """S2 + S3 for already-downloaded indicator CSV files (``worldbank_*.csv``):
+    one scan of every matching file, the dict cells parsed with
+    ``from_json`` (single quotes allowed), the same tidy columns as
+    :func:`parse_envelopes`, plus the ``raw_<file stem>`` table name (or
+    ``raw_<group 1 of tag_regex>`` on the path)."""
+    from panelkit.sources.files import tag_source
+
+    raw = tag_source(spark.read.option("header", True).option("escape", '"')
+                     .schema(RAW_CSV_SCHEMA).csv(pattern), tag, tag_regex)
+    idv = "id string, value string"
+    opts = {"allowSingleQuotes": "true"}
+    ind = F.from_json("indicator", idv, opts)
+    ctry = F.from_json("country", idv, opts)
+    return raw.select(
+        ind["id"].alias("indicator_id"), ind["value"].alias("indicator_name"),
+        ctry["id"].alias("country_id"), ctry["value"].alias("country"),
+        F.col("countryiso3code").alias("iso3"),
+        F.col("date").cast("bigint").alias("year"),
+        F.col("value").cast("double").alias("value"),
+        tag)
+
+
 def read_indicator_payloads(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
     """S3 over a landing folder: one payload per file (``wholetext``, as the
     API returns it; a page holds at most a few thousand rows) or one payload

@@ -129,3 +129,20 @@ def test_glob_tag_decodes_file_names(spark, tmp_dir):
                 "water_resilience,digital_resilience\nA,2010,1,1,1,1,1\n")
     df = read_csv_tagged(spark, f"{tmp_dir}/*.csv", panel_schema(S))
     assert [r.source for r in df.collect()] == ["raw_gdp per capita"]
+
+
+def test_indicator_csv_written_by_pandas(spark, tmp_dir):
+    import pandas as pd
+    from panelkit.sources.indicator import read_indicator_csv
+    rows = [{"indicator": {"id": "SP.POP.TOTL", "value": "Population, total"},
+             "country": {"id": "CI", "value": "Cote d'Ivoire"}, "countryiso3code": "CIV",
+             "date": "2020", "value": 26378275.0, "unit": "", "obs_status": "", "decimal": 0},
+            {"indicator": {"id": "SP.POP.TOTL", "value": "Population, total"},
+             "country": {"id": "AU", "value": "Australia"}, "countryiso3code": "AUS",
+             "date": "2021", "value": None, "unit": "", "obs_status": "", "decimal": 0}]
+    pd.DataFrame(rows).to_csv(f"{tmp_dir}/worldbank_population_total.csv", index=False)
+    got = sorted(read_indicator_csv(spark, f"{tmp_dir}/worldbank_*.csv").collect(),
+                 key=lambda r: r.year)
+    assert [(r.indicator_name, r.country, r.year, r.value, r.source) for r in got] == [
+        ("Population, total", "Cote d'Ivoire", 2020, 26378275.0, "raw_worldbank_population_total"),
+        ("Population, total", "Australia", 2021, None, "raw_worldbank_population_total")]
