@@ -29,6 +29,8 @@ def main(argv=None) -> int:
     i.add_argument("out_dir")
     i.add_argument("names", nargs="*", help="indicator CODE=name pairs (default: the "
                    "reference's four indicators)")
+    i.add_argument("--lines", action="store_true",
+                   help="one payload per line instead of one per file")
     c = sub.add_parser("catalog", help="file catalog of a folder (S12) with totals (A19)")
     c.add_argument("folder")
     c.add_argument("--pattern", default="*.csv")
@@ -44,7 +46,8 @@ def main(argv=None) -> int:
         from panelkit.plans.pipeline import ingest_indicators
         from panelkit.spec import REFERENCE_INDICATORS
         names = dict(x.split("=", 1) for x in args.names) or REFERENCE_INDICATORS
-        catalog = ingest_indicators(spark, args.landing_dir, args.out_dir, names)
+        catalog = ingest_indicators(spark, args.landing_dir, args.out_dir, names,
+                                    wholetext=not args.lines)
         print(f"catalogued {catalog.count()} files under {args.out_dir}")
         return 0
     from panelkit.sources.catalog import catalog_totals, data_catalog

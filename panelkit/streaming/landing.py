@@ -20,10 +20,12 @@ from panelkit.sources.indicator import name_indicators, parse_envelopes
 
 def stream_indicators(spark: SparkSession, landing_dir: str, out_dir: str,
                       checkpoint: str | None = None, names: Mapping[str, str] | None = None,
-                      available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+                      available_now: bool = True, max_files: int | None = None,
+                      wholetext: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what has landed
-    (in ``max_files`` batches) and stops."""
-    src = spark.readStream.format("text").option("wholetext", True)
+    (in ``max_files`` batches) and stops. ``wholetext``: one payload per file
+    (as the API returns it), else one per line."""
+    src = spark.readStream.format("text").option("wholetext", wholetext)
     if max_files:
         src = src.option("maxFilesPerTrigger", max_files)
     flat = parse_envelopes(src.load(landing_dir))
