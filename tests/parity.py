@@ -1,6 +1,6 @@
 """Spark-vs-DuckDB parity for the registered queries.
 
-    python -m tests.parity [sf_dir] [key ...]
+    python -m tests.parity [--partitions N] [sf_dir] [key ...]
 
 Compares row count, column names and the order-insensitive multiset of rows
 (floats compared exactly, then with 1e-9 relative tolerance).
@@ -113,9 +113,13 @@ def compare(spark, sf_dir: str, keys=None, con=None, verbose=True) -> dict:
 if __name__ == "__main__":
     from panelkit.session import get_spark
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:] or None
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    args = sys.argv[1:]
+    parts = 8
+    if args[:1] == ["--partitions"]:
+        parts, args = int(args[1]), args[2:]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:] or None
+    spark = get_spark("local[8]", shuffle_partitions=parts)
     rep = compare(spark, sf, keys)
     bad = [k for k, v in rep.items() if v.get("oracle_rows") is not None and not v["exact"]]
     print("NOT EXACT:", bad)
