@@ -43,13 +43,22 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
                      meta.file_modification_time.alias("mtime"), width.alias("_w"))
              .groupBy("path").agg(F.max("name").alias("name"), F.max("length").alias("length"),
                                   F.max("mtime").alias("mtime"),
-                                  F.max("_w").cast("bigint").alias("columns")))
-    records = (spark.read.options(**opts).option("header", True)
-               .option("multiLine", quoted_newlines)
+                                  F.max("_w").cast("bigint").alias("columns"),
+                                  # non-blank lines minus the header (pandas skips blank lines)
+                                  F.greatest(F.count_if(F.length(line) > 0) - 1, F.lit(0))
+                                  .cast("bigint").alias("_line_rows")))
+    if not quoted_newlines:
+        # No field holds a newline: records are lines, one splittable scan.
+        return _finish(files.withColumnRenamed("_line_rows", "rows"))
+    records = (spark.read.options(**opts).option("header", True).option("multiLine", True)
                .csv(folder)
                .select(meta.file_path.alias("path"))
                .groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
-    return (files.join(records, "path", "left")
+    return _finish(files.drop("_line_rows").join(records, "path", "left"))
+
+
+def _finish(files: DataFrame) -> DataFrame:
+    return (files
             .select(decoded_path("name").alias("filename"),
                     F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
                     "columns",
