@@ -40,12 +40,13 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
     files = (spark.read.options(**opts).text(folder)
              .select(meta.file_path.alias("path"), meta.file_name.alias("name"),
                      meta.file_size.alias("length"),
-                     meta.file_modification_time.alias("mtime"), width.alias("_w"))
+                     meta.file_modification_time.alias("mtime"), width.alias("_w"),
+                     (F.length(line) > 0).alias("_filled"))
              .groupBy("path").agg(F.max("name").alias("name"), F.max("length").alias("length"),
                                   F.max("mtime").alias("mtime"),
                                   F.max("_w").cast("bigint").alias("columns"),
                                   # non-blank lines minus the header (pandas skips blank lines)
-                                  F.greatest(F.count_if(F.length(line) > 0) - 1, F.lit(0))
+                                  F.greatest(F.count_if("_filled") - 1, F.lit(0))
                                   .cast("bigint").alias("_line_rows")))
     if not quoted_newlines:
         # No field holds a newline: records are lines, one splittable scan.
