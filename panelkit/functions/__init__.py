@@ -1,7 +1,6 @@
 from panelkit.functions.scalar import (  # noqa: F401
     bytes_to_mb,
     decoded_path,
-    file_name,
     file_stem,
     fixed_text,
     round_half_up,

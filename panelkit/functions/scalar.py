@@ -67,10 +67,6 @@ def decoded_path(path_col) -> Column:
     return F.url_decode(F.regexp_replace(col(path_col), r"\+", "%2B"))
 
 
-def file_name(path_col) -> Column:
-    return F.regexp_extract(col(path_col), r"([^/]+)$", 1)
-
-
 def file_stem(path_col) -> Column:
     """File name without its last extension (``raw_<stem>`` naming)."""
     return F.regexp_extract(col(path_col), r"([^/]+?)(\.[^./]*)?$", 1)

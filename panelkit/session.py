@@ -97,13 +97,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def materialize(df, name: str = "stage"):
     """Cut lineage at a stage boundary: write the frame once as a Parquet table
     in a new folder under the shared ``spark.checkpoint.dir`` and read it back
