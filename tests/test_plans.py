@@ -85,3 +85,14 @@ def test_nation_panel_aggregates_lines_before_joining(spark):
     first_join = max(i for i, line in enumerate(tree) if "Join" in line)  # deepest join
     below = tree[first_join:]
     assert any("HashAggregate" in line for line in below)
+
+
+def test_no_registered_plan_has_nested_loop_or_cartesian_joins(spark):
+    import __spark_entry__ as E
+    bad = {}
+    for key, build in E.queries().items():
+        text = plan(build(spark, SF))
+        found = [w for w in ("BroadcastNestedLoopJoin", "CartesianProduct") if w in text]
+        if found:
+            bad[key] = found
+    assert not bad
