@@ -84,3 +84,17 @@ def test_cli_pipeline(spark, tmp_dir):
     write_csv(reference_panel(spark), f"{tmp_dir}/raw", single_file=True)
     assert main(["pipeline", f"{tmp_dir}/raw", f"{tmp_dir}/out"]) == 0
     assert spark.read.parquet(f"{tmp_dir}/out/country_summary.parquet").count() == 15
+
+
+def test_cli_ingest_and_catalog(spark, tmp_dir, capsys):
+    from panelkit.__main__ import main
+    land = f"{tmp_dir}/landing"
+    _land(land, "pop.jsonl", [_r("SP.POP.TOTL", 2010, 1.0)])
+    with open(f"{land}/pop.jsonl", "a") as f:       # a second payload on its own line
+        f.write("\n" + json.dumps([{"page": 2}, [_r("SP.POP.TOTL", 2011, 2.0)]]))
+    assert main(["ingest", land, f"{tmp_dir}/out", "--lines"]) == 0
+    tidy = spark.read.parquet(f"{tmp_dir}/out/indicators.parquet")
+    assert sorted(r.year for r in tidy.collect()) == [2010, 2011]
+    assert {r.indicator for r in tidy.collect()} == {"population_total"}
+    assert main(["catalog", f"{tmp_dir}/out/raw"]) == 0
+    assert "datasets_collected" in capsys.readouterr().out
