@@ -30,10 +30,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.session import materialize, shuffle_partitions
 
 _CONST_GROUP = "_pk_all"
+_ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -80,6 +82,10 @@ def value_positions(df: DataFrame, groups: Sequence[str], value: str,
     feed two consumers; both are materialised (Parquet tables in the shared
     folder), so the input is scanned and shuffled once and the split sketch
     is built once."""
+    vtype = df.schema[value].dataType
+    if not isinstance(vtype, _ORDERED):
+        raise TypeError(f"{value}: ordinals need a numeric, date or timestamp column "
+                        f"(split points come from percentile_approx), not {vtype.simpleString()}")
     g = list(groups)
     if not g:
         df = df.withColumn(_CONST_GROUP, F.lit(0))

@@ -145,3 +145,18 @@ def test_rank_null_group_key(spark):
     df = pd.DataFrame(rows, columns=["g", "id", "v"])
     df["r"] = df.groupby("g", dropna=False)["v"].rank(method="min", ascending=False)
     assert {r.id: r.r for r in out.collect()} == {int(i): int(r) for i, r in zip(df["id"], df["r"])}
+
+
+def test_ordinals_reject_unordered_types(spark):
+    from panelkit.operators.profile import domain_stride
+    df = spark.createDataFrame([("a",), ("b",)], "name string")
+    with pytest.raises(TypeError):
+        domain_stride(df, "name")
+
+
+def test_domain_stride_on_dates(spark):
+    import datetime
+    from panelkit.operators.profile import domain_stride
+    days = [(datetime.date(2020, 1, d),) for d in (5, 1, 3, 3, 2)]
+    out = domain_stride(spark.createDataFrame(days, "day date"), "day", 2).orderBy("day").collect()
+    assert [(r.day.day, r.mark) for r in out] == [(1, 0), (3, 1)]   # distinct: 1, 2, 3, 5
