@@ -1,5 +1,6 @@
 from panelkit.functions.scalar import (  # noqa: F401
     bytes_to_mb,
+    colref,
     decoded_path,
     file_stem,
     fixed_text,

@@ -13,6 +13,12 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def colref(name: str) -> Column:
+    """A column by its literal name, even with dots, spaces or backticks in it
+    (``F.col("a.b")`` would mean field b of struct a)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 # Every double of magnitude >= 2^53 is an integer: floor() is the identity there.
 _INTEGRAL = float(2 ** 53)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions import safe_corr
+from panelkit.functions import colref, safe_corr
 from panelkit.operators.leaders import latest_slice, top_n
 from panelkit.operators.ordinal import exact_quantiles, value_positions
 from panelkit.operators.panel import net_change
@@ -26,10 +26,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def _stack(row_df: DataFrame, names: Sequence[str], fields: Sequence[str], key: str) -> DataFrame:
-    """Turn a one-row frame with ``<name>__<field>`` columns into one row per
-    name (a small Expand, no shuffle)."""
+    """Turn a one-row frame with ``_s{i}_{j}`` columns (name i, field j) into
+    one row per name (a small Expand, no shuffle). Positional aliases keep any
+    column name (dots, spaces, backticks) out of column references."""
     structs = [F.struct(F.lit(n).alias(key),
-                        *[F.col(f"{n}__{f}").alias(f) for f in fields]) for n in names]
+                        *[F.col(f"_s{i}_{j}").alias(f) for j, f in enumerate(fields)])
+               for i, n in enumerate(names)]
     return row_df.select(F.inline(F.array(*structs)))
 
 
@@ -46,8 +48,8 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None,
     """A12 + P13: NULL count per column in ONE pass, then long form
     (column_name, null_count); only columns with NULLs by default."""
     cols = list(columns or df.columns)
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(f"{c}__null_count")
-                    for c in cols])
+    wide = df.agg(*[F.count_if(colref(c).isNull()).cast("bigint").alias(f"_s{i}_0")
+                    for i, c in enumerate(cols)])
     out = _stack(wide, cols, ["null_count"], "column_name")
     return out.where(F.col("null_count") > 0) if only_missing else out
 
@@ -74,7 +76,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     # each branch scans only its column, and the branches' tasks run side by
     # side (an unpivot multiplies every row inside the scan's few tasks).
     long = reduce(DataFrame.unionByName, [
-        df.select(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+        df.select(F.lit(c).alias("column_name"), colref(c).cast("double").alias("value"))
         for c in cols])
     v = F.col("value")
     moments = long.groupBy("column_name").agg(
@@ -92,14 +94,15 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     column gives NULL instead of an error."""
     cols = list(columns)
     pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
-    wide = df.agg(*[safe_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    wide = df.agg(*[safe_corr(colref(a), colref(b)).alias(f"_p{k}")
+                    for k, (a, b) in enumerate(pairs)])
     structs = []
-    for a, b in pairs:
+    for k, (a, b) in enumerate(pairs):
         structs.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
-                                F.col(f"`{a}|{b}`").alias("corr")))
+                                F.col(f"_p{k}").alias("corr")))
         if a != b:
             structs.append(F.struct(F.lit(b).alias("var_x"), F.lit(a).alias("var_y"),
-                                    F.col(f"`{a}|{b}`").alias("corr")))
+                                    F.col(f"_p{k}").alias("corr")))
     return wide.select(F.inline(F.array(*structs)))
 
 

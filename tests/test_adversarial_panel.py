@@ -129,3 +129,12 @@ def test_top_per_period_keeps_ties(clean):
     from panelkit.operators.leaders import top_per_period
     rows = top_per_period(clean, S, 1).where("year = 2011").collect()
     assert sorted(r.country for r in rows) == ["A", "B"] and {r.period_rank for r in rows} == {1}
+
+
+def test_profiles_accept_awkward_column_names(spark):
+    from panelkit.operators.profile import correlation_matrix, null_profile
+    df = spark.createDataFrame([(1.0, 2.0, None), (2.0, 4.5, 1.0), (3.0, 5.0, 2.0)],
+                               "`a.b` double, `c d` double, `e|f` double")
+    assert {r.column_name: r.null_count for r in null_profile(df).collect()} == {"e|f": 1}
+    corr = {(r.var_x, r.var_y): r.corr for r in correlation_matrix(df, ["a.b", "c d"]).collect()}
+    assert corr[("a.b", "a.b")] == pytest.approx(1.0) and len(corr) == 4
