@@ -124,7 +124,7 @@ def table_schema(df: DataFrame, table_name: str) -> DataFrame:
 
 def filter_domain(df: DataFrame, column: str) -> DataFrame:
     """A22 + T9: distinct non-NULL values (sorted only when displayed)."""
-    return df.select(column).where(F.col(column).isNotNull()).distinct()
+    return df.select(colref(column).alias(column)).where(colref(column).isNotNull()).distinct()
 
 
 def period_bounds(df: DataFrame, spec: PanelSpec) -> DataFrame:
