@@ -509,6 +509,14 @@ def _payload_rows(spark, sf):
         F.lit("").alias("unit"), F.lit("").alias("obs_status"), F.lit(0).cast("bigint").alias("decimal"))
 
 
+def part_envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """The part panel as API payload pages, a stage table shared by the ingest
+    queries (encoded once per session and data folder)."""
+    return stage_table(spark, f"part_envelopes:{sf}",
+                       lambda: encode_envelopes(_payload_rows(spark, sf), "l_partkey"),
+                       _inputs(sf, "lineitem"))
+
+
 @register("indicator_flatten", "WITH " + PART_PANEL + """
 SELECT 'REVENUE' AS indicator_id, 'revenue' AS indicator_name,
   CAST(l_partkey AS VARCHAR) AS country_id, 'part ' || CAST(l_partkey AS VARCHAR) AS country,
@@ -516,7 +524,7 @@ SELECT 'REVENUE' AS indicator_id, 'revenue' AS indicator_name,
 FROM panel""")
 def q_indicator_flatten(spark, sf):
     path = scratch_path(spark, "payloads")
-    env = encode_envelopes(_payload_rows(spark, sf), "l_partkey")
+    env = part_envelopes(spark, sf)
     # The API's empty answers: element 1 null, empty, or absent -> no rows.
     edge = spark.range(1).select(F.explode(F.array(
         F.lit('[{"page":0}, null]'), F.lit('[{"page":0}, []]'),
@@ -629,7 +637,7 @@ def q_landing_ingest(spark, sf):
     """Payloads landed as files -> tidy table partitioned by indicator (named
     through the code -> name map), raw CSVs, catalog and collection report."""
     land, out = scratch_path(spark, "landing"), scratch_path(spark, "ingest")
-    encode_envelopes(_payload_rows(spark, sf), "l_partkey").write.mode("overwrite").text(land)
+    part_envelopes(spark, sf).write.mode("overwrite").text(land)
     ingest_indicators(spark, land, out, {"REVENUE": "revenue_total"}, wholetext=False)
     return spark.read.parquet(f"{out}/indicators.parquet").select(*FLAT_COLUMNS, "indicator")
 
