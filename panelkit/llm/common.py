@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.session import materialize, scratch_path, shuffle_partitions
 
-__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split"]
+__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split", "BITS", "bitmap", "with_keys"]
+
+BITS = 1 << 23
 
 
 def col(name: str) -> Column:
@@ -73,6 +76,37 @@ def split(part: np.ndarray, *arrays):
         yield int(part[o[lo]]), [a[o[lo:hi]] for a in arrays]
 
 
+def bitmap(df: DataFrame, position: Column) -> bytes:
+    """One bit per ``position`` (0 to BITS - 1): at most 256 rows of 4 KB reach the driver."""
+    rows = (df.select((position + 1).alias("v")).groupBy(F.expr("bitmap_bucket_number(v)").alias("b"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(v))").alias("m")).collect())
+    out = bytearray(BITS // 8)
+    for r in rows:
+        lo = (r["b"] - 1) * 4096
+        out[lo:lo + len(r["m"])] = r["m"]
+    return bytes(out)
+
+
+def _having(bits: bytes):
+    def run(batches):
+        table = np.frombuffer(bits, np.uint8)
+        for b in batches:
+            k = b.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
+            at = (k ^ (k >> 23)) & (BITS - 1)
+            yield b.filter(pa.array((table[at >> 3] >> (at & 7) & 1).astype(bool)))
+
+    return run
+
+
+def with_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``rows (key, text)`` whose key is among the distinct ``keys (key)``.
+
+    Tasks first drop rows by a bitmap of fixed size, so of a large table only the
+    rows asked for (and false positives) are shuffled to the join."""
+    bits = bitmap(keys, F.expr(f"(key ^ shiftright(key, 23)) & {BITS - 1}"))
+    return rows.mapInArrow(_having(bits), rows.schema.simpleString()[7:-1].replace(":", " ")).join(keys, "key")
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``links (a, b)``: a stored table ``(node, root)``,
     root the smallest node of the component, one row per linked node.

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col, components, materialize, ordered, pack, partitions, split, unpack
+from panelkit.llm.common import col, components, materialize, ordered, pack, partitions, split, unpack, with_keys
 
 SIDE = 12  # sub-keys of a collection
 HASHES = 4 * SIDE
@@ -346,7 +346,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = materialize(near, "near")
 
     need = near.select(F.col("x").alias("key")).unionByName(near.select(F.col("centre").alias("key"))).distinct()
-    texts = materialize(rows.select("key", "text").join(need, "key").dropDuplicates(["key"]), "texts")
+    need = materialize(need, "need")
+    texts = materialize(with_keys(rows.select("key", "text"), need).dropDuplicates(["key"]), "texts")
 
     far0 = F.lit(0).cast("bigint").alias("far")
     # Small tables of counts are written, so that these joins can be split by AQE.

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col, materialize
+from panelkit.llm.common import BITS, bitmap, col, materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,7 +44,6 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _EDGES = ".,;:!?()[]{}<>\"'|*#$%&"
 _DIGITS = re.compile("[0-9]")
-BITS = 1 << 23
 SPAN = "array<struct<s:int,e:int,k:int,entity:string>>"
 NEAR = "array<struct<entity:string,term:string,s:int,e:int>>"
 
@@ -135,7 +134,7 @@ def _scan(names: list[str], window: int, reach: int):
     return run
 
 
-def _frequencies(bitmap: bytes):
+def _frequencies(bits: bytes):
     """Document frequencies of the terms whose bit is set, by task."""
     def run(batches):
         count: Counter = Counter()
@@ -155,7 +154,7 @@ def _frequencies(bitmap: bytes):
                             seen.clear()
                         t = _core(w)
                         h = crc32(t.encode("utf-8", "surrogatepass")) % BITS
-                        t = seen[w] = t if bitmap[h >> 3] >> (h & 7) & 1 else ""
+                        t = seen[w] = t if bits[h >> 3] >> (h & 7) & 1 else ""
                     if t:
                         hits.add(t)
                 count.update(hits)
@@ -168,18 +167,6 @@ def _frequencies(bitmap: bytes):
     return run
 
 
-def _bitmap(terms: DataFrame) -> bytes:
-    """One bit per hashed term: at most 256 rows of 4 KB reach the driver."""
-    at = F.expr(f"crc32(encode(term, 'UTF-8')) % {BITS} + 1")
-    rows = (terms.select(at.alias("v")).groupBy(F.expr("bitmap_bucket_number(v)").alias("b"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(v))").alias("m")).collect())
-    out = bytearray(BITS // 8)
-    for r in rows:
-        lo = (r["b"] - 1) * 4096
-        out[lo:lo + len(r["m"])] = r["m"]
-    return bytes(out)
-
-
 def find_spans(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, with_text: bool = False,
                window: int = 8, reach: int = 400, support: int = 3, generalise_bits: float = 1.0,
                remove_bits: float = 0.15) -> DataFrame:
@@ -200,17 +187,17 @@ def find_spans(docs: DataFrame, text_col: str = "text", carry: list[str] | None
              .groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"))
              .where(F.col("texts") >= support).select("entity", "term", "n_pair"))
     pairs = materialize(pairs, "pairs")
-    bitmap = _bitmap(pairs.select("term"))
+    bits = bitmap(pairs, F.expr(f"crc32(encode(term, 'UTF-8')) % {BITS}"))
     base = stored.withColumn("_base", F.expr("transform(_spans, x -> struct(x.s, x.e, x.k, true AS removed))"))
     kept = [*inner, *["_text"] * with_text]
-    if not any(bitmap):
+    if not any(bits):
         out = base.select(*kept, F.col("_base").alias("_all"))
     else:
-        freq = (docs.select(col(text_col).cast("string").alias("t")).mapInArrow(_frequencies(bitmap), "term string, n bigint")
+        freq = (docs.select(col(text_col).cast("string").alias("t")).mapInArrow(_frequencies(bits), "term string, n bigint")
                 .groupBy("term").agg(F.sum("n").alias("n_term")))
         # PMI(t;e) - IC(e) = log2 p(e|t): corpus size and entity frequency cancel.
-        bits = F.log2(F.col("n_pair") / F.col("n_term"))
-        tell = (pairs.join(freq, "term").withColumn("bits", bits).where(F.col("bits") >= -generalise_bits)
+        told_by = F.log2(F.col("n_pair") / F.col("n_term"))
+        tell = (pairs.join(freq, "term").withColumn("bits", told_by).where(F.col("bits") >= -generalise_bits)
                 .select("entity", "term", (F.col("bits") >= -remove_bits).alias("removed")))
         term = F.struct("s", "e", F.lit(KINDS.index("term")).alias("k"), "removed")
         added = (occ.join(tell, ["entity", "term"]).groupBy("_row", "s", "e").agg(F.max("removed").alias("removed"))
