@@ -41,7 +41,7 @@ from panelkit.llm.common import col, components, materialize, ordered, pack, par
 SIDE = 12  # sub-keys of a collection
 HASHES = 4 * SIDE
 NEAR = 14  # of HASHES sketch values must agree: similarity 0.5 falls short with probability 2e-3, 0.8 with 1e-13
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 INDEX = 64  # texts of a block's inverted index
 SALT = 128  # members of a centre per block
 _MIX = 0x9E3779B97F4A7C15
@@ -135,22 +135,28 @@ def sketches(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def _sketch(n_carry: int, words: int):
     def run(batches):
         for b in batches:
-            texts = b.column("text").to_pylist()
-            h, n = shingle_sets(texts, words)
-            some = np.flatnonzero(n)
-            mh = sketches(h, n[some]) if len(some) else np.zeros((0, HASHES), np.uint32)
-            at = np.cumsum(n) - n
-            h1, h2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-            if len(some):  # the set's own name: two sums of mixed members
-                h1[some] = np.add.reduceat(_mix(h + np.uint64(1)), at[some])
-                h2[some] = np.add.reduceat(_mix(h ^ np.uint64(_MIX)), at[some])
-            raw = [None] * len(n)
-            for i, row in zip(some.tolist(), mh):
-                raw[i] = row.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(f"c{i}") for i in range(n_carry)), b.column("key"), pa.array(n.astype(np.int64)),
-                 pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(raw, pa.binary())],
-                names=[*(f"c{i}" for i in range(n_carry)), "key", "n", "h1", "h2", "sketch"])
+            # Chunk by chunk: what is worked on at a time stays small beside the batch.
+            text, lo = b.column("text"), 0
+            while lo < b.num_rows:
+                texts, size = [], 0
+                while lo + len(texts) < b.num_rows and size < BLOCK:
+                    texts.append(text[lo + len(texts)].as_py())
+                    size += len(texts[-1])
+                part = b.slice(lo, len(texts))
+                lo += len(texts)
+                h, n = _sets(texts, words)
+                some = np.flatnonzero(n)
+                at = (np.cumsum(n) - n)[some]
+                h1, h2, raw = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64), [None] * len(n)
+                if len(some):  # the set's own name: two sums of mixed members
+                    h1[some] = np.add.reduceat(_mix(h + np.uint64(1)), at)
+                    h2[some] = np.add.reduceat(_mix(h ^ np.uint64(_MIX)), at)
+                    for i, row in zip(some.tolist(), sketches(h, n[some])):
+                        raw[i] = row.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(f"c{i}") for i in range(n_carry)), part.column("key"), pa.array(n.astype(np.int64)),
+                     pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(raw, pa.binary())],
+                    names=[*(f"c{i}" for i in range(n_carry)), "key", "n", "h1", "h2", "sketch"])
 
     return run
 
