@@ -103,7 +103,14 @@ class Transducer:
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
         self.byte = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == BYTE}
         self.unk = self.kinds.index(UNKNOWN)
-        self.longest = max(map(len, self.ids), default=1)
+        self.trie: dict = {}
+        for p, i in self.ids.items():
+            node = self.trie
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = i
+        # A character that no piece has costs more than any piece.
+        self.alone = 10.0 - min(self.scores, default=0.0)
         inside = {c for p in self.ids if len(p) > 1 for c in p}
         if any(META in p.lstrip(META) for p in self.ids):
             self.cut = re.compile("(?s).+")
@@ -115,7 +122,9 @@ class Transducer:
             self.out.append(bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else
                             " ⁇ ".encode() if k == UNKNOWN else p.replace(META, " ").encode())
         self.is_byte = [k == BYTE for k in self.kinds]
+        self.size = [len(p) for p in self.pieces]
         self.pairs: dict = {}
+        self.prefixes: dict = {}
         self.words: dict = {}
 
     # N
@@ -131,77 +140,120 @@ class Transducer:
     def merged(self, text: str) -> list[str]:
         """The merge procedure on a short text: best-scoring pair first, leftmost of equals."""
         s = list(text)
-        while len(s) > 1:
-            best, at = -INF, -1
-            for i in range(len(s) - 1):
-                k = self.ids.get(s[i] + s[i + 1])
-                if k is not None and self.scores[k] > best:
-                    best, at = self.scores[k], i
-            if at < 0:
+        get, scores = self.ids.get, self.scores
+        value = [-INF if (k := get(a + b)) is None else scores[k] for a, b in zip(s, s[1:])]
+        while value:
+            best = max(value)
+            if best == -INF:
                 break
+            at = value.index(best)
             s[at:at + 2] = [s[at] + s[at + 1]]
+            del value[at]
+            for i in (at - 1, at):
+                if 0 <= i < len(value):
+                    k = get(s[i] + s[i + 1])
+                    value[i] = -INF if k is None else scores[k]
         return s
 
-    def weight(self, left: str, right: str) -> float:
-        """Weight of ``right`` after ``left`` ('' at a word's start)."""
-        w = self.pairs.get((left, right))
-        if w is None:
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            want = [left, right] if left else [right]
-            w = self.pairs[left, right] = 0.0 if not self.bpe or self.merged(left + right) == want else INF
-        return w
+    def allowed(self, left: int, right: int) -> bool:
+        """Whether weight is 0 (not infinite) for ``right`` after ``left`` (-1: at a word's start)."""
+        if len(self.pairs) > 300_000:
+            self.pairs.clear()
+        want = [self.name(left), self.name(right)] if left != -1 else [self.name(right)]
+        got = self.pairs[left << 21 | right] = self.merged("".join(want)) == want
+        return got
+
+    def name(self, state: int) -> str:
+        """A state is a piece's id, or behind those a character that no piece has."""
+        return self.pieces[state] if state < len(self.pieces) else chr(state - len(self.pieces))
 
     # shortest path
-    def path(self, word: str) -> list[str]:
-        n = len(word)
-        cost, back = [0.0] + [INF] * n, [""] + [""] * n
+    def ending(self, word: str, end: int) -> list:
+        """(start, state) of the arcs that end at ``end``, shortest first: pieces by the
+        lexicon's reversed trie, and the character alone."""
+        node, i, found = self.trie, end, []
+        while i:
+            i -= 1
+            node = node.get(word[i])
+            if node is None:
+                break
+            k = node.get("")
+            if k is not None:
+                found.append((i, k))
+        if not found or found[0][0] != end - 1:
+            found.insert(0, (end - 1, len(self.pieces) + ord(word[end - 1])))
+        return found
+
+    def last(self, word: str, end: int, memo: dict) -> int:
+        """Last state of the only path of weight 0 over ``word[:end]``; only
+        the prefixes that it asks for are looked at."""
+        short = end <= 8
+        got = self.prefixes.get(word[:end]) if short else memo.get(end)
+        if got is not None:
+            return got
+        for i, k in reversed(self.ending(word, end)):  # at most one arc has weight 0
+            left = self.last(word, i, memo) if i else -1
+            ok = self.pairs.get(left << 21 | k)
+            if self.allowed(left, k) if ok is None else ok:
+                if short:
+                    self.prefixes[word[:end]] = k
+                else:
+                    memo[end] = k
+                return k
+        raise AssertionError("a prefix without a path")
+
+    def path(self, word: str) -> list[int]:
+        """States of the shortest path."""
+        n, size, out = len(word), self.size, []
+        if self.bpe and n <= 100:
+            memo: dict = {}
+            while n:
+                k = self.last(word, n, memo)
+                out.append(k)
+                n -= size[k] if k < len(size) else 1
+            return out[::-1]
+        back, cost = [(0, -1)] * (n + 1), [0.0] * (n + 1)
         for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                if cost[start] == INF:
-                    continue
-                piece = word[start:end]
-                k = self.ids.get(piece)
-                if k is None and end - start > 1:
-                    continue
-                c = cost[start] + self.weight(back[start], piece)
-                if not self.bpe:
-                    # A character that no piece has costs more than any piece.
-                    c += -self.scores[k] if k is not None else 10.0 - min(self.scores)
+            cost[end] = INF
+            for i, k in self.ending(word, end):
+                if self.bpe:
+                    ok = self.pairs.get(back[i][1] << 21 | k)
+                    c = 0.0 if (self.allowed(back[i][1], k) if ok is None else ok) else INF
+                else:
+                    c = cost[i] + (self.alone if k >= len(size) else -self.scores[k])
                 if c < cost[end]:
-                    cost[end], back[end] = c, piece
-                    if self.bpe:
-                        break  # 0: nothing is shorter
-        out = []
+                    cost[end], back[end] = c, (i, k)
         while n:
-            out.append(back[n])
-            n -= len(back[n])
+            n, k = back[n]
+            out.append(k)
         return out[::-1]
 
-    def word_ids(self, word: str) -> list[int]:
+    def word_ids(self, word: str) -> bytes:
         out = []
-        for p in self.path(word):
-            k = self.ids.get(p)
-            if k is not None:
+        for k in self.path(word):
+            if k < len(self.pieces):
                 out.append(k)
             elif self.byte:
-                out += [self.byte[b] for b in p.encode("utf-8", "surrogatepass")]
+                out += [self.byte[b] for b in self.name(k).encode("utf-8", "surrogatepass")]
             else:
                 out.append(self.unk)
-        return out
+        return np.array(out, "<u4").tobytes()
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
         out, words = [], self.words
+        if len(words) > 200_000:
+            words.clear()
+        if len(self.prefixes) > 200_000:
+            self.prefixes.clear()
         for w in self.cut.findall(self.normalise(text)):
             got = words.get(w)
             if got is None:
                 got = self.word_ids(w)
-                if len(w) <= 64:
-                    if len(words) > 1_000_000:
-                        words.clear()
+                if len(w) <= 24:
                     words[w] = got
-            out += got
-        return out
+            out.append(got)
+        return b"".join(out)
 
     def decode(self, ids) -> str:
         """Inverse projection of the path; the dummy prefix goes."""
@@ -221,7 +273,7 @@ def _encode(path: str):
     def run(batches):
         t = compiled(path)
         for b in batches:
-            ids = [None if x is None else np.array(t.encode(x), "<u4").tobytes() for x in b.column(b.num_columns - 1).to_pylist()]
+            ids = [None if x is None else t.encode(x) for x in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.binary())], names=[*b.schema.names[:-1], "_x"])
 
     return run
