@@ -30,6 +30,7 @@ import re
 import struct
 import sys
 import types
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ from panelkit.llm.common import col
 META = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 INF = float("inf")
+ROWS = 512
 
 
 def _cache() -> dict:
@@ -103,12 +105,6 @@ class Transducer:
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
         self.byte = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == BYTE}
         self.unk = self.kinds.index(UNKNOWN)
-        self.trie: dict = {}
-        for p, i in self.ids.items():
-            node = self.trie
-            for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = i
         # A character that no piece has costs more than any piece.
         self.alone = 10.0 - min(self.scores, default=0.0)
         inside = {c for p in self.ids if len(p) > 1 for c in p}
@@ -127,6 +123,17 @@ class Transducer:
         self.prefixes: dict = {}
         self.words: dict = {}
 
+    @cached_property
+    def trie(self) -> dict:
+        """The lexicon by reversed pieces, built for encoding only."""
+        out: dict = {}
+        for p, i in self.ids.items():
+            node = out
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = i
+        return out
+
     # N
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -157,7 +164,7 @@ class Transducer:
 
     def allowed(self, left: int, right: int) -> bool:
         """Whether weight is 0 (not infinite) for ``right`` after ``left`` (-1: at a word's start)."""
-        if len(self.pairs) > 300_000:
+        if len(self.pairs) > 250_000:
             self.pairs.clear()
         want = [self.name(left), self.name(right)] if left != -1 else [self.name(right)]
         got = self.pairs[left << 21 | right] = self.merged("".join(want)) == want
@@ -242,9 +249,9 @@ class Transducer:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         out, words = [], self.words
-        if len(words) > 200_000:
+        if len(words) > 120_000:
             words.clear()
-        if len(self.prefixes) > 200_000:
+        if len(self.prefixes) > 120_000:
             self.prefixes.clear()
         for w in self.cut.findall(self.normalise(text)):
             got = words.get(w)
@@ -269,22 +276,15 @@ def compiled(path: str) -> Transducer:
     return got
 
 
-def _encode(path: str):
-    def run(batches):
-        t = compiled(path)
-        for b in batches:
-            ids = [None if x is None else t.encode(x) for x in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.binary())], names=[*b.schema.names[:-1], "_x"])
-
-    return run
-
-
-def _decode(path: str):
+def _converted(path: str, kind: pa.DataType, one):
+    """The last column put through ``one(transducer, value)``, some rows at a time."""
     def run(batches):
         t = compiled(path)
         for b in batches:
-            text = [None if x is None else t.decode(np.frombuffer(x, "<u4").tolist()) for x in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(text, pa.string())], names=[*b.schema.names[:-1], "_x"])
+            for lo in range(0, b.num_rows, ROWS):
+                s = b.slice(lo, ROWS)
+                new = [None if x is None else one(t, x) for x in s.column(s.num_columns - 1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*s.columns[:-1], pa.array(new, kind)], names=s.schema.names)
 
     return run
 
@@ -298,12 +298,12 @@ def _mapped(df: DataFrame, source: str, out: str, kind: str, run) -> DataFrame:
 
 def encode(df: DataFrame, model_path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """Adds ``out``: piece ids as little-endian unsigned 32-bit integers."""
-    return _mapped(df, text_col, out, "binary", _encode(model_path))
+    return _mapped(df, text_col, out, "binary", _converted(model_path, pa.binary(), lambda t, x: t.encode(x)))
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds ``out``: the text of ``ids_col``."""
-    return _mapped(df, ids_col, out, "string", _decode(model_path))
+    return _mapped(df, ids_col, out, "string", _converted(model_path, pa.string(), lambda t, x: t.decode(np.frombuffer(x, "<u4").tolist())))
 
 
 def token_count(ids: str):
