@@ -85,7 +85,8 @@ def _chunks(texts):
         yield lo, len(texts)
 
 
-def _sets(texts, k):
+def shingle_sequence(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of all texts by position, and the text of each."""
     lower, ink_of = _tables()
     # A separator behind each text keeps words apart.
     buf = lower[np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)]
@@ -93,7 +94,7 @@ def _sets(texts, k):
     ink = ink_of[buf]
     begin = np.flatnonzero(ink & ~np.concatenate([[False], ink[:-1]]))
     if not len(begin):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     at = np.flatnonzero(ink)
     first = np.searchsorted(at, begin)
     within = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
@@ -109,7 +110,11 @@ def _sets(texts, k):
     for j in range(k):
         use = size[start] > j
         h[use] = _mix(h[use] * np.uint64(3) + word[start[use] + j] + np.uint64(j + 1))
-    owner = doc[start]
+    return h, doc[start]
+
+
+def _sets(texts, k):
+    h, owner = shingle_sequence(texts, k)
     o = np.lexsort((h, owner))
     h, owner = h[o], owner[o]
     new = np.ones(len(h), bool)

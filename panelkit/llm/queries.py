@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import mcd, mil_quality, minhash_tensor, packing, sanitise, suffix_dedup, topk, warc, wfst
+from panelkit.llm import compact_windows, mcd, mil_quality, minhash_tensor, packing, sanitise, suffix_dedup, topk, warc, wfst
 from panelkit.llm.common import table
 
 
@@ -30,6 +30,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near-duplicate passages, and how many other texts it shares one with."""
+    _, members = compact_windows.near_passages(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return members.select("doc_id", F.col("class").alias("class_id"), F.col("links").alias("n_links"), F.col("copies").alias("n_copies"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the verdict on every document."""
     return mcd.quality_rules(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
@@ -84,6 +90,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_compact_windows": op3_compact_windows,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_minhash_tensor": op6_minhash_tensor,
