@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit.session import materialize, scratch_path, shuffle_partitions
 
-__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split", "BITS", "bitmap", "with_keys"]
+__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split", "BITS", "bitmap", "with_keys", "without_keys", "drop"]
 
 BITS = 1 << 23
 
@@ -87,24 +87,44 @@ def bitmap(df: DataFrame, position: Column) -> bytes:
     return bytes(out)
 
 
-def _having(bits: bytes):
+def _having(bits: bytes, wanted: bool):
     def run(batches):
         table = np.frombuffer(bits, np.uint8)
         for b in batches:
             k = b.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
             at = (k ^ (k >> 23)) & (BITS - 1)
-            yield b.filter(pa.array((table[at >> 3] >> (at & 7) & 1).astype(bool)))
+            yield b.filter(pa.array((table[at >> 3] >> (at & 7) & 1).astype(bool) == wanted))
 
     return run
 
 
+def _by_bitmap(rows: DataFrame, keys: DataFrame, *wanted: bool) -> list[DataFrame]:
+    bits = bitmap(keys, F.expr(f"(key ^ shiftright(key, 23)) & {BITS - 1}"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return [rows.mapInArrow(_having(bits, w), schema) for w in wanted]
+
+
 def with_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``rows (key, text)`` whose key is among the distinct ``keys (key)``.
+    """The rows of ``rows`` whose ``key`` is among the distinct ``keys (key)``.
 
     Tasks first drop rows by a bitmap of fixed size, so of a large table only the
     rows asked for (and false positives) are shuffled to the join."""
-    bits = bitmap(keys, F.expr(f"(key ^ shiftright(key, 23)) & {BITS - 1}"))
-    return rows.mapInArrow(_having(bits), rows.schema.simpleString()[7:-1].replace(":", " ")).join(keys, "key")
+    return _by_bitmap(rows, keys, True)[0].join(keys, "key")
+
+
+def without_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The other rows: those that the bitmap knows nothing of are not shuffled."""
+    maybe, free = _by_bitmap(rows, keys, True, False)
+    return free.unionByName(maybe.join(keys, "key", "left_anti"))
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables (of ``materialize``) that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
