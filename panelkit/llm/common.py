@@ -98,24 +98,24 @@ def _having(bits: bytes, wanted: bool):
     return run
 
 
-def _by_bitmap(rows: DataFrame, keys: DataFrame, *wanted: bool) -> list[DataFrame]:
-    bits = bitmap(keys, F.expr(f"(key ^ shiftright(key, 23)) & {BITS - 1}"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return [rows.mapInArrow(_having(bits, w), schema) for w in wanted]
-
-
 def with_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``rows`` whose ``key`` is among the distinct ``keys (key)``.
 
     Tasks first drop rows by a bitmap of fixed size, so of a large table only the
     rows asked for (and false positives) are shuffled to the join."""
-    return _by_bitmap(rows, keys, True)[0].join(keys, "key")
+    bits = bitmap(keys, F.expr(f"(key ^ shiftright(key, 23)) & {BITS - 1}"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(_having(bits, True), schema).join(keys, "key")
 
 
-def without_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The other rows: those that the bitmap knows nothing of are not shuffled."""
-    maybe, free = _by_bitmap(rows, keys, True, False)
-    return free.unionByName(maybe.join(keys, "key", "left_anti"))
+def without_keys(rows: DataFrame, keys: DataFrame, then, schema: str) -> DataFrame:
+    """``then`` (a function for mapInArrow) over the other rows. Those that the bitmap knows
+    nothing of are not shuffled, and filtered in the process that goes on with them."""
+    bits = bitmap(keys, F.expr(f"(key ^ shiftright(key, 23)) & {BITS - 1}"))
+    inner = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    maybe = rows.mapInArrow(_having(bits, True), inner).join(keys, "key", "left_anti")
+    free = _having(bits, False)
+    return rows.mapInArrow(lambda batches: then(free(batches)), schema).unionByName(maybe.mapInArrow(then, schema))
 
 
 def drop(*tables: DataFrame) -> None:
