@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import mcd, minhash_tensor, packing, sanitise, suffix_dedup
-from panelkit.llm.common import materialize, table
+from panelkit.llm.common import bounded_batches, materialize, table
 from panelkit.llm.queries import tokenizer_path
 
 
@@ -23,6 +23,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
+    bounded_batches(spark)
     return mcd.quality_rules(docs).where("kept").select(*docs.columns)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit.session import materialize, scratch_path, shuffle_partitions
 
-__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split", "BITS", "bitmap", "with_keys", "without_keys", "drop"]
+__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split", "BITS", "bitmap", "with_keys", "without_keys", "drop", "bounded_batches"]
 
 BITS = 1 << 23
 
@@ -20,7 +20,18 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
+    """Smaller Arrow batches between Spark and Python, so that the memory of a task
+    stays small beside its executor's whatever the texts' lengths; a session that sets
+    them itself keeps its own values."""
+    for name, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(key, None) is None:  # not set by the session
+            spark.conf.set(key, str(value))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

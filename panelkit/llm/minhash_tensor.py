@@ -137,7 +137,7 @@ def sketches(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(n_carry: int, words: int):
+def _sketch(words: int):
     def run(batches):
         for b in batches:
             # Chunk by chunk: what is worked on at a time stays small beside the batch.
@@ -159,9 +159,8 @@ def _sketch(n_carry: int, words: int):
                     for i, row in zip(some.tolist(), sketches(h, n[some])):
                         raw[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(f"c{i}") for i in range(n_carry)), part.column("key"), pa.array(n.astype(np.int64)),
-                     pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(raw, pa.binary())],
-                    names=[*(f"c{i}" for i in range(n_carry)), "key", "n", "h1", "h2", "sketch"])
+                    [part.column("key"), pa.array(n.astype(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
+                     pa.array(raw, pa.binary())], names=["key", "n", "h1", "h2", "sketch"])
 
     return run
 
@@ -337,9 +336,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     inner = [f"c{i}" for i in range(len(carry) + 1)]
     p = partitions(docs)
     rows, plain = ordered(docs, id_col, text_col, [*carry, id_col], inner)
-    schema = ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in inner),
-                        "key bigint, n bigint, h1 bigint, h2 bigint, sketch binary"])
-    made = materialize(rows.mapInArrow(_sketch(len(inner), words), schema), "sketches")
+    made = rows.select("key", "text").mapInArrow(_sketch(words), "key bigint, n bigint, h1 bigint, h2 bigint, sketch binary")
+    made = materialize(made if plain else made.dropDuplicates(["key"]), "sketches")
 
     sets = materialize(made.where("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("x"), F.first("sketch").alias("sketch")), "sets")
     keyed = sets.select(F.col("x").alias("key"), "sketch")
@@ -395,12 +393,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = components(links)
     named = sets.select("h1", "h2", "x").join(comp, F.col("x") == F.col("node"), "left").select(
         "h1", "h2", F.coalesce("root", "x").alias("root"))
-    out = made.join(named.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
-    out = out.withColumn("root", F.coalesce("root", "key"))
+    verdict = made.select(F.col("key").alias("k"), "n", "h1", "h2").join(
+        named.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
+    verdict = materialize(verdict.select("k", "n", F.coalesce("root", "k").alias("root")), "verdict")
+    out = rows.select(*inner, "key").join(verdict, F.col("key") == F.col("k"))
     ident = F.col("root")
     if not plain:
-        names = made.select(F.col("key").alias("root"), F.col(inner[-1]).cast("bigint").alias("root_id")).distinct()
-        out, ident = out.join(names, "root"), F.col("root_id")
+        names = rows.select(F.col("key").alias("named"), F.col(inner[-1]).cast("bigint").alias("root_id")).distinct()
+        out, ident = out.join(names, F.col("root") == F.col("named")), F.col("root_id")
     return out.select(*inner[:-1], F.col("n").alias("n_shingles"), ident.alias("component"), (F.col("root") == F.col("key")).alias("kept")).toDF(
         *carry, "n_shingles", "component", "kept")
 
