@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from panelkit.session import materialize, scratch_path, shuffle_partitions
 
-__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split", "BITS", "bitmap", "with_keys", "without_keys", "drop", "bounded_batches"]
+__all__ = ["col", "table", "partitions", "materialize", "scratch_path", "ordered", "components", "pack", "unpack", "split", "BITS", "bitmap", "with_keys", "without_keys", "drop", "bounded_batches", "released"]
 
 BITS = 1 << 23
 
@@ -20,6 +22,19 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def released(run):
+    """``run`` of a mapInArrow, giving freed memory back to the system when its task ends:
+    Python workers outlive their tasks."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
     """Smaller Arrow batches between Spark and Python, so that the memory of a task
     stays small beside its executor's whatever the texts' lengths; a session that sets

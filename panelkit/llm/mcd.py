@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col, materialize
+from panelkit.llm.common import col, materialize, released
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -69,6 +69,7 @@ def statistics(text: str) -> tuple[int, int, int, int, int]:
 
 
 def _stats(keep: int, names: list[str]):
+    @released
     def run(batches):
         for b in batches:
             got = np.array([statistics(x.as_py() or "") for x in b.column(b.num_columns - 1)], np.int64).reshape(-1, P)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col
+from panelkit.llm.common import col, released
 
 PASSAGE = 64
 BLOCK = 4 << 20
@@ -187,6 +187,7 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.encode(col(id_col).cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
 
 
+@released
 def _encoded(batches):
     for b in batches:
         ids = b.column(0)
@@ -220,6 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _score(model):
+    @released
     def run(batches):
         for b in batches:
             out = []

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col, components, materialize, ordered, pack, partitions, split, unpack, with_keys
+from panelkit.llm.common import col, components, materialize, ordered, pack, partitions, released, split, unpack, with_keys
 
 SIDE = 12  # sub-keys of a collection
 HASHES = 4 * SIDE
@@ -138,6 +138,7 @@ def sketches(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _sketch(words: int):
+    @released
     def run(batches):
         for b in batches:
             # Chunk by chunk: what is worked on at a time stays small beside the batch.
@@ -181,6 +182,8 @@ def _emit(parts: int):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
                                           names=["part", "data"])
 
+    @released
+
     def run(batches):
         keys, raws = [], []
         for b in batches:
@@ -195,6 +198,7 @@ def _emit(parts: int):
     return run
 
 
+@released
 def _groups(batches):
     """(table key, text, size) of every key that two texts share."""
     hs, ks = [], []
@@ -216,6 +220,7 @@ def _groups(batches):
                                              names=["g", "x", "size"])
 
 
+@released
 def _agreeing(batches):
     for b in batches:
         a = np.frombuffer(b"".join(b.column("sa").to_pylist()), np.uint32).reshape(-1, HASHES)
@@ -240,6 +245,8 @@ def _compare(percent: int, words: int, every: bool):
         start = np.searchsorted(at[o], np.arange(len(token) + 1))
         return [r[1] for r in rows], n, np.array([r[2] for r in rows]), token, owner[o], start
 
+    @released
+
     def run(batches):
         block, held, idx, root, out = None, [], None, None, []
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col
+from panelkit.llm.common import col, released
 
 SCHEMA = ("id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, loss_tokens bigint, "
           "sequence_id bigint, offset bigint")
@@ -178,6 +178,8 @@ def _pack(path: str, end_id: int, limits, close_at: float, flush: int):
         return pa.RecordBatch.from_arrays(
             [pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in out.items()], names=list(out))
 
+    @released
+
     def run(batches):
         from pyspark import TaskContext
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import BITS, bitmap, col, materialize
+from panelkit.llm.common import BITS, bitmap, col, materialize, released
 
 KINDS = ("email", "ip", "card", "phone", "term")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -119,6 +119,8 @@ def _scan(names: list[str], window: int, reach: int):
     span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("k", pa.int32()), ("entity", pa.string())]))
     around = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())]))
 
+    @released
+
     def run(batches):
         for b in batches:
             spans, near = [], []
@@ -136,6 +138,7 @@ def _scan(names: list[str], window: int, reach: int):
 
 def _frequencies(bits: bytes):
     """Document frequencies of the terms whose bit is set, by task."""
+    @released
     def run(batches):
         count: Counter = Counter()
         seen: dict[str, str] = {}
@@ -236,6 +239,7 @@ def _rewrite(text: str, spans) -> str:
 
 
 def _apply(n: int):
+    @released
     def run(batches):
         for b in batches:
             text, spans = b.column(n).to_pylist(), b.column(n + 1).to_pylist()

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col, materialize, ordered, pack, partitions, split, unpack
+from panelkit.llm.common import col, materialize, ordered, pack, partitions, released, split, unpack
 
 LENGTH = 100
 GRAM = 40
@@ -170,6 +170,8 @@ def _count(parts: int):
         rows += [(p, 2, pack(b, c)) for p, (b, c) in split(_deal(key[d], parts), key[d], pos[d].astype(np.uint32))]
         return _blobs(rows)
 
+    @released
+
     def run(batches):
         powers, held, n = _Powers(), [], 0
         for b in batches:
@@ -188,6 +190,7 @@ def _count(parts: int):
 
 
 def _repeated(parts: int, hot: int):
+    @released
     def run(batches):
         single, many, out = [], [], []
         for b in batches:
@@ -309,6 +312,8 @@ def _runs(parts: int, hot: np.ndarray):
         f = np.flatnonzero(new)
         yield _blobs((p, 1, pack(*x)) for p, x in split((d[f, 0] % np.uint64(parts)).astype(np.int64), d[f, 0], d[f, 1], key[f], pos[f]))
 
+    @released
+
     def run(batches):
         powers, ck, cp, cands, held, warm, n, m = _Powers(), [], [], None, [], [], 0, 0
         for b in batches:
@@ -456,6 +461,7 @@ def _classes(shared, right, left, back, order):
 
 
 def _merge(parts: int):
+    @released
     def run(batches):
         runs, hot, out = [], [], []
         for b in batches:
@@ -523,6 +529,7 @@ def _union(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _cut(n: int):
+    @released
     def run(batches):
         held, cuts = [], None
         for b in batches:
@@ -587,6 +594,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _decoded(n: int):
+    @released
     def run(batches):
         for b in batches:
             out = []

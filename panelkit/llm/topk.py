@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col, partitions
+from panelkit.llm.common import col, partitions, released
 
 ROW_TILE = 4096
 QUERY_TILE = 1024
@@ -63,6 +63,8 @@ def _pack(kind: int, shards: int):
                 at = order[cut[s]:cut[s + 1]]
                 yield _blob(int(s), 0, dim, ids[at], mat[at])
 
+    @released
+
     def run(batches):
         held, n = {}, 0
         for b in batches:
@@ -131,6 +133,7 @@ def _tiles(blobs: list) -> dict:
 
 
 def _search(k: int, fan: int):
+    @released
     def run(batches):
         blobs, tiles = [], None
         for b in batches:

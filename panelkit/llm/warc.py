@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col, scratch_path
+from panelkit.llm.common import col, released, scratch_path
 
 DICT_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
@@ -102,6 +102,8 @@ def _writer(archive_bytes: int, dict_bytes: int, samples: int, level: int, date:
         lead = struct.pack("<II", DICT_MAGIC, len(d)) + d if d else b""
         return pa.RecordBatch.from_pydict({"archive": pa.array([lead + b"".join(map(c.compress, records))], pa.binary())})
 
+    @released
+
     def run(batches):
         held, n = [], 0
         for b in batches:
@@ -247,6 +249,8 @@ def _reader(on_error: str, payloads: bool):
     schema = pa.schema([(n, t) for n, t in zip(names, [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(),
                                                        pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()])])
 
+    @released
+
     def run(batches):
         for b in batches:
             for k in range(b.num_rows):

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import col
+from panelkit.llm.common import col, released
 
 META = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
@@ -278,6 +278,7 @@ def compiled(path: str) -> Transducer:
 
 def _converted(path: str, kind: pa.DataType, one):
     """The last column put through ``one(transducer, value)``, some rows at a time."""
+    @released
     def run(batches):
         t = compiled(path)
         for b in batches:
