@@ -52,18 +52,20 @@ def top_performers(clean: DataFrame, spec: PanelSpec, n: int = 10,
                    summary: DataFrame | None = None) -> DataFrame:
     """The n best entities of the latest period with their summary.
 
-    The top-n is taken first; the summary join then has an n-row broadcast
-    side. Without a published summary, only the n winners are summarised
-    (semi join against the n keys) instead of aggregating every entity."""
-    top = (top_n(latest_slice(clean, spec), spec.score, spec.entity, n)
+    Rows without an entity have no summary and take no place among the n.
+    The top-n is taken first, so one side of the join has n rows; which join to
+    use is left to Catalyst, as n is the caller's. Without a published summary,
+    only the n winners are summarised (semi join) instead of every entity."""
+    known = latest_slice(clean, spec).where(F.col(spec.entity).isNotNull())
+    top = (top_n(known, spec.score, spec.entity, n)
            .select(spec.entity,
                    F.col(spec.score).alias("latest_score"),
                    F.col(spec.rank).alias("latest_rank")))
     if summary is None:
         keys = top.select(spec.entity)
-        summary = entity_summary(clean.join(F.broadcast(keys), spec.entity, "left_semi"), spec)
+        summary = entity_summary(clean.join(keys, spec.entity, "left_semi"), spec)
     return (summary.select(spec.entity, "avg_score", "score_improvement")
-            .join(F.broadcast(top), spec.entity)
+            .join(top, spec.entity)
             .select(spec.entity, "avg_score", "score_improvement", "latest_score", "latest_rank"))
 
 

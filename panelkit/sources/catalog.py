@@ -1,7 +1,7 @@
 """File catalog of a landing folder (S12) and its totals.
 
 One distributed text scan (file names, sizes and times from ``_metadata``,
-the widest line per file) plus one CSV scan for the record counts. No file
+the header line per file) plus one CSV scan for the record counts. No file
 is read by the driver.
 """
 
@@ -25,11 +25,9 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
     task - correct counts first; many files still run in parallel. Without
     it, large files are split across tasks (correct when no field holds a
     newline);
-    columns = field count of the widest line (a well-formed CSV has the
-    header's width on every line); files without a line are skipped, like the
-    unreadable files of the reference."""
-    opts = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower(),
-            "ignoreCorruptFiles": "true"}
+    columns = field count of the header line; files without a line have no row.
+    A file that cannot be read to its end is an error that names it."""
+    opts = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower()}
     meta = F.col("_metadata")
     line = F.col("value")
     # The quote-aware split costs O(n^2) per line; only quoted lines need it.
@@ -41,10 +39,11 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
              .select(meta.file_path.alias("path"), meta.file_name.alias("name"),
                      meta.file_size.alias("length"),
                      meta.file_modification_time.alias("mtime"), width.alias("_w"),
-                     (F.length(line) > 0).alias("_filled"))
+                     (F.length(line) > 0).alias("_filled"),
+                     F.struct(meta.file_block_start, F.monotonically_increasing_id()).alias("_at"))
              .groupBy("path").agg(F.max("name").alias("name"), F.max("length").alias("length"),
                                   F.max("mtime").alias("mtime"),
-                                  F.max("_w").cast("bigint").alias("columns"),
+                                  F.min_by("_w", "_at").cast("bigint").alias("columns"),
                                   # non-blank lines minus the header (pandas skips blank lines)
                                   F.greatest(F.count_if("_filled") - 1, F.lit(0))
                                   .cast("bigint").alias("_line_rows")))
@@ -68,6 +67,17 @@ def _finish(files: DataFrame) -> DataFrame:
                     decoded_path("path").alias("path")))
 
 
+def dataset_catalog(catalog: DataFrame) -> DataFrame:
+    """(dataset, rows, columns, size_mb): the part files of one table are one
+    dataset, named by its folder (``indicator=x`` by x); any other file is its own."""
+    folder = F.regexp_replace(F.element_at(F.split("path", "/"), -2), "^[^=/]+=", "")
+    name = F.when(F.col("filename").startswith("part-"), folder).otherwise(
+        F.regexp_replace("filename", r"\.[^.]+$", ""))
+    return catalog.groupBy(name.alias("dataset")).agg(
+        F.sum("rows").cast("bigint").alias("rows"), F.max("columns").alias("columns"),
+        round_half_up(F.sum("size_mb"), 2).alias("size_mb"))
+
+
 def catalog_totals(catalog: DataFrame) -> DataFrame:
     """Number of datasets and total MB (sum of the rounded sizes, as the
     reference does), plus total rows."""

@@ -25,14 +25,28 @@ def _int_to_bigint(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def _bound(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV columns bound by their header names. Every file's header is checked
+    against the first one's; a missing column, a file whose header differs and a
+    cell that does not parse are errors, never silent NULLs."""
+    names = spark.read.option("header", True).csv(path).columns  # reads one header line
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in its header {names}")
+    known = {f.name: f.dataType for f in schema}
+    given = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+    return (spark.read.option("header", True).option("enforceSchema", False)
+            .option("mode", "FAILFAST").schema(given).csv(path))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header. With a schema (the default for known tables) no
-    inference pass over the data is made; without one, types are inferred
-    (one extra scan) and integers widened to BIGINT."""
-    reader = spark.read.option("header", True)
+    """CSV with a header. With a schema (the default for known tables) its
+    columns are taken by name (see :func:`_bound`) and no inference pass over
+    the data is made; without one, types are inferred (one extra scan) and
+    integers widened to BIGINT."""
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return _int_to_bigint(reader.option("inferSchema", True).csv(path))
+        return _bound(spark, path, schema).select(*schema.fieldNames())
+    return _int_to_bigint(spark.read.option("header", True).option("inferSchema", True).csv(path))
 
 
 def read_csv_tagged(spark: SparkSession, pattern: str, schema: T.StructType,
@@ -42,8 +56,8 @@ def read_csv_tagged(spark: SparkSession, pattern: str, schema: T.StructType,
     the table name its file gives (``raw_<file stem>``, or ``raw_<group 1 of
     tag_regex>`` on the path). One DataFrame instead of a table per file, so
     later operators treat the tag as an ordinary key."""
-    df = spark.read.option("header", True).schema(schema).csv(pattern)
-    return tag_source(df, tag, tag_regex, prefix)
+    df = tag_source(_bound(spark, pattern, schema), tag, tag_regex, prefix)
+    return df.select(*schema.fieldNames(), tag)
 
 
 def tag_source(df: DataFrame, tag: str = "source", tag_regex: str | None = None,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,9 +33,36 @@ PAYLOAD_ROW = T.StructType([
 FLAT_COLUMNS = ["indicator_id", "indicator_name", "country_id", "country", "iso3", "year", "value"]
 
 
-def parse_envelopes(text: DataFrame, column: str = "value") -> DataFrame:
+def payload_status(column: str = "value") -> Column:
+    """'rows', 'empty' (the API's answer without rows) or 'broken' (not a JSON
+    array: a truncated download, an error page)."""
+    v = F.col(column)
+    whole = F.try_parse_json(v)
+    rows = F.get_json_object(v, "$[1]")
+    return (F.when(v.isNull() | whole.isNull() | (F.substring(F.ltrim(v), 1, 1) != "["), "broken")
+            .when(rows.isNull() | (F.substring(F.ltrim(rows), 1, 1) != "["), "empty")
+            .when(F.size(F.from_json(rows, "array<string>")) == 0, "empty").otherwise("rows"))
+
+
+def payload_rejects(text: DataFrame, column: str = "value") -> DataFrame:
+    """Number of payloads by status: what could not be read is counted, not lost."""
+    return text.groupBy(payload_status(column).alias("status")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("payloads"))
+
+
+def parse_envelopes(text: DataFrame, column: str = "value", on_broken: str = "fail") -> DataFrame:
     """Envelope text column -> one flat row per payload row (streaming-safe:
-    no aggregation, so the same function runs on a readStream)."""
+    no aggregation, so the same function runs on a readStream). A broken payload
+    is an error; ``on_broken="skip"`` leaves it out (count it with
+    :func:`payload_rejects`)."""
+    if on_broken not in ("fail", "skip"):
+        raise ValueError("on_broken: fail or skip")
+    broken = payload_status(column) == "broken"
+    if on_broken == "fail":
+        said = F.concat(F.lit("broken payload: "), F.coalesce(F.substring(column, 1, 80), F.lit("NULL")))
+        text = text.where(F.when(broken, F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        text = text.where(~broken)
     rows = F.from_json(F.get_json_object(F.col(column), "$[1]"), T.ArrayType(PAYLOAD_ROW))
     # inline of a NULL or empty array yields no row.
     return text.select(F.inline(rows)).select(
@@ -67,8 +94,9 @@ def read_indicator_csv(spark: SparkSession, pattern: str, tag: str = "source",
                      .schema(RAW_CSV_SCHEMA).csv(pattern), tag, tag_regex)
     idv = "id string, value string"
     opts = {"allowSingleQuotes": "true"}
-    ind = F.from_json("indicator", idv, opts)
-    ctry = F.from_json("country", idv, opts)
+    # Python writes None where JSON has null.
+    cell = lambda c: F.from_json(F.regexp_replace(c, r":\s*None\s*([,}])", ": null$1"), idv, opts)
+    ind, ctry = cell("indicator"), cell("country")
     return raw.select(
         ind["id"].alias("indicator_id"), ind["value"].alias("indicator_name"),
         ctry["id"].alias("country_id"), ctry["value"].alias("country"),
@@ -78,11 +106,12 @@ def read_indicator_csv(spark: SparkSession, pattern: str, tag: str = "source",
         tag)
 
 
-def read_indicator_payloads(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
+def read_indicator_payloads(spark: SparkSession, path: str, wholetext: bool = True,
+                            on_broken: str = "fail") -> DataFrame:
     """S3 over a landing folder: one payload per file (``wholetext``, as the
     API returns it; a page holds at most a few thousand rows) or one payload
     per line."""
-    return parse_envelopes(spark.read.option("wholetext", wholetext).text(path))
+    return parse_envelopes(spark.read.text(path, wholetext=wholetext), on_broken=on_broken)
 
 
 def name_indicators(flat: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -101,9 +130,9 @@ def encode_envelopes(rows: DataFrame, page_key: str,
     retried task builds the same pages - and no group is ever collected
     whole. ``rows`` has the columns of :data:`PAYLOAD_ROW`."""
     row = F.struct(*[F.col(f.name) for f in PAYLOAD_ROW.fields])
-    counts = rows.groupBy(page_key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(F.col(page_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     pages = F.ceil(F.col("_n") / F.lit(float(page_size)))
-    paged = rows.join(counts, page_key).withColumn(
+    paged = rows.join(counts, F.col(page_key).eqNullSafe(F.col("_k"))).withColumn(
         "_page", F.pmod(F.xxhash64(*[F.col(f.name) for f in PAYLOAD_ROW.fields]), pages))
     per_page = paged.groupBy(page_key, "_page").agg(
         F.first(pages).alias("_pages"), F.count(F.lit(1)).alias("_total"),

@@ -30,6 +30,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
                   sort_within: Sequence[str] | None = None, single_file: bool = False) -> str:
     """``COPY t TO f (FORMAT PARQUET)``; ``partition_by`` (e.g. the
     period) enables partition pruning for period filters later."""
+    if partition_by and not single_file:
+        # By range of (partition columns, sort keys): a partition's rows lie in few
+        # tasks, so files number about partitions + tasks, and a large one is split.
+        keys = [*partition_by, *[c for c in sort_within or () if c not in partition_by]]
+        df = df.repartitionByRange(*[F.asc_nulls_last(c) for c in keys])
+        # The writer orders by the partition columns: sort by them first, or it sorts again.
+        sort_within = keys
     w = _prep(df, sort_within, single_file).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
