@@ -3,25 +3,22 @@
 ``RANK() OVER (PARTITION BY year ORDER BY score DESC)`` and an exact
 ``percentile`` both funnel one group through one task: a panel has only a
 handful of periods, so each window partition holds a large share of all rows.
-Here the work is split three ways instead:
+One plan for every size:
 
 1. ``groupBy(group, value).count()`` collapses ties (map-side partial
    aggregation), so even a value held by a third of the rows is one row.
-2. ``percentile_approx`` gives per-group split points; each distinct value
-   falls into one of B buckets (equal values always share a bucket), and the
-   running count is a window over ``(group, bucket)`` - B-way parallel per group.
-3. Bucket totals (``#groups x B`` rows) give each bucket its offset.
+2. The collapsed values are range-partitioned by (group, value) and written
+   once with their partition's number: a group's partitions follow each other
+   in order, and equal values cannot be parted.
+3. Running counts within (group, partition), plus each partition's offset
+   (a table of at most groups + partitions rows).
 
 The result, for every distinct value, is its multiplicity and the 0-based
 position of its first occurrence in ascending order - which is exactly what a
-competition rank and a linear-interpolation quantile need. The split points
+competition rank and a linear-interpolation quantile need. The boundaries
 only affect balance, never the answer.
 
-Trade-off, chosen on purpose: ranking the rows directly with a window over
-(group, bucket) would save the join of the ranks back to the rows, but a
-score shared by a third of a group's rows would then sit in one window
-partition (one task). Collapsing ties first keeps every task bounded; the join
-back is an equi-join on (group, value) whose hot keys AQE splits.
+Building such a frame writes the collapsed values (one table).
 """
 
 from __future__ import annotations
@@ -38,123 +35,68 @@ _CONST_GROUP = "_pk_all"
 _ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def default_buckets(df: DataFrame) -> int:
-    """Buckets per group: one per shuffle partition, so a single huge group is
-    spread over the whole cluster; capped to keep the split sketch small."""
-    return max(2, min(4096, shuffle_partitions(df.sparkSession)))
-
-
-def bucketize(v: DataFrame, groups: Sequence[str], value: str, nb: int,
-              accuracy: int, min_split: int = 10000) -> DataFrame:
-    """``_bucket`` for every distinct value of ``v`` (NULL value: nb).
-
-    Groups with at least ``min_split`` distinct values are cut into nb
-    buckets at per-group ``percentile_approx`` split points: order-preserving,
-    equal values share a bucket, about 1/nb of the group per bucket. Smaller
-    groups stay whole (bucket 0): their window is small anyway, and the split
-    table stays bounded by (distinct values / min_split) x nb however many
-    groups there are. Group keys match NULL-safely (a NULL key is a group)."""
-    fractions = [i / nb for i in range(1, nb)]
-    ren = {c: f"_bk_{i}" for i, c in enumerate(groups)}
-    sizes = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("_nd"))
-    big = sizes.where(F.col("_nd") >= F.lit(min_split)).select(
-        *[F.col(c).alias(a) for c, a in ren.items()])
-    on_big = [v[c].eqNullSafe(big[a]) for c, a in ren.items()]
-    splits = (v.join(big, on_big, "left_semi").groupBy(*groups)
-              .agg(F.percentile_approx(value, fractions, accuracy).alias("_splits"))
-              .select(*[F.col(c).alias(a) for c, a in ren.items()], "_splits"))
-    on_splits = [v[c].eqNullSafe(splits[a]) for c, a in ren.items()]
-    bucket = (F.when(F.col(value).isNull(), F.lit(nb))
-              .when(F.col("_splits").isNull(), F.lit(0))
-              .otherwise(F.size(F.filter("_splits", lambda s: s < F.col(value)))))
-    return (v.join(splits, on_splits, "left").withColumn("_bucket", bucket)
-            .drop("_splits", *ren.values()))
-
-
 def value_positions(df: DataFrame, groups: Sequence[str], value: str,
-                    buckets: int | None = None, checkpoint: bool = True,
-                    min_split: int = 10000) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Distinct (groups..., value) with ``_cnt`` (multiplicity), ``_start``
-    (0-based position of the first occurrence, ascending, NULL last) and
-    ``_n`` (rows in the group).
-
-    The collapsed (group, value, count) table and the bucketed table each
-    feed two consumers; both are materialised (Parquet tables in the shared
-    folder), so the input is scanned and shuffled once and the split sketch
-    is built once."""
+    (0-based position of the first occurrence, ascending, NULL last), ``_n``
+    (rows in the group) and ``_nn`` (those with a value). ``buckets``: range
+    partitions, by default the shuffle partitions."""
     vtype = df.schema[value].dataType
     if not isinstance(vtype, _ORDERED):
-        raise TypeError(f"{value}: ordinals need a numeric, date or timestamp column "
-                        f"(split points come from percentile_approx), not {vtype.simpleString()}")
+        raise TypeError(f"{value}: ordinals need a numeric, date or timestamp column, "
+                        f"not {vtype.simpleString()}")
     g = list(groups)
     if not g:
         df = df.withColumn(_CONST_GROUP, F.lit(0))
         g = [_CONST_GROUP]
-    nb = buckets or default_buckets(df)
-    # Rank error of the split sketch ~ a quarter of a bucket: balance only.
-    accuracy = max(1000, 4 * nb)
-
+    nb = buckets or shuffle_partitions(df.sparkSession)
     v = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    if checkpoint:
-        # Read twice (split sketch, buckets): a written table, so the input is
-        # aggregated once. (A persisted frame would keep every un-coalesced
-        # shuffle partition: measured slower with many shuffle partitions.)
-        v = materialize(v, "value-counts")
-    vb = bucketize(v, g, value, nb, accuracy, min_split)
-    if checkpoint:
-        # The split sketch is built once; both consumers below read the
-        # materialised buckets.
-        vb = materialize(vb, "value-buckets")
-
-    # Bucket totals need no ordering: taken before the window, so the window
-    # over (group, bucket) runs once.
-    totals = vb.groupBy(*g, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
-    earlier = (Window.partitionBy(*g).orderBy("_bucket")
-               .rowsBetween(Window.unboundedPreceding, -1))
+    v = v.repartitionByRange(nb, *[F.asc_nulls_last(c) for c in (*g, value)])
+    v = materialize(v.withColumn("_bucket", F.spark_partition_id()), "values")
+
+    totals = v.groupBy(*g, "_bucket").agg(
+        F.sum("_cnt").alias("_bcnt"),
+        F.sum(F.when(F.col(value).isNotNull(), F.col("_cnt")).otherwise(0)).alias("_bnn"))
+    whole = Window.partitionBy(*g)
+    earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    tren = {c: f"_tg_{i}" for i, c in enumerate(g)}
     totals = totals.select(
-        *g, "_bucket",
+        *[F.col(c).alias(a) for c, a in tren.items()], F.col("_bucket").alias("_tb"),
         F.coalesce(F.sum("_bcnt").over(earlier), F.lit(0)).alias("_boff"),
-        F.sum("_bcnt").over(Window.partitionBy(*g)).alias("_n"))
+        F.sum("_bcnt").over(whole).alias("_n"), F.sum("_bnn").over(whole).alias("_nn"))
 
     within = (Window.partitionBy(*g, "_bucket").orderBy(F.asc_nulls_last(value))
               .rowsBetween(Window.unboundedPreceding, -1))
-    vb = vb.withColumn("_before", F.coalesce(F.sum("_cnt").over(within), F.lit(0)))
-
+    v = v.withColumn("_before", F.coalesce(F.sum("_cnt").over(within), F.lit(0)))
     # NULL-safe on the group keys: a NULL group is a group like any other.
-    tren = {c: f"_tg_{i}" for i, c in enumerate(g)}
-    totals = totals.select(*[F.col(c).alias(a) for c, a in tren.items()],
-                           F.col("_bucket").alias("_tb"), "_boff", "_n")
-    on = [vb[c].eqNullSafe(totals[a]) for c, a in tren.items()] + [vb["_bucket"] == totals["_tb"]]
-    pos = vb.join(totals, on).select(
-        *g, value, "_cnt", (F.col("_boff") + F.col("_before")).alias("_start"), "_n")
-    if g == [_CONST_GROUP]:
-        pos = pos.drop(_CONST_GROUP)
-    return pos
+    on = [v[c].eqNullSafe(totals[a]) for c, a in tren.items()] + [v["_bucket"] == totals["_tb"]]
+    pos = v.join(totals, on).select(
+        *g, value, "_cnt", (F.col("_boff") + F.col("_before")).alias("_start"), "_n", "_nn")
+    return pos.drop(_CONST_GROUP) if g == [_CONST_GROUP] else pos
 
 
 def competition_rank(df: DataFrame, groups: Sequence[str], score: str, out: str,
-                     descending: bool = True, buckets: int | None = None,
-                     min_split: int = 10000) -> DataFrame:
+                     descending: bool = True, buckets: int | None = None) -> DataFrame:
     """``RANK() OVER (PARTITION BY groups ORDER BY score DESC NULLS LAST)`` as
     a BIGINT column ``out``; ties share a rank and leave a gap, NULL scores
-    rank after every non-NULL score of their group."""
-    key = "_rk_key"
-    src = df.withColumn(key, -F.col(score) if descending else F.col(score))
-    pos = value_positions(src.select(*groups, key), groups, key, buckets, min_split=min_split)
+    rank after every non-NULL score of their group, NaN is the largest value."""
+    pos = value_positions(df.select(*groups, score), groups, score, buckets)
+    better = F.col("_start")
+    if descending:  # values above this one: all with a value, less those up to it
+        better = F.when(F.col(score).isNull(), F.col("_nn")).otherwise(
+            F.col("_nn") - F.col("_start") - F.col("_cnt"))
     ren = {c: f"_rk_g{i}" for i, c in enumerate(groups)}
     ranked = pos.select(*[F.col(c).alias(a) for c, a in ren.items()],
-                        F.col(key).alias("_rk_v"),
-                        (F.col("_start") + 1).cast("bigint").alias(out))
-    cond = [src[c].eqNullSafe(ranked[a]) for c, a in ren.items()]
-    cond.append(src[key].eqNullSafe(ranked["_rk_v"]))
-    joined = src.join(ranked, cond, "inner")
-    return joined.drop(key, "_rk_v", *ren.values())
+                        F.col(score).alias("_rk_v"), (better + 1).cast("bigint").alias(out))
+    cond = [df[c].eqNullSafe(ranked[a]) for c, a in ren.items()]
+    cond.append(df[score].eqNullSafe(ranked["_rk_v"]))
+    return df.join(ranked, cond, "inner").drop("_rk_v", *ren.values())
 
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str,
                     qs: Sequence[float], names: Sequence[str],
                     buckets: int | None = None, approx: bool = False,
-                    accuracy: int = 10000, min_split: int = 10000) -> DataFrame:
+                    accuracy: int = 10000) -> DataFrame:
     """Exact quantiles with linear interpolation between closest ranks
     (pandas ``describe``, DuckDB ``quantile_cont``, Spark ``percentile``),
     NULL values ignored. One row per group that has a non-NULL value.
@@ -166,7 +108,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str,
         agg = df.where(F.col(value).isNotNull()).groupBy(*groups).agg(pa.alias("_q"))
         return agg.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     nn = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias(value))
-    pos = value_positions(nn, groups, value, buckets, min_split=min_split)
+    pos = value_positions(nn, groups, value, buckets)
     start, cnt, n = F.col("_start"), F.col("_cnt"), F.col("_n")
     aggs = []
     for q, name in zip(qs, names):

@@ -98,8 +98,13 @@ def net_change(panel: DataFrame, spec: PanelSpec, out: str = "net_change") -> Da
 
 def exact_mean(c: str) -> Column:
     """Mean from an exact DECIMAL sum: the same value whatever the partitioning
-    or summation order (a double sum is not), so rounding it is reproducible."""
-    return F.sum(F.col(c).cast("decimal(38,6)")).cast("double") / F.count(c)
+    or summation order (a double sum is not), so rounding it is reproducible.
+    The sum has 12 decimals; values below that or beyond 10^26, NaN and infinity
+    take the double mean."""
+    x = F.col(c).cast("double")
+    d = x.try_cast("decimal(38,12)")
+    fits = F.count_if(x.isNotNull() & (d.isNull() | ((d == 0) & (x != 0)))) == 0
+    return F.when(fits, F.try_sum(d).cast("double") / F.count(c)).otherwise(F.avg(x))
 
 
 def entity_profile(panel: DataFrame, spec: PanelSpec, digits: int = 2) -> DataFrame:

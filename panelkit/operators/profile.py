@@ -123,7 +123,11 @@ def table_schema(df: DataFrame, table_name: str) -> DataFrame:
 
 
 def filter_domain(df: DataFrame, column: str) -> DataFrame:
-    """A22 + T9: distinct non-NULL values (sorted only when displayed)."""
+    """A22 + T9: distinct non-NULL values, sorted."""
+    return _domain(df, column).orderBy(colref(column))
+
+
+def _domain(df: DataFrame, column: str) -> DataFrame:
     return df.select(colref(column).alias(column)).where(colref(column).isNotNull()).distinct()
 
 
@@ -138,7 +142,7 @@ def domain_stride(df: DataFrame, column: str, step: int = 2) -> DataFrame:
     marks), with its mark number. The position of each distinct value comes
     from the bucketed ordinal helper, so even a huge domain is numbered in
     parallel (no global ``row_number`` window in one task)."""
-    pos = value_positions(filter_domain(df, column), [], column)
+    pos = value_positions(_domain(df, column), [], column)
     return (pos.where(F.col("_start") % step == 0)
             .select(column, (F.col("_start") / step).cast("bigint").alias("mark")))
 

@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -69,7 +70,7 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/").rsplit("/", 1)[0]
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        master = spark.conf.get("spark.master", "local")
+        master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             # A machine-local folder is invisible to the other executors.
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -113,18 +114,27 @@ def materialize(df, name: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark reaches."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 _STAGES: dict = {}
+STAGES_BUILT: list = []  # names in the order they were built: bench.py reports who paid for them
 
 
-def _fingerprint(paths) -> tuple:
+def _fingerprint(spark: SparkSession, paths) -> tuple:
+    """Number, length, latest time and a hash of (path, length, time) of all files, as
+    Spark lists them: any store it can read. Unreadable inputs are an error."""
     out = []
     for p in paths:
-        lp = local_path(p)
-        try:
-            st = os.stat(lp)
-            out.append((p, st.st_mtime_ns, st.st_size))
-        except OSError:
-            out.append((p, None, None))
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p).select(
+            "path", "length", "modificationTime")
+        out.append((p, *files.agg(
+            F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"),
+            F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()))
     return tuple(out)
 
 
@@ -135,9 +145,10 @@ def stage_table(spark: SparkSession, name: str, build, inputs=()):
     from; a changed input rebuilds it."""
     sc = _context(spark)
     app = sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
-    key = (app, name, _fingerprint(inputs))
+    key = (app, name, _fingerprint(spark, inputs))
     df = _STAGES.get(key)
     if df is None:
         df = materialize(build(), name.split(":")[0])
+        STAGES_BUILT.append(name.split(":")[0])
         _STAGES[key] = df
     return df

@@ -35,21 +35,20 @@ def _make(seed, n, groups, distinct, null_rate, hot):
 @pytest.mark.parametrize("buckets", [2, 3, 8])
 def test_rank_matches_brute_force_with_skew(spark, buckets):
     rows = _make(1, 3000, 5, 40, 0.05, 0.6)   # group 0 holds ~60% of the rows
-    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=buckets, min_split=1)
+    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=buckets)
     got = {r.id: r.r for r in out.collect()}
     assert got == _brute_rank(rows)
 
 
 def test_rank_single_value_third_of_rows(spark):
     rows = [(1, i, 7.0 if i % 3 == 0 else float(i)) for i in range(900)]
-    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=4, min_split=1)
+    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=4)
     assert {r.id: r.r for r in out.collect()} == _brute_rank(rows)
 
 
 def test_rank_ascending_no_groups(spark):
     rows = _make(2, 500, 1, 30, 0.1, 0.0)
-    out = competition_rank(_frame(spark, rows).drop("g"), [], "v", "r", descending=True,
-                           min_split=1)
+    out = competition_rank(_frame(spark, rows).drop("g"), [], "v", "r", descending=True)
     assert {r.id: r.r for r in out.collect()} == _brute_rank(rows)
 
 
@@ -58,14 +57,14 @@ def test_rank_ascending_no_groups(spark):
                 min_size=1, max_size=60))
 def test_rank_property(spark, data):
     rows = [(g, i, None if v is None else float(v)) for i, (g, v) in enumerate(data)]
-    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=3, min_split=1)
+    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=3)
     assert {r.id: r.r for r in out.collect()} == _brute_rank(rows)
 
 
 def test_quantiles_match_numpy(spark):
     rows = _make(3, 2000, 4, 25, 0.05, 0.5)
     out = exact_quantiles(_frame(spark, rows), ["g"], "v", (0.25, 0.5, 0.75, 0.9),
-                          ("q1", "q2", "q3", "q9"), buckets=3, min_split=1)
+                          ("q1", "q2", "q3", "q9"), buckets=3)
     got = {r.g: (r.q1, r.q2, r.q3, r.q9) for r in out.collect()}
     df = pd.DataFrame(rows, columns=["g", "id", "v"]).dropna()
     for g, part in df.groupby("g"):
@@ -92,22 +91,29 @@ def test_approx_variants_close(spark):
         assert abs(ex["infrastructure_score"][q] - ap["infrastructure_score"][q]) <= 1.0
 
 
-def test_hot_group_is_spread_over_buckets(spark):
-    """One group holding every row: its distinct values land in B buckets of
-    about equal size, i.e. B window partitions instead of one task."""
+def test_hot_group_is_spread_over_buckets(spark, monkeypatch):
+    """One group holding every row: its distinct values are written in B ranges
+    of about equal size, i.e. B window partitions instead of one task."""
     from pyspark.sql import functions as F
-    from panelkit.operators.ordinal import bucketize
-    v = spark.range(20000).select(F.lit(1).alias("g"), (F.col("id") * 7 % 20011).cast("double").alias("v"),
-                                  F.lit(1).alias("_cnt"))
-    sizes = [r["count"] for r in bucketize(v, ["g"], "v", 8, 1000).groupBy("_bucket").count().collect()]
-    assert len(sizes) == 8 and max(sizes) <= 2 * 20000 / 8
-    # Many small groups: no split sketch, one bucket each.
-    small = spark.range(5000).select((F.col("id") % 1000).alias("g"), F.col("id").cast("double").alias("v"),
-                                     F.lit(1).alias("_cnt"))
-    assert {r._bucket for r in bucketize(small, ["g"], "v", 8, 1000).select("_bucket").distinct().collect()} == {0}
+    from panelkit.operators import ordinal
+    kept = []
+    monkeypatch.setattr(ordinal, "materialize", lambda df, name: kept.append(df.cache()) or kept[-1])
+    v = spark.range(20000).select(F.lit(1).alias("g"), (F.col("id") * 7 % 20011).cast("double").alias("v"))
+    ordinal.value_positions(v, ["g"], "v", buckets=8).count()
+    sizes = [r["count"] for r in kept[0].groupBy("_bucket").count().collect()]
     assert len(sizes) == 8 and max(sizes) <= 2 * 20000 / 8
 
 
+def test_rank_of_nan_dates_and_smallest_long(spark):
+    import datetime
+    nan = [(1, 0, float("nan")), (1, 1, 5.0), (1, 2, 7.0), (1, 3, None)]
+    assert {r.id: r.r for r in competition_rank(_frame(spark, nan), ["g"], "v", "r").collect()} == {0: 1, 2: 2, 1: 3, 3: 4}
+    low = spark.createDataFrame([(0, -(2**63)), (1, 5)], "id bigint, v bigint")
+    assert {r.id: r.r for r in competition_rank(low, [], "v", "r").collect()} == {1: 1, 0: 2}
+    day = spark.createDataFrame([(0, datetime.date(2020, 1, 1)), (1, datetime.date(2021, 1, 1))], "id bigint, v date")
+    assert {r.id: r.r for r in competition_rank(day, [], "v", "r").collect()} == {1: 1, 0: 2}
+
+
 def test_envelope_pages_are_bounded(spark):
     from pyspark.sql import functions as F
     from panelkit.sources.indicator import encode_envelopes, parse_envelopes
@@ -131,7 +137,7 @@ def test_envelope_pages_are_bounded(spark):
 def test_quantile_property(spark, data, q):
     rows = [(g, i, None if v is None else float(v)) for i, (g, v) in enumerate(data)]
     got = {r.g: r.x for r in exact_quantiles(_frame(spark, rows), ["g"], "v", (q,), ("x",),
-                                             buckets=3, min_split=1).collect()}
+                                             buckets=3).collect()}
     df = pd.DataFrame(rows, columns=["g", "id", "v"]).dropna()
     want = {g: float(np.quantile(p["v"].to_numpy(), q)) for g, p in df.groupby("g")}
     assert set(got) == set(want)
@@ -141,7 +147,7 @@ def test_quantile_property(spark, data, q):
 
 def test_rank_null_group_key(spark):
     rows = [(None if i % 4 == 0 else i % 3, i, float(i % 17)) for i in range(400)]
-    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=3, min_split=1)
+    out = competition_rank(_frame(spark, rows), ["g"], "v", "r", buckets=3)
     df = pd.DataFrame(rows, columns=["g", "id", "v"])
     df["r"] = df.groupby("g", dropna=False)["v"].rank(method="min", ascending=False)
     assert {r.id: r.r for r in out.collect()} == {int(i): int(r) for i, r in zip(df["id"], df["r"])}
