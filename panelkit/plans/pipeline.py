@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from panelkit.operators.leaders import top_performers
 from panelkit.operators.panel import clean_panel, entity_summary, period_trends
 from panelkit.operators.quality import quality_checks, quality_report, require
-from panelkit.sources.catalog import collection_report, data_catalog
+from panelkit.session import delete_path
+from panelkit.sources.catalog import collection_report, data_catalog, dataset_catalog
 from panelkit.sources.files import panel_schema, read_csv
 from panelkit.sources.indicator import name_indicators, read_indicator_payloads
 from panelkit.sources.sinks import (load_gold, publish_gold, register_views, save_table,
@@ -66,6 +67,7 @@ def run_pipeline(spark: SparkSession, raw_csv: str, out_dir: str,
     write_json(quality_report(checks), f"{out_dir}/quality_report.json")
     counts = {r["key"]: r["value"] for r in
               meta.select(F.explode("record_counts")).collect()}  # 3 rows
+    delete_path(spark, stage)
     return {"success": True, "all_passed": all_passed, "record_counts": counts,
             "out_dir": out_dir}
 
@@ -83,5 +85,5 @@ def ingest_indicators(spark: SparkSession, landing_dir: str, out_dir: str,
      .csv(raw_dir))
     catalog = save_table(data_catalog(spark, raw_dir, "*.csv"), f"{out_dir}/data_catalog")
     write_csv(catalog.drop("path"), f"{out_dir}/data_catalog.csv", single_file=True)
-    write_json(collection_report(catalog, raw_dir), f"{out_dir}/collection_report.json")
+    write_json(collection_report(dataset_catalog(catalog), raw_dir), f"{out_dir}/collection_report.json")
     return catalog

@@ -30,11 +30,11 @@ from panelkit.plans.bindings import (NATION_SPEC, PART_SPEC, nation_panel, part_
                                      read_table)
 from panelkit.plans.oracle import NATION_PANEL, PART_PANEL, nation_with, part_with, r2, r6
 from panelkit.session import scratch_path, stage_table
-from panelkit.sources.catalog import catalog_totals, data_catalog
+from panelkit.sources.catalog import catalog_totals, data_catalog, dataset_catalog
 from panelkit.sources.files import panel_schema, read_csv, read_csv_tagged
 from panelkit.sources.grid import panel_grid
 from panelkit.plans.pipeline import ingest_indicators, run_pipeline
-from panelkit.sources.indicator import (FLAT_COLUMNS, encode_envelopes, read_indicator_csv,
+from panelkit.sources.indicator import (FLAT_COLUMNS, encode_envelopes, payload_rejects, read_indicator_csv,
                                         read_indicator_payloads)
 from panelkit.sources.sinks import publish_gold, read_parquet, write_csv, write_parquet
 from panelkit.spec import REFERENCE_SPEC
@@ -94,12 +94,12 @@ def q_clean_panel(spark, sf):
 
 
 _SUMMARY_SQL = """
+story AS (SELECT {e}, list({p} ORDER BY {p}) AS ps, list(revenue ORDER BY {p}) AS rs, list(score_change ORDER BY {p}) AS cs
+          FROM clean GROUP BY {e}),
 summary AS (
-  SELECT {e}, MIN({p}) AS first_year, MAX({p}) AS last_year, COUNT(*) AS num_years,
-    AVG(revenue) AS avg_score, MIN(revenue) AS min_score, MAX(revenue) AS max_score,
-    MAX(revenue) - MIN(revenue) AS score_improvement,
-    AVG(score_change) AS avg_yearly_change
-  FROM clean GROUP BY {e}
+  SELECT {e}, ps[1] AS first_year, ps[-1] AS last_year, CAST(len(ps) AS BIGINT) AS num_years, list_avg(rs) AS avg_score,
+    list_min(rs) AS min_score, list_max(rs) AS max_score, list_max(rs) - list_min(rs) AS score_improvement,
+    list_avg(cs) AS avg_yearly_change FROM story
 )"""
 
 
@@ -121,24 +121,24 @@ def q_yearly_trends(spark, sf):
     return _r6(period_trends(part_clean(spark, sf), PART_SPEC), "global_avg_score", "score_std_dev")
 
 
-_TOP_SQL = """
-SELECT c.{e}, {avg} AS avg_score, c.score_improvement,
-  ci.revenue AS latest_score, ci.yearly_rank AS latest_rank
-FROM summary c JOIN clean ci ON c.{e} = ci.{e}
-WHERE ci.{p} = (SELECT MAX({p}) FROM clean)
-ORDER BY ci.revenue DESC NULLS LAST, ci.{e} ASC
-LIMIT 10"""
+_BEST_SQL = """,
+best AS (SELECT {e}, revenue AS latest_score, yearly_rank AS latest_rank
+         FROM (SELECT *, dense_rank() OVER (ORDER BY {p} DESC) AS age FROM clean) WHERE age = 1
+         ORDER BY latest_score DESC NULLS LAST, {e} LIMIT 10)"""
+_TOP_SELECT = """
+SELECT {e}, {avg} AS avg_score, score_improvement, latest_score, latest_rank FROM best JOIN summary USING ({e})"""
+_TOP_SQL = _BEST_SQL + _TOP_SELECT
 
 
 @register("top_performers", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year"))
-          + _TOP_SQL.format(e="l_partkey", p="ship_year", avg=r6("c.avg_score")))
+          + _TOP_SQL.format(e="l_partkey", p="ship_year", avg=r6("avg_score")))
 def q_top_performers(spark, sf):
     return _r6(top_performers(part_clean(spark, sf), PART_SPEC), "avg_score")
 
 
 @register("top_performers_nation",
           nation_with(_SUMMARY_SQL.format(e="n_name", p="order_year"))
-          + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("c.avg_score")))
+          + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("avg_score")))
 def q_top_performers_nation(spark, sf):
     return _r6(top_performers(nation_clean(spark, sf), NATION_SPEC), "avg_score")
 
@@ -350,8 +350,8 @@ def q_exploration_summary(spark, sf):
 # --------------------------------------------------------------------------
 # Dashboard views X6-X11, T10, reshape R1-R3
 
-_TOP5_SQL = _SUMMARY_SQL.format(e="l_partkey", p="ship_year") + """,
-top AS (""" + _TOP_SQL.format(e="l_partkey", p="ship_year", avg="c.avg_score") + """),
+_TOP5_SQL = (_SUMMARY_SQL + _BEST_SQL).format(e="l_partkey", p="ship_year") + """,
+top AS (""" + _TOP_SELECT.format(e="l_partkey", p="ship_year", avg="avg_score") + """),
 sel AS (SELECT l_partkey FROM top ORDER BY latest_score DESC NULLS LAST, l_partkey LIMIT 5)"""
 
 
@@ -451,15 +451,12 @@ def q_unpivot_components(spark, sf):
 
 @register("component_matrix", nation_with(
     "latest AS (SELECT * FROM clean WHERE order_year = (SELECT MAX(order_year) FROM clean))") + """
-PIVOT (UNPIVOT (SELECT n_name, quantity, discount, tax, line_count FROM latest)
-       ON quantity, discount, tax, line_count INTO NAME variable VALUE value)
-ON n_name USING first(value) GROUP BY variable""")
+SELECT variable, n_name, value FROM (UNPIVOT (SELECT n_name, quantity, discount, tax, line_count FROM latest)
+  ON quantity, discount, tax, line_count INTO NAME variable VALUE value)""")
 def q_component_matrix(spark, sf):
-    latest = latest_slice(nation_clean(spark, sf), NATION_SPEC)
-    # The nation dimension bounds the column count (25); Spark finds the
-    # distinct names itself (capped by spark.sql.pivotMaxValues).
-    long = component_matrix(latest, NATION_SPEC)
-    return long.groupBy("variable").pivot("n_name").agg(F.first("value"))
+    """The cells (component, nation); the wide form takes an explicit list of names."""
+    return component_matrix(latest_slice(nation_clean(spark, sf), NATION_SPEC), NATION_SPEC).select(
+        "variable", "n_name", "value")
 
 
 # --------------------------------------------------------------------------
@@ -601,15 +598,40 @@ def _landing_catalog(spark, sf):
     return data_catalog(spark, base, "*.csv")
 
 
-@register("data_catalog")
+_CATALOG_SQL = """
+sets AS (SELECT 'infrastructure_scores' AS dataset, COUNT(*) AS rows, CAST(7 AS BIGINT) AS "columns" FROM panel
+  UNION ALL SELECT v, (SELECT COUNT(*) FROM panel), 3 FROM (VALUES ('quantity'), ('discount'), ('tax'), ('line_count')) t(v))"""
+
+
+@register("data_catalog", "WITH " + NATION_PANEL + "," + _CATALOG_SQL + "\nSELECT * FROM sets")
 def q_data_catalog(spark, sf):
-    # Sizes and modification times are file-system facts: no SQL oracle.
-    return _landing_catalog(spark, sf).drop("path")
+    # Sizes and times are file-system facts: the unit tests have those.
+    return dataset_catalog(_landing_catalog(spark, sf)).drop("size_mb")
 
 
-@register("catalog_totals")
+@register("catalog_totals", "WITH " + NATION_PANEL + "," + _CATALOG_SQL + """
+SELECT COUNT(*) AS datasets_collected, CAST(SUM(rows) AS BIGINT) AS total_rows FROM sets""")
 def q_catalog_totals(spark, sf):
-    return catalog_totals(_landing_catalog(spark, sf))
+    return catalog_totals(dataset_catalog(_landing_catalog(spark, sf))).drop("total_size_mb")
+
+
+@register("scan_csv_reordered", "WITH " + PART_PANEL + _PART_PANEL_SELECT)
+def q_scan_csv_reordered(spark, sf):
+    """A CSV whose columns stand in another order, with one more: bound by name."""
+    path = scratch_path(spark, "reordered-csv")
+    raw = part_raw(spark, sf)
+    write_csv(raw.select(F.lit("x").alias("note"), *reversed(raw.columns)), path)
+    return read_csv(spark, path, panel_schema(PART_SPEC, T.LongType()))
+
+
+@register("payload_rejects", "WITH " + PART_PANEL + """
+SELECT 'rows' AS status, COUNT(DISTINCT l_partkey) AS payloads FROM panel
+UNION ALL SELECT 'empty', 2 UNION ALL SELECT 'broken', 2 + COUNT(DISTINCT l_partkey) FROM panel""")
+def q_payload_rejects(spark, sf):
+    """Payloads by status: every page again cut in half, error pages, empty answers."""
+    env = part_envelopes(spark, sf)
+    odd = spark.createDataFrame([("<html>502</html>",), ('{"message": 1}',), ('[{"page":0}, null]',), ('[{"page":0}, []]',)], "value string")
+    return payload_rejects(env.unionByName(env.select(F.expr("left(value, length(value) div 2)").alias("value"))).unionByName(odd))
 
 
 # --------------------------------------------------------------------------
@@ -617,7 +639,7 @@ def q_catalog_totals(spark, sf):
 
 @register("pipeline_run",
           nation_with(_SUMMARY_SQL.format(e="n_name", p="order_year"))
-          + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("c.avg_score")))
+          + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("avg_score")))
 def q_pipeline_run(spark, sf):
     """The whole ETL on the nation panel written as the raw CSV: extract,
     transform, checks before publish, gold Parquet + CSV, metadata, view."""
