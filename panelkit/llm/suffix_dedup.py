@@ -48,8 +48,8 @@ LENGTH = 100
 GRAM = 40
 SPREAD = LENGTH - GRAM  # largest offset of a window's anchor
 WIDTH = LENGTH + SPREAD
-BLOCK = 4 << 20
-HELD = 2_000_000
+BLOCK = 1 << 20
+HELD = 500_000
 HOT = 4096
 _BASE = 0x9E3779B97F4A7C15
 _BLOB = "part int, kind int, data binary"
@@ -346,7 +346,7 @@ def _runs(parts: int, hot: np.ndarray):
                 rows, right, left = _matrix(buf, pos[pick], lo[pick], hi[pick])
                 held.append((rows, right, left, key[pick], (pos - at)[pick], h[pick]))
                 n += len(pick)
-                if n >= HELD // 10:
+                if n >= HELD // 5:
                     yield from flush(held)
                     held, n = [], 0
                 if m >= HELD:
