@@ -31,9 +31,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's class of near-duplicate passages, and how many other texts it shares one with."""
+    """Every document's class of near-duplicate passages. How many texts a document shares a passage with is
+    not counted: that takes all pairs of a class."""
     _, members = compact_windows.near_passages(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    return members.select("doc_id", F.col("class").alias("class_id"), F.col("links").alias("n_links"), F.col("copies").alias("n_copies"))
+    return members.select("doc_id", F.col("class").alias("class_id"), F.col("copies").alias("n_copies"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,6 +186,30 @@ def test_near_passages(spark):
     assert all(len({cls[i] for i in s}) == 1 for s in windows.values())
 
 
+def test_near_passages_of_later_classes(spark):
+    """A signature's first texts link with nothing; two pairs behind them do."""
+    rn = random.Random(4)
+    word = lambda: "".join(rn.choice("abcdefgh") for _ in range(9))
+    line = [word() for _ in range(12)]
+    twin = [[word() for _ in range(60)] for _ in range(2)]
+    alone = [[word() for _ in range(60)] for _ in range(6)]
+    bodies = [*alone, *twin, *[[word() for _ in range(60)] for _ in range(6)], *twin]
+    # Every text repeats the line between its own words, so that the line's shingles are minima everywhere.
+    rows = [(i, " ".join(line + w[:30] + line + w[30:] + line)) for i, w in enumerate(bodies)]
+    found, members = compact_windows.near_passages(frame(spark, rows), carry=["doc_id"])
+    cls = {r.doc_id: r["class"] for r in members.collect()}
+    assert cls == {i: i - 8 if i >= 14 else i for i, _ in rows}
+
+
+def test_crossed_pairs_are_all_pairs(spark, monkeypatch):
+    rn = random.Random(6)
+    monkeypatch.setattr(compact_windows, "CROSS", 40)
+    rows = [(rn.choice([1, 1, 1, 2, 3]), i, 0, i, i + 3, i + 50, rn.choice([1, 1, 1, 2, 3])) for i in range(120)]
+    windows = spark.createDataFrame(rows, "sig bigint, x bigint, f tinyint, lx int, cx int, rx int, class bigint")
+    got = sorted((r.x, r.y) for r in compact_windows._cross_pairs(windows, 4)[0].collect())
+    assert got == sorted((x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] > y[1] and x[6] != y[6])
+
+
 # -- 4 -----------------------------------------------------------------------
 
 def brute_statistics(t):
