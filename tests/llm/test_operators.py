@@ -201,6 +201,45 @@ def test_near_passages_of_later_classes(spark):
     assert cls == {i: i - 8 if i >= 14 else i for i, _ in rows}
 
 
+def test_passages_beside_repeated_lines():
+    rn = np.random.default_rng(3)
+    own = lambda n: rn.integers(1, 1 << 60, n).astype(np.uint64)
+    line, good = own(8), own(96)
+    a, b = (np.concatenate([np.tile(line, 60), own(64), good]) for _ in range(2))
+    got = compact_windows.passages(a, b, 80)
+    assert any(x[0] <= 544 and x[1] >= 639 and x[2] <= 544 and x[3] >= 639 for x in got) and any(x[1] < 500 for x in got)
+    edited = np.where(rn.random(96) < 0.6, own(96), good)  # an edited version first, then the passage
+    got = compact_windows.passages(np.concatenate([edited, own(40), good]), good, 80)
+    assert any(x[0] <= 136 and x[1] >= 231 for x in got)
+
+
+def test_passages_against_brute_force():
+    """Two texts have a passage where brute force over equal lengths finds one; all found are similar enough."""
+    rn = random.Random(9)
+    new = lambda n: [rn.randrange(1, 1 << 60) for _ in range(n)]
+    hits = 0
+    for _ in range(150):
+        line, body = new(rn.randint(1, 6)), new(30)
+        def text():
+            out = []
+            for _ in range(rn.randint(1, 4)):
+                k = rn.randrange(3)
+                out += line * rn.randint(1, 4) if k == 0 else new(rn.randint(1, 12)) if k == 1 else [x if rn.random() > 0.12 else new(1)[0] for x in body]
+            return np.array(out, np.uint64)
+        a, b = text(), text()
+        got = compact_windows.passages(a, b, 80, 10)
+        for ps, pe, qs, qe, shared, total in got:
+            u, w = set(a[ps:pe + 1].tolist()), set(b[qs:qe + 1].tolist())
+            assert (len(u & w), len(u | w)) == (shared, total) and 100 * shared >= 80 * total and min(pe - ps, qe - qs) >= 9
+        want = False
+        for n in (10, 12, 15, 18):
+            u, w = ([set(t[i:i + n].tolist()) for i in range(len(t) - n + 1)] for t in (a, b))
+            want = want or any(100 * len(x & y) >= 80 * len(x | y) for x in u for y in w)
+        hits += want
+        assert bool(got) >= want
+    assert 20 < hits < 140
+
+
 def test_crossed_pairs_are_all_pairs(spark, monkeypatch):
     rn = random.Random(6)
     monkeypatch.setattr(compact_windows, "CROSS", 40)
