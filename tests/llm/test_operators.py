@@ -201,6 +201,20 @@ def test_near_passages_of_later_classes(spark):
     assert cls == {i: i - 8 if i >= 14 else i for i, _ in rows}
 
 
+def test_near_passages_behind_an_edited_version(spark):
+    """Two texts each: an edited version of a passage before the passage itself, and the passage."""
+    rn = random.Random(7)
+    word = lambda: "".join(rn.choice("abcdefgh") for _ in range(9))
+    rows = []
+    for i in range(40):
+        good = [word() for _ in range(52)]
+        at = rn.randrange(0, 36)
+        edited = good[:at] + [word() for _ in range(14)] + good[at + 14:]
+        rows += [(2 * i, " ".join(edited + [word() for _ in range(60)] + good)), (2 * i + 1, " ".join(good))]
+    _, members = compact_windows.near_passages(frame(spark, rows), carry=["doc_id"])
+    assert {r.doc_id: r["class"] for r in members.collect()} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_passages_beside_repeated_lines():
     rn = np.random.default_rng(3)
     own = lambda n: rn.integers(1, 1 << 60, n).astype(np.uint64)
