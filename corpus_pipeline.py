@@ -44,7 +44,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
-    got = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    got = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), special=True)
     return got.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                       "sequence_id", "offset")
 

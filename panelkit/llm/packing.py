@@ -23,6 +23,7 @@ pieces.
 from __future__ import annotations
 
 import json
+import re
 import sys
 import types
 
@@ -40,6 +41,11 @@ POOL = 2048
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+# White space runs longer than this overflow the pattern's stack; they are cut out first.
+RUN = 10_000
+_LONG = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
+
+
 def _cache() -> dict:
     """One dict per Python worker (tasks unpickle their code anew)."""
     return sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
@@ -65,6 +71,37 @@ def byte_bpe(path: str):
     return got
 
 
+def special_ids(path: str) -> dict:
+    """The special tokens of a vocabulary file: their strings and ids."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if any(x.get(k) for x in added for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("special tokens that take in or ask for their surroundings are not supported")
+    return {x["content"]: x["id"] for x in added}
+
+
+def _plain(enc, text: str) -> list:
+    """Ids of a text without special tokens. A long run of white space is a piece of its own
+    but for its last character, which belongs to the word that follows."""
+    out, at = [], 0
+    for m in _LONG.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        out += enc.encode_ordinary(text[at:m.start()])
+        out += enc._core_bpe.encode_single_piece(text[m.start():end].encode())
+        at = end
+    return out + enc.encode_ordinary(text[at:])
+
+
+def encode(enc, text: str, special: dict) -> list:
+    """Ids of ``text``; the strings of ``special`` are their own ids wherever they stand."""
+    if not special:
+        return _plain(enc, text)
+    out = []
+    for x in re.split("(" + "|".join(re.escape(k) for k in sorted(special, key=len, reverse=True)) + ")", text):
+        out += [special[x]] if x in special else _plain(enc, x)
+    return out
+
+
 class _Packer:
     """Packs pieces ``(doc, start, length, loss)`` as (sequence, offset).
 
@@ -167,7 +204,7 @@ class _Packer:
             self.sequence(part)
 
 
-def _pack(path: str, end_id: int, limits, close_at: float, flush: int):
+def _pack(path: str, end_id: int, limits, close_at: float, flush: int, special: bool):
     def rows(packer, docs, base):
         out = {k: [] for k in ("id", "start", "length", "ids", "doc_tokens", "loss_tokens", "sequence_id", "offset")}
         for seq, off, (doc, start, length, loss) in packer.done:
@@ -183,14 +220,14 @@ def _pack(path: str, end_id: int, limits, close_at: float, flush: int):
     def run(batches):
         from pyspark import TaskContext
 
-        enc = byte_bpe(path)
+        enc, own = byte_bpe(path), special_ids(path) if special else {}
         base = TaskContext.get().partitionId() << 33
         packer, docs, n, held = _Packer(limits, close_at), {}, 0, 0
         for b in batches:
             keys = b.column(0).to_pylist()
             for k in range(b.num_rows):
-                prompt = enc.encode_ordinary(b.column(2)[k].as_py() or "")
-                ids = np.array(prompt + enc.encode_ordinary(b.column(1)[k].as_py() or "") + [end_id], "<u4")
+                prompt = encode(enc, b.column(2)[k].as_py() or "", own)
+                ids = np.array(prompt + encode(enc, b.column(1)[k].as_py() or "", own) + [end_id], "<u4")
                 docs[n] = (keys[k], ids)
                 packer.add(n, len(ids), len(prompt))
                 n += 1
@@ -208,16 +245,18 @@ def _pack(path: str, end_id: int, limits, close_at: float, flush: int):
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    prompt_col: str | None = None, end_id: int = 1, max_tokens: int = 2048, max_segments: int = 512,
-                   max_loss_tokens: int = 2048, close_at: float = 0.98, flush_tokens: int = 1 << 20) -> DataFrame:
+                   max_loss_tokens: int = 2048, close_at: float = 0.98, flush_tokens: int = 1 << 20,
+                   special: bool = False) -> DataFrame:
     """One row per piece: ``id, start, length, ids`` (little-endian unsigned
     32-bit), ``doc_tokens, loss_tokens, sequence_id, offset``.
 
     For instruction data ``prompt_col`` names the text whose tokens stand first
-    and bear no loss; in plain documents every token bears loss."""
+    and bear no loss; in plain documents every token bears loss. With ``special`` the strings of
+    special tokens are those tokens, as ``tokenizers`` has it by default; else they are ordinary text."""
     sizes = (max_tokens, max_segments, max_loss_tokens)
     if min(sizes) < 1:
         raise ValueError("limits must be positive")
     prompt = col(prompt_col) if prompt_col else F.lit(None)
     rows = docs.select(col(id_col).cast("bigint").alias("id"), col(text_col).cast("string").alias("text"),
                        prompt.cast("string").alias("prompt"))
-    return rows.mapInArrow(_pack(tokenizer_path, end_id, sizes, close_at, flush_tokens), SCHEMA)
+    return rows.mapInArrow(_pack(tokenizer_path, end_id, sizes, close_at, flush_tokens, special), SCHEMA)

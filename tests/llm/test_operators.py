@@ -320,6 +320,25 @@ def test_packing(spark):
     assert pad < 0.05 * sum(r.length for r in got)
 
 
+def test_packing_ids_are_the_librarys(spark):
+    """Special tokens as the library has them by default, and white space without end."""
+    tokenizers = pytest.importorskip("tokenizers")
+    path = P.path("byte_bpe_50k.json")
+    t = tokenizers.Tokenizer.from_file(path)
+    enc, own = packing.byte_bpe(path), packing.special_ids(path)
+    rn = random.Random(2)
+    texts = ["".join(rn.choice(["word ", "é", "\n", " 12", "<|endoftext|>", " ", "\u3000"]) for _ in range(rn.randint(0, 200))) for _ in range(200)]
+    texts += ["a <|endoftext|> b", *(x + w + y for x in ("", "a") for w in (" " * 30_000, "\n \t" * 5_000, " " * 12_000 + "\x1c") for y in ("", "b", "<|endoftext|>"))]
+    for x in texts:
+        assert packing.encode(enc, x, own) == t.encode(x, add_special_tokens=False).ids
+    rows = [(1, "a" + " " * 1_200_000 + "b"), (2, "a <|endoftext|> b")]
+    got = defaultdict(bytes)
+    for r in packing.pack_documents(frame(spark, rows), path, special=True).orderBy("id", "start").collect():
+        got[r.id] += bytes(r.ids)
+    assert np.frombuffer(got[2], "<u4").tolist() == [64, 220, 50256, 275, 1]
+    assert enc.decode(np.frombuffer(got[1], "<u4")[:-1].tolist()) == rows[0][1]
+
+
 def test_packing_prompts_bear_no_loss(spark):
     rows = [(i, "answer " * (i % 90), "question " * (i % 70)) for i in range(200)]
     got = packing.pack_documents(frame(spark, rows, "doc_id bigint, text string, ask string"), P.path("byte_bpe_50k.json"),
