@@ -2,18 +2,18 @@
 
 1. Patterns find the personal data itself (e-mail, IP, card, phone): the protected
    entities.
-2. The corpus says which terms give an entity away. For a term t seen within
-   ``window`` words of entity e, the pointwise mutual information
+2. The corpus says which terms give an entity away. For a term t found anywhere in a
+   document that names entity e, the pointwise mutual information
    PMI(t;e) = log2(p(t,e) / (p(t) p(e))) is compared with the entity's information
    content IC(e) = -log2 p(e); probabilities are document frequencies over all documents.
    A term discloses e if PMI(t;e) >= IC(e) - ``generalise_bits`` and the pair is
    found in at least ``support`` different texts (copies count once there, so that
    a page copied often discloses nothing by itself).
-3. In documents that name the entity, disclosing terms near it are generalised
-   to their class; those with PMI(t;e) >= IC(e) - ``remove_bits`` are removed.
+3. Disclosing terms are generalised to their class wherever they stand, also in documents that do not
+   name the entity; those with PMI(t;e) >= IC(e) - ``remove_bits`` are removed.
 
-Scale: pairs exist only around entities and are counted by partially aggregated
-group-bys. Document frequencies are asked only for terms that are a candidate:
+Scale: pairs exist only in documents that name an entity found in ``support`` texts, and are counted by partially aggregated
+group-bys. Document frequencies and places are asked only for terms that are a candidate:
 tasks look them up in a bitmap of fixed size (2^23 bits), whose false
 positives fall out in a join.
 
@@ -45,7 +45,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _EDGES = ".,;:!?()[]{}<>\"'|*#$%&"
 _DIGITS = re.compile("[0-9]")
 SPAN = "array<struct<s:int,e:int,k:int,entity:string>>"
-NEAR = "array<struct<entity:string,term:string,s:int,e:int>>"
+HITS = "array<struct<term:string,s:int,e:int>>"
 
 
 def _luhn(d: str) -> bool:
@@ -85,53 +85,92 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def nearby(text: str, spans, window: int, reach: int):
-    """(entity, term, start, end) for the ``window`` words on either side of each
-    span; words that touch a span or are cut by ``reach`` characters are left out."""
-    out, taken = [], [(s, e) for s, e, _, _ in spans]
-    starts = np.array([s for s, _ in taken])
-    ends = np.maximum.accumulate(np.array([e for _, e in taken])) if taken else starts
-
-    def free(s, e):
-        i = int(np.searchsorted(starts, e)) - 1  # spans that begin before the word ends
-        return i < 0 or ends[i] <= s
-
-    for s, e, _, entity in spans:
-        lo, hi = max(0, s - reach), min(len(text), e + reach)
-        left = [(m.start(), m.end()) for m in WORD.finditer(text, lo, s)][-window:]
-        right = [(m.start(), m.end()) for m in WORD.finditer(text, e, hi)][:window]
-        for a, z in left + right:
-            cut = (a == lo and lo and not text[lo - 1].isspace()) or (z == hi and hi < len(text) and not text[hi].isspace())
-            core = text[a:z].strip(_EDGES)
-            if cut or len(core) < 3 or not any(c.isalpha() for c in core) or not free(a, z):
-                continue
-            a += text[a:z].index(core)
-            out.append((entity, core.lower(), a, a + len(core)))
-    return list(dict.fromkeys(out))
+def terms(text: str, spans, wanted=None):
+    """(term, start, end) of the words that touch no span; with ``wanted`` those it says yes to."""
+    out, starts = [], np.array([x[0] for x in spans])
+    ends = np.maximum.accumulate(np.array([x[1] for x in spans])) if len(spans) else starts
+    for m in WORD.finditer(text):
+        word = m[0].strip(_EDGES)
+        term = word.lower()
+        if len(word) < 3 or wanted and not wanted(term) or not any(c.isalpha() for c in word):
+            continue
+        i = int(np.searchsorted(starts, m.end())) - 1 if len(spans) else -1  # spans that begin before the word ends
+        if i < 0 or ends[i] <= m.start():
+            at = m.start() + m[0].index(word)
+            out.append((term, at, at + len(word)))
+    return out
 
 
 def _core(word: str) -> str:
     return word.strip(_EDGES).lower()
 
 
-def _scan(names: list[str], window: int, reach: int):
-    """Adds the spans and their neighbourhood; ``names`` are the columns kept. The text is the last column."""
+def _set(bits: bytes, text: str) -> int:
+    h = crc32(text.encode("utf-8", "surrogatepass")) % BITS
+    return bits[h >> 3] >> (h & 7) & 1
+
+
+def _scan(names: list[str], bits: bytes | None):
+    """Adds the spans and the places of terms whose bit is set; ``names`` are the columns kept. The text is the last column."""
     span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("k", pa.int32()), ("entity", pa.string())]))
-    around = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())]))
+    places = pa.list_(pa.struct([("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())]))
 
     @released
 
     def run(batches):
+        seen: dict[str, int] = {}
+
+        def wanted(term):
+            got = seen.get(term)
+            if got is None:
+                if len(seen) > 500_000:
+                    seen.clear()
+                got = seen[term] = _set(bits, term)
+            return got
+
         for b in batches:
-            spans, near = [], []
+            spans, hits = [], []
             for x in b.column(b.num_columns - 1):
                 text = x.as_py() or ""
                 got = base_spans(text)
                 spans.append([{"s": s, "e": e, "k": k, "entity": v} for s, e, k, v in got])
-                near.append([dict(zip(("entity", "term", "s", "e"), r)) for r in nearby(text, got, window, reach)] if got else [])
+                hits.append([dict(zip(("term", "s", "e"), r)) for r in terms(text, got, wanted)] if bits else [])
             kept = [b.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, span), pa.array(near, around)],
-                                             names=[*names, "_spans", "_near"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, span), pa.array(hits, places)],
+                                             names=[*names, "_spans", "_hits"])
+
+    return run
+
+
+def _entities(batches):
+    """(entity, hash of the text) of every document."""
+    for b in batches:
+        rows = [(v, h) for h, x in zip(b.column(0).to_pylist(), b.column(1)) for v in {s[3] for s in base_spans(x.as_py() or "")}]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], names=["entity", "_h"])
+
+
+def _pairs(bits: bytes):
+    """(entity, term, hash of the text) of the documents that name an entity whose bit is set."""
+    @released
+    def run(batches):
+        for b in batches:
+            out = []
+            for h, x in zip(b.column(0).to_pylist(), b.column(1)):
+                text = x.as_py() or ""
+                got = base_spans(text)
+                named = {s[3] for s in got}
+                named = [v for v in named if _set(bits, v)]
+                if named:
+                    out += [(v, t, h) for t in {r[0] for r in terms(text, got)} for v in named]
+                if len(out) > 50_000:
+                    yield _table(out)
+                    out = []
+            if out:
+                yield _table(out)
+
+    def _table(out):
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()),
+                                           pa.array([r[2] for r in out], pa.int64())], names=["entity", "term", "_h"])
 
     return run
 
@@ -171,7 +210,7 @@ def _frequencies(bits: bytes):
 
 
 def find_spans(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, with_text: bool = False,
-               window: int = 8, reach: int = 400, support: int = 3, generalise_bits: float = 1.0,
+               support: int = 3, generalise_bits: float = 1.0,
                remove_bits: float = 0.15) -> DataFrame:
     """The ``carry`` columns (default: all), ``spans`` array<struct<s, e, k,
     removed>> (k: index in ``KINDS``; sorted by start, then kind) and, with
@@ -180,35 +219,41 @@ def find_spans(docs: DataFrame, text_col: str = "text", carry: list[str] | None
     inner = [f"_c{i}" for i in range(len(carry))]
     rows = docs.select(*[col(c).alias(n) for c, n in zip(carry, inner)], F.monotonically_increasing_id().alias("_row"),
                        F.xxhash64(col(text_col).cast("string")).alias("_h"), col(text_col).cast("string").alias("_text"))
-    names = [*inner, "_row", "_h", *["_text"] * with_text]
-    schema = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
-    stored = materialize(rows.mapInArrow(_scan(names, window, reach), f"{schema}, _spans {SPAN}, _near {NEAR}"), "spans")
-
-    occ = stored.where("size(_near) > 0").select("_row", "_h", F.explode("_near").alias("x")).select(
-        "_row", "_h", "x.entity", "x.term", "x.s", "x.e")
-    pairs = (occ.select("entity", "term", "_h", "_row").distinct().groupBy("entity", "term", "_h").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"))
-             .where(F.col("texts") >= support).select("entity", "term", "n_pair"))
-    pairs = materialize(pairs, "pairs")
-    bits = bitmap(pairs, F.expr(f"crc32(encode(term, 'UTF-8')) % {BITS}"))
-    base = stored.withColumn("_base", F.expr("transform(_spans, x -> struct(x.s, x.e, x.k, true AS removed))"))
-    kept = [*inner, *["_text"] * with_text]
-    if not any(bits):
-        out = base.select(*kept, F.col("_base").alias("_all"))
-    else:
+    texts = rows.select("_h", "_text")
+    often = (texts.mapInArrow(released(_entities), "entity string, _h bigint").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("texts"))
+             .where(F.col("texts") >= support))
+    bits, tell = bitmap(materialize(often, "entities"), F.expr(f"crc32(encode(entity, 'UTF-8')) % {BITS}")), None
+    if any(bits):
+        pairs = (texts.mapInArrow(_pairs(bits), "entity string, term string, _h bigint").groupBy("entity", "term", "_h").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"))
+                 .where(F.col("texts") >= support).select("entity", "term", "n_pair"))
+        pairs = materialize(pairs, "pairs")
+        bits = bitmap(pairs, F.expr(f"crc32(encode(term, 'UTF-8')) % {BITS}"))
         freq = (docs.select(col(text_col).cast("string").alias("t")).mapInArrow(_frequencies(bits), "term string, n bigint")
                 .groupBy("term").agg(F.sum("n").alias("n_term")))
         # PMI(t;e) - IC(e) = log2 p(e|t): corpus size and entity frequency cancel.
         told_by = F.log2(F.col("n_pair") / F.col("n_term"))
         tell = (pairs.join(freq, "term").withColumn("bits", told_by).where(F.col("bits") >= -generalise_bits)
-                .select("entity", "term", (F.col("bits") >= -remove_bits).alias("removed")))
+                .groupBy("term").agg((F.max("bits") >= -remove_bits).alias("removed")))
+        tell = materialize(tell, "tell")
+        bits = bitmap(tell, F.expr(f"crc32(encode(term, 'UTF-8')) % {BITS}"))
+    bits = bits if tell is not None and any(bits) else None
+    names = [*inner, "_row", *["_text"] * with_text]
+    schema = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+    wide = rows.select(*inner, "_row", *["_text"] * with_text, F.col("_text").alias("_read"))
+    stored = materialize(wide.mapInArrow(_scan(names, bits), f"{schema}, _spans {SPAN}, _hits {HITS}"), "spans")
+    base = stored.withColumn("_base", F.expr("transform(_spans, x -> struct(x.s, x.e, x.k, true AS removed))"))
+    kept = [*inner, *["_text"] * with_text]
+    if bits is None:
+        out = base.select(*kept, F.col("_base").alias("_all"))
+    else:
+        occ = stored.where("size(_hits) > 0").select("_row", F.explode("_hits").alias("x")).select("_row", "x.term", "x.s", "x.e")
         term = F.struct("s", "e", F.lit(KINDS.index("term")).alias("k"), "removed")
-        added = (occ.join(tell, ["entity", "term"]).groupBy("_row", "s", "e").agg(F.max("removed").alias("removed"))
-                 .groupBy("_row").agg(F.collect_list(term).alias("_terms")))
-        told = base.where("size(_near) > 0").join(added, "_row", "left")
+        added = occ.join(tell, "term").groupBy("_row").agg(F.collect_list(term).alias("_terms"))
+        told = base.where("size(_hits) > 0").join(added, "_row", "left")
         alls = F.expr("array_sort(concat(_base, coalesce(_terms, array())))")
         out = told.select(*kept, alls.alias("_all")).unionByName(
-            base.where("size(_near) = 0").select(*kept, F.col("_base").alias("_all")))
+            base.where("size(_hits) = 0").select(*kept, F.col("_base").alias("_all")))
     by_kind = F.expr("""array_sort(_all, (a, b) -> CASE WHEN a.s <> b.s THEN a.s - b.s WHEN a.k <> b.k THEN a.k - b.k
                         ELSE a.e - b.e END)""")
     return out.select(*[F.col(n).alias(c) for n, c in zip(inner, carry)], *["_text"] * with_text, by_kind.alias("spans"))

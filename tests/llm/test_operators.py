@@ -421,6 +421,16 @@ def test_disclosing_terms(spark):
     assert spans[0].count(0) == 1 and spans[0].count(4) == 1 and spans[99] == []
 
 
+def test_disclosing_terms_everywhere(spark):
+    """Far from the entity, and in documents that do not name it."""
+    far = "one two three four five six seven eight nine ten eleven"
+    rows = [(i, f"filler{i} Zorbly writes from zorb@x.org on day{i} {far} (Zorbly) again and Quandle") for i in range(6)]
+    rows += [(6 + i, f"nobody{i} knows Zorbly, {far}") for i in range(3)] + [(10 + i, f"{far} again writes from and on filler{i}") for i in range(40)]
+    got = {r.doc_id: r.text for r in sanitise.sanitise(frame(spark, rows)).collect()}
+    assert not any("Zorbly" in t for t in got.values()) and not any("Quandle" in t for t in got.values())
+    assert "([NAME])" in got[0] and got[6] == f"nobody0 knows [NAME], {far}" and got[10] == rows[9][1]
+
+
 # -- 8 -----------------------------------------------------------------------
 
 def test_quality_model_on_held_out_rows(spark):
