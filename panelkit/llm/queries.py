@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import compact_windows, mcd, mil_quality, minhash_tensor, packing, sanitise, suffix_dedup, topk, warc, wfst
+from panelkit.llm import compact_windows, conversation_repair, mcd, mil_quality, minhash_tensor, packing, sanitise, suffix_dedup, topk, warc, wfst
 from panelkit.llm.common import table
 
 
@@ -88,6 +88,20 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(rows, rows.where(topk.every_nth(100)), 10)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults and cheapest repair after the contract's damage."""
+    given = table(spark, sf_dir, "conversations")
+    turns = conversation_repair.placed(conversation_repair.damaged(given))
+    solved = conversation_repair.solve(turns)
+    out = given.select("conv_id").distinct()
+    for got in (conversation_repair.turn_gaps(turns), conversation_repair.audits(solved),
+                conversation_repair.digests(conversation_repair.repaired(turns, solved))):
+        out = out.join(got, F.col("conv_id").cast("string").eqNullSafe(F.col("conv")), "left").drop("conv")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,6 +113,7 @@ QUERIES = {
     "op8_mil_quality": op8_mil_quality,
     "op9_wfst": op9_wfst,
     "op10_topk": op10_topk,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLE = {
