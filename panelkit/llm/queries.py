@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import compact_windows, conversation_repair, mcd, mil_quality, minhash_tensor, packing, sanitise, suffix_dedup, topk, warc, wfst
+from panelkit.llm import compact_windows, conversation_repair, mcd, mil_quality, minhash_tensor, packing, ranked_search, sanitise, secret_scan, suffix_dedup, topk, warc, wfst
 from panelkit.llm.common import table
 
 
@@ -88,6 +88,16 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(rows, rows.where(topk.every_nth(100)), 10)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by patterns and by character models trained on a sample of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = secret_scan.train(secret_scan.labelled_samples(docs))
+    got = secret_scan.find_spans(docs, model, ["doc_id"])
+    counts = [F.expr(f"cast(size(filter(spans, x -> x.k = {k})) as bigint)").alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS[:3])]
+    return got.select("doc_id", *counts, F.sha2(F.encode(secret_scan.digest("spans", base_only=True), "UTF-8"), 256).alias("base_sha256"),
+                      secret_scan.digest("spans").alias("spans"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation's faults and cheapest repair after the contract's damage."""
     given = table(spark, sf_dir, "conversations")
@@ -102,6 +112,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item, over all documents."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10).select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -113,7 +128,9 @@ QUERIES = {
     "op8_mil_quality": op8_mil_quality,
     "op9_wfst": op9_wfst,
     "op10_topk": op10_topk,
+    "op11_secret_scan": op11_secret_scan,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE = {
@@ -144,4 +161,56 @@ s AS (SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.v, r.v) A
       FROM v q JOIN v r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id),
 o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM o WHERE rank <= 10""",
+    "op11_secret_scan": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+re AS (SELECT '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?' AS key_,
+              '[A-Za-z0-9+/_.=-]+' AS val_, 'AKIA[A-Z0-9]+' AS access_, '[0-9a-f]+' AS hex_, '[A-Za-z0-9+/_=-]+' AS word_),
+p AS (SELECT r, doc_id, text, k, pat FROM d, re, (VALUES (0), (1), (2), (3)) t(k),
+        LATERAL (SELECT CASE k WHEN 0 THEN key_ || val_ WHEN 1 THEN access_ WHEN 2 THEN hex_ ELSE word_ END AS pat)),
+m AS (SELECT r, doc_id, k, regexp_extract_all(text, pat) AS ms, list_transform(string_split_regex(text, pat), lambda x: length(x)) AS gaps,
+        CASE WHEN k = 0 THEN list_transform(regexp_extract_all(text, pat), lambda x: length(regexp_replace(x, '^' || key_, ''))) END AS vals FROM p, re),
+u AS (SELECT r, doc_id, k, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS word, unnest(gaps[1:len(ms)]) AS gap,
+        unnest(CASE WHEN k = 0 THEN vals ELSE list_transform(ms, lambda x: length(x)) END) AS size_ FROM m),
+e AS (SELECT r, doc_id, k, word, size_, sum(gap + length(word)) OVER (PARTITION BY r, k ORDER BY i) AS e FROM u),
+f AS (SELECT r, doc_id, k, word, e - length(word) AS s, e FROM e
+      WHERE size_ >= CASE k WHEN 0 THEN 12 WHEN 1 THEN 18 ELSE 16 END),
+-- samples: every document (the sample holds 2000)
+plain AS (SELECT regexp_replace(regexp_replace(regexp_replace(text, key_ || val_, ' ', 'g'), 'AKIA[A-Z0-9]{14,}', ' ', 'g'), '[0-9a-f]{16,}', ' ', 'g') AS text
+          FROM (SELECT DISTINCT doc_id, text FROM d), re),
+samples AS (SELECT DISTINCT word, 0 AS label FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9+/_=-]{8,}')) AS word FROM plain)
+  UNION SELECT unnest([sha256(text), upper(sha256(text)), to_base64(from_hex(sha256(text)))]), 1 FROM d
+  UNION SELECT CASE WHEN k = 0 THEN regexp_replace(word, '^' || key_, '') ELSE word END, 1 FROM f, re WHERE k < 3),
+alphabet AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-' AS abc),
+codes AS (SELECT label, list_transform(string_split(word, ''), lambda c: strpos(abc, c)) AS cs FROM samples, alphabet),
+steps AS (SELECT label, unnest(list_zip(list_prepend(0, cs[1:len(cs) - 1]), cs)) AS ab FROM codes),
+n AS (SELECT ab[1] AS a, ab[2] AS b, count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1 FROM steps GROUP BY ALL),
+grid AS (SELECT x.i AS a, y.i AS b, coalesce(n0, 0) AS n0, coalesce(n1, 0) AS n1 FROM range(68) x(i) CROSS JOIN range(68) y(i) LEFT JOIN n ON a = x.i AND b = y.i),
+model AS (SELECT a, b, CAST(floor(1000 * ln((CAST(n1 + 1 AS DOUBLE) / CAST(sum(n1) OVER w + 68 AS DOUBLE)) / (CAST(n0 + 1 AS DOUBLE) / CAST(sum(n0) OVER w + 68 AS DOUBLE)))) AS BIGINT) AS v
+          FROM grid WINDOW w AS (PARTITION BY a)),
+words AS (SELECT DISTINCT word FROM f WHERE k = 3),
+ws AS (SELECT word, unnest(list_zip(list_prepend(0, cs[1:len(cs) - 1]), cs)) AS ab
+       FROM (SELECT word, list_transform(string_split(word, ''), lambda c: strpos(abc, c)) AS cs FROM words, alphabet)),
+scores AS (SELECT word, sum(v) AS score FROM ws JOIN model ON a = ab[1] AND b = ab[2] GROUP BY word),
+kept AS (SELECT r, k, s, e FROM f WHERE k < 3
+  UNION ALL SELECT r, k, s, e FROM f JOIN scores USING (word)
+    WHERE k = 3 AND score >= 10000 AND NOT EXISTS (SELECT 1 FROM f b WHERE b.k < 3 AND b.r = f.r AND b.s <= f.s AND b.e >= f.e)),
+named AS (SELECT *, ['assign', 'access', 'hex', 'random'][k + 1] || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS t FROM kept)
+SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  sha256(coalesce(string_agg(t, ',' ORDER BY s, k) FILTER (k < 3), '')) AS base_sha256, coalesce(string_agg(t, ',' ORDER BY s, k), '') AS spans
+FROM d LEFT JOIN named USING (r) GROUP BY r, doc_id""",
+    "op13_ranked_search": r"""
+WITH t AS (SELECT rowid_, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+n AS (SELECT rowid_, count(*) AS n FROM t GROUP BY rowid_),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+f AS (SELECT rowid_, doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term), total),
+g AS (SELECT rowid_, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS gain
+      FROM f JOIN w USING (term) JOIN n USING (rowid_), total),
+s AS (SELECT item_id, rowid_, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM q JOIN g USING (term) GROUP BY ALL),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10""",
 }
