@@ -198,6 +198,50 @@ named AS (SELECT *, ['assign', 'access', 'hex', 'random'][k + 1] || ':' || CAST(
 SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
   sha256(coalesce(string_agg(t, ',' ORDER BY s, k) FILTER (k < 3), '')) AS base_sha256, coalesce(string_agg(t, ',' ORDER BY s, k), '') AS spans
 FROM d LEFT JOIN named USING (r) GROUP BY r, doc_id""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE
+bit8 AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(CAST(n AS BIGINT), CAST(range(8) AS BIGINT[])),
+           lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS t),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key_ FROM conversations),
+-- CRC-32 by its table, over the characters of the key (digits, sign, colon, space)
+crc AS (SELECT key_, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(key_, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+          lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295) % 20 AS k FROM (SELECT DISTINCT key_ FROM src), bit8),
+hit AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+          CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+          unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy_ FROM src JOIN crc USING (key_) WHERE k <> 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM hit),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last_ FROM p),
+r AS (SELECT *, CASE WHEN last_ = '' THEN 'b' WHEN again THEN 'd' WHEN last_ NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault, left(role, 1) AS c,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
+stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+            count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM r GROUP BY conv_id),
+-- from the last row to the first: per state (after nothing, s, u, a) the least (cost, audit) of what follows, and its lines
+best(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT conv_id, n, {c: 0, e: '', l: []::VARCHAR[]}, {c: 6, e: 'II', l: ['user:', 'assistant:']}, {c: 3, e: 'I', l: ['assistant:']}, {c: 0, e: '', l: []::VARCHAR[]} FROM stats
+  UNION ALL
+  SELECT conv_id, i, least(w0, {c: m2.c + 3, e: 'I' || m2.e, l: list_prepend('user:', m2.l)}), least(w1, {c: m2.c + 3, e: 'I' || m2.e, l: list_prepend('user:', m2.l)}),
+    m2, least(w3, {c: m2.c + 3, e: 'I' || m2.e, l: list_prepend('user:', m2.l)})
+  FROM (SELECT *, least(w2, {c: w3.c + 3, e: 'I' || w3.e, l: list_prepend('assistant:', w3.l)}) AS m2
+    FROM (SELECT b.conv_id, b.i - 1 AS i,
+        least({c: v0.c + 4, e: 'D' || v0.e, l: v0.l}, {c: v2.c + x + 3, e: 'R' || v2.e, l: list_prepend('user:' || text, v2.l)},
+              CASE c WHEN 's' THEN {c: v1.c + x, e: 'K' || v1.e, l: list_prepend(role || ':' || text, v1.l)}
+                     WHEN 'u' THEN {c: v2.c + x, e: 'K' || v2.e, l: list_prepend(role || ':' || text, v2.l)} END) AS w0,
+        least({c: v1.c + 4, e: 'D' || v1.e, l: v1.l}, {c: v2.c + x + 3, e: 'R' || v2.e, l: list_prepend('user:' || text, v2.l)},
+              CASE c WHEN 'u' THEN {c: v2.c + x, e: 'K' || v2.e, l: list_prepend(role || ':' || text, v2.l)} END) AS w1,
+        least({c: v2.c + 4, e: 'D' || v2.e, l: v2.l}, {c: v3.c + x + 3, e: 'R' || v3.e, l: list_prepend('assistant:' || text, v3.l)},
+              CASE c WHEN 'a' THEN {c: v3.c + x, e: 'K' || v3.e, l: list_prepend(role || ':' || text, v3.l)} END) AS w2,
+        least({c: v3.c + 4, e: 'D' || v3.e, l: v3.l}, {c: v2.c + x + 3, e: 'R' || v2.e, l: list_prepend('user:' || text, v2.l)},
+              CASE c WHEN 'u' THEN {c: v2.c + x, e: 'K' || v2.e, l: list_prepend(role || ':' || text, v2.l)} END) AS w3
+      FROM best b JOIN (SELECT conv_id AS id, i AS at, role, text, c, CASE fault WHEN 'b' THEN 1000000 WHEN 'd' THEN 1000000 WHEN 't' THEN 3 ELSE 0 END AS x FROM r) y
+        ON y.id IS NOT DISTINCT FROM b.conv_id AND y.at = b.i)))
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(v0.c, 0) AS BIGINT) AS cost, coalesce(v0.e, '') AS audit,
+  sha256(coalesce(array_to_string(v0.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id AND i = 0""",
     "op13_ranked_search": r"""
 WITH t AS (SELECT rowid_, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)),
