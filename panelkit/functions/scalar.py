@@ -80,3 +80,20 @@ def file_stem(path_col) -> Column:
 
 def bytes_to_mb(c, digits: int = 2) -> Column:
     return round_half_up(col(c) / F.lit(1024.0 * 1024.0), digits)
+
+
+def let(x: Column, f) -> Column:
+    """``f(x)`` with ``x`` evaluated once, however often ``f`` uses it (also where the
+    optimiser would copy ``x`` into every use, as when a filter passes a projection)."""
+    return F.transform(F.array(x), f)[0]
+
+
+def timestamp_text(c) -> Column:
+    """A time as the reports write it: ``yyyy-MM-dd HH:mm:ss`` in the session's time zone."""
+    return F.date_format(col(c), "yyyy-MM-dd HH:mm:ss")
+
+
+def position_in(c, values: Sequence) -> Column:
+    """0-based place of a value in a list, NULL if it is not in it."""
+    at = F.array_position(F.array(*[F.lit(v) for v in values]), col(c))
+    return F.when(at > 0, at - 1)

@@ -24,11 +24,13 @@ Building such a frame writes the collapsed values (one table).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.functions.scalar import colref
 from panelkit.session import materialize, shuffle_partitions
 
 _CONST_GROUP = "_pk_all"
@@ -93,6 +95,128 @@ def competition_rank(df: DataFrame, groups: Sequence[str], score: str, out: str,
     return df.join(ranked, cond, "inner").drop("_rk_v", *ren.values())
 
 
+def _number(c: str) -> Column:
+    """A column as a double; NaN is a missing value, as in pandas."""
+    x = colref(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _sketch_error(k: int) -> float:
+    """Rank error of a KLL sketch of size ``k`` at 99 % confidence, as its library states it."""
+    return 2.296 / k ** 0.9021
+
+
+def column_brackets(df: DataFrame, columns: Sequence[str], qs: Sequence[float], k: int = 4096) -> list[dict]:
+    """Per column its name, count and, for each of ``qs``, a pair of values that holds the quantile between
+    them (None for few values, where the whole column does). One scan, one partial aggregation of
+    fixed size, whatever the number of rows; a row of numbers reaches the driver."""
+    slack = 4 * _sketch_error(k)  # ten standard deviations
+    marks = [min(1.0, max(0.0, q + d)) for q in qs for d in (-slack, slack)]
+    sketches = df.agg(*[F.kll_sketch_agg_double(_number(c), k).alias(f"s{i}") for i, c in enumerate(columns)])
+    n = [F.coalesce(F.kll_sketch_get_n_double(f"s{i}"), F.lit(0)) for i in range(len(columns))]
+    row = sketches.select(*[x.alias(f"n{i}") for i, x in enumerate(n)], *[
+        F.when(x > 0, F.array(*[F.kll_sketch_get_quantile_double(f"s{i}", F.lit(m)) for m in marks])).alias(f"q{i}") for i, x in enumerate(n)]).first()
+    out = []
+    for i, c in enumerate(columns):
+        count, pairs = row[f"n{i}"], row[f"q{i}"]
+        out.append({"column_name": c, "count": count, "held": None if count < 16 * k else list(zip(pairs[::2], pairs[1::2]))})
+    return out
+
+
+def _narrowed(df: DataFrame, stats: list[dict], qs: Sequence[float], k: int, most: int) -> None:
+    """Narrow the intervals again and again, one or two scans of all columns each time, until the values within
+    one are at most ``most`` (or it no longer shrinks: few distinct values then, which collapse)."""
+    slack, settled = 4 * _sketch_error(k), set()
+    while True:
+        wide = [(i, j) for i, s in enumerate(stats) if s["held"] and 2 * slack * s["count"] > most
+                for j, (a, b) in enumerate(s["held"]) if a < b and (i, j) not in settled]
+        if not wide:
+            return
+        aggs = []
+        for i, j in wide:
+            x, (a, b) = _number(stats[i]["column_name"]), stats[i]["held"][j]
+            aggs += [F.count_if(x < a).alias(f"below{i}_{j}"), F.count_if((x >= a) & (x <= b)).alias(f"in{i}_{j}")]
+        seen, ask = df.agg(*aggs).first(), {}
+        for i, j in wide:
+            inside = seen[f"in{i}_{j}"]
+            if inside <= most:
+                settled.add((i, j))
+            else:
+                at = ((stats[i]["count"] - 1) * qs[j] - seen[f"below{i}_{j}"]) / (inside - 1)
+                ask[i, j] = (max(0.0, at - slack), min(1.0, at + slack))
+        if not ask:
+            return
+        aggs, ends = [], {}
+        for (i, j), marks in ask.items():
+            x, (a, b) = _number(stats[i]["column_name"]), stats[i]["held"][j]
+            aggs.append(F.kll_sketch_agg_double(F.when((x >= a) & (x <= b), x), k).alias(f"s{i}_{j}"))
+            ends |= {f"{end}{i}_{j}": F.kll_sketch_get_quantile_double(f"s{i}_{j}", F.lit(m)) for end, m in zip(("lo", "hi"), marks)}
+        got = df.agg(*aggs).select(*[c.alias(n) for n, c in ends.items()]).first()
+        for (i, j), marks in ask.items():
+            a, b = stats[i]["held"][j]
+            new = (got[f"lo{i}_{j}"], got[f"hi{i}_{j}"])
+            stats[i]["held"][j] = new
+            if new == (a, b):
+                settled.add((i, j))
+
+
+def column_summary(df: DataFrame, columns: Sequence[str], qs: Sequence[float], names: Sequence[str],
+                   k: int = 4096, most: int = 4_000_000) -> DataFrame:
+    """``column_name, count, mean, std, min, max`` and exact quantiles ``names`` of every column.
+
+    A first scan's sketches tell between which values each quantile lies; the returned plan scans the
+    table once more, for all columns together: values outside those intervals collapse to a few partial
+    moments in the map tasks, those inside are counted by value, and a running count over them finds the
+    wanted positions (linear interpolation, as pandas ``describe``). One percent of the values are inside; a table
+    so large that more than ``most`` would be narrows the intervals by further scans, so what is
+    shuffled does not grow with the table."""
+    stats = column_brackets(df, columns, qs, k)
+    _narrowed(df, stats, qs, k, most)
+    bounds = []
+    for s in stats:
+        joined: list = []
+        for a, b in sorted(s["held"] or [(float("-inf"), float("inf"))]):
+            if joined and a <= joined[-1][1]:
+                joined[-1][1] = max(b, joined[-1][1])
+            else:
+                joined.append([a, b])
+        bounds.append(joined)
+    width = max((len(x) for x in bounds), default=0)
+    of = lambda k, end: F.array(*[F.lit(float(x[k][end]) if k < len(x) else float("inf")) for x in bounds])[F.col("i")]
+    long = df.select(*[_number(c).alias(f"_x{i}") for i, c in enumerate(columns)]).select(
+        F.expr(f"stack({len(columns)}, " + ", ".join(f"{i}, _x{i}" for i in range(len(columns))) + ") AS (i, v)")).where("v IS NOT NULL")
+    # disjoint intervals, ascending: odd cells are within one, even cells between them
+    cell = sum(((F.col("v") >= of(k, 0)).cast("int") + (F.col("v") > of(k, 1)).cast("int") for k in range(width)), F.lit(0))
+    # the mean from an exact sum of millionths, whatever the order of summing; where a value has more
+    # decimals or the sum is too large, it comes from the moments
+    scaled = F.rint(F.col("v") * 1e6)
+    fits = (F.abs("v") < 9e9) & (scaled / 1e6 == F.col("v"))
+    exact = F.when(fits, scaled.cast("long"))
+    held = (long.withColumn("cell", cell).groupBy("i", "cell", F.when(F.col("cell") % 2 == 1, F.col("v")).alias("at")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.try_sum(exact).cast("decimal(20,0)").alias("total"), F.count_if(~fits).alias("odd"), F.avg("v").alias("mean"), F.var_pop("v").alias("var"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+    whole = Window.partitionBy("i")
+    earlier = whole.orderBy("cell", "at").rowsBetween(Window.unboundedPreceding, -1)
+    pos = held.withColumns({"start": F.coalesce(F.sum("cnt").over(earlier), F.lit(0)), "n": F.sum("cnt").over(whole),
+                            "centre": F.sum(F.col("mean") * F.col("cnt")).over(whole) / F.sum("cnt").over(whole)})
+    off = F.col("mean") - F.col("centre")
+    n = F.max("n")
+    mean = F.when(F.sum("odd") == 0, (F.try_sum("total") * F.lit(Decimal("0.000001"))).cast("double") / n)
+    aggs = [n.alias("count"), F.coalesce(mean, F.max("centre")).alias("mean"), F.when(n > 1, F.sqrt(F.sum(F.col("cnt") * (F.col("var") + off * off)) / (n - 1))).alias("std"),
+            F.min("lo").alias("min"), F.max("hi").alias("max")]
+    for q, name in zip(qs, names):
+        h = (F.col("n") - 1).cast("double") * F.lit(float(q))
+        for end, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            hit = (F.col("start") <= at) & (at < F.col("start") + F.col("cnt"))
+            out = F.when(F.col("at").isNull(), F.raise_error(F.lit(f"{name}: outside its interval")).cast("double")).otherwise(F.col("at"))
+            aggs.append(F.max(F.when(hit, out)).alias(f"_{name}_{end}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_{name}_f"))
+    labels = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("j", "column_name"))
+    agg = pos.groupBy("i").agg(*aggs)
+    return labels.join(agg, F.col("i") == F.col("j"), "left").select(
+        "column_name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), "mean", "std", "min", "max", *[
+            (F.col(f"_{m}_lo") + (F.col(f"_{m}_hi") - F.col(f"_{m}_lo")) * F.col(f"_{m}_f")).alias(m) for m in names])
+
+
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str,
                     qs: Sequence[float], names: Sequence[str],
                     buckets: int | None = None, approx: bool = False,

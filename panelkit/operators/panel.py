@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import round_half_up, row_mean
 from panelkit.operators.ordinal import competition_rank
+from panelkit.session import materialize, shuffle_partitions
 from panelkit.spec import PanelSpec
 
 
@@ -29,21 +30,45 @@ def with_rank(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return competition_rank(df, [spec.period], spec.score, spec.rank, descending=True)
 
 
-def with_change(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def _place(df: DataFrame, keys: list[str]) -> Column:
+    """The sort key of a row as one comparable value, NULLs last in each part."""
+    return F.struct(*[x for c in keys for x in (F.col(c).isNull(), F.col(c))])
+
+
+def with_change(df: DataFrame, spec: PanelSpec, partitions: int | None = None) -> DataFrame:
     """W1 + W2: score minus the previous row's score of the same entity
-    (row offset: a gap year still uses the previous row). A panel has at most
-    one row per (entity, period), so an entity partition is bounded by the
-    number of periods."""
-    w = Window.partitionBy(spec.entity).orderBy(
-        F.asc_nulls_last(spec.period), F.asc_nulls_last(spec.score))
-    return df.withColumn(spec.change, F.col(spec.score) - F.lag(spec.score, 1).over(w))
+    (row offset: a gap year still uses the previous row).
+
+    No entity is one task: rows are range-partitioned by (entity, period, score) and written once with their
+    partition's number, the change is taken within (partition, entity), and the first row of each
+    partition gets the last score of its entity from the partition before it that has rows: a table of
+    one row per partition. Boundaries change the balance, never the answer."""
+    order = [spec.entity, spec.period, spec.score]
+    keys = [F.asc_nulls_last(c) for c in order]
+    parts = partitions or shuffle_partitions(df.sparkSession)
+    rows = materialize(df.repartitionByRange(parts, *keys).withColumn("_pk_part", F.spark_partition_id()), "ordered")
+
+    place = _place(rows, order)
+    ends = rows.groupBy("_pk_part").agg(F.min(place)[spec.entity].alias("_pk_first"), F.max(place).alias("_pk_last"))
+    before = Window.orderBy("_pk_part")  # as many rows as partitions
+    carry = ends.select(
+        F.col("_pk_part").alias("_pk_to"), "_pk_first", F.lag(F.col("_pk_last")[spec.entity]).over(before).alias("_pk_entity"),
+        F.lag(F.col("_pk_last")[spec.score]).over(before).alias("_pk_carried"), F.row_number().over(before).alias("_pk_nth"))
+    # carried only into a partition that goes on with the same entity
+    carry = carry.where((F.col("_pk_nth") > 1) & F.col("_pk_first").eqNullSafe(F.col("_pk_entity")))
+
+    own = Window.partitionBy("_pk_part", spec.entity).orderBy(*keys[1:])
+    rows = rows.withColumns({"_pk_prev": F.lag(spec.score, 1).over(own), "_pk_row": F.row_number().over(own)})
+    goes_on = (F.col("_pk_row") == 1) & (F.col("_pk_part") == F.col("_pk_to")) & F.col(spec.entity).eqNullSafe(F.col("_pk_first"))
+    rows = rows.join(F.broadcast(carry), F.col("_pk_part") == F.col("_pk_to"), "left")
+    prev = F.when(goes_on, F.col("_pk_carried")).otherwise(F.col("_pk_prev"))
+    return rows.select(*df.columns, (F.col(spec.score) - prev).alias(spec.change))
 
 
 def clean_panel(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     """``clean_infrastructure`` - panel + component mean + change + rank.
 
-    Rank (partitioned by period) is computed before the change (partitioned by
-    entity), so a following ``groupBy(entity)`` reuses the entity partitioning.
+    Neither the rank nor the change puts a period or an entity into one task.
     No global sort: order only at export (``sinks``)."""
     base = with_component_mean(select_panel(panel, spec), spec)
     out = with_change(with_rank(base, spec), spec)

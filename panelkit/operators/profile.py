@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from panelkit.functions import colref, safe_corr
 from panelkit.operators.leaders import latest_slice, top_n
-from panelkit.operators.ordinal import exact_quantiles, value_positions
+from panelkit.operators.ordinal import column_summary, value_positions
 from panelkit.operators.panel import net_change
 from panelkit.spec import PanelSpec
 
@@ -65,27 +65,27 @@ def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                      approx: bool = False) -> DataFrame:
     """Pandas ``describe()`` per numeric column, long form: count, mean,
-    std (sample), min, 25/50/75 % (exact, linear interpolation), max.
+    std (sample), min, 25/50/75 % (exact, linear interpolation), max. NULL and NaN do not count.
 
-    Moments are one partial+final aggregation over the long (column_name,
-    value) form; the quartiles come from the skew-proof ordinal machinery over
-    the same form - never one task per column. ``approx=True``: sketch quartiles (one pass, no shuffle
-    of values)."""
+    All columns together: one scan for sketches when the frame is defined (a row of numbers
+    reaches the driver), one in the returned plan for the rest (``ordinal.column_summary``).
+    ``approx=True``: quartiles from sketches that :func:`approximate_summary` takes, a single scan."""
     cols = list(columns or numeric_columns(df))
-    # Long form as a union of one-column projections rather than an unpivot:
-    # each branch scans only its column, and the branches' tasks run side by
-    # side (an unpivot multiplies every row inside the scan's few tasks).
-    long = reduce(DataFrame.unionByName, [
-        df.select(F.lit(c).alias("column_name"), colref(c).cast("double").alias("value"))
-        for c in cols])
-    v = F.col("value")
-    moments = long.groupBy("column_name").agg(
-        F.count(v).cast("bigint").alias("count"), F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-    qs = exact_quantiles(long, ["column_name"], "value", (0.25, 0.5, 0.75),
-                         ("p25", "p50", "p75"), approx=approx)
-    return (moments.join(qs, "column_name", "left")
-            .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+    qs, names = (0.25, 0.5, 0.75), ("p25", "p50", "p75")
+    found = approximate_summary(df, cols, qs, names) if approx else column_summary(df, cols, qs, names)
+    return found.select("column_name", "count", "mean", "std", "min", *names, "max")
+
+
+def approximate_summary(df: DataFrame, columns: Sequence[str], qs: Sequence[float], names: Sequence[str],
+                        accuracy: int = 10000) -> DataFrame:
+    """As ``ordinal.column_summary`` in one scan: quantiles within a rank error of 1 / accuracy."""
+    aggs, fields = [], ["count", "mean", "std", "min", "max", "q"]
+    for i, c in enumerate(columns):
+        x = F.when(~F.isnan(colref(c).cast("double")), colref(c).cast("double"))
+        for f, agg in zip(fields, (F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x), F.percentile_approx(x, list(qs), accuracy))):
+            aggs.append(agg.alias(f"_s{i}_{fields.index(f)}"))
+    rows = _stack(df.agg(*aggs), list(columns), fields, "column_name")
+    return rows.select("column_name", *fields[:5], *[F.col("q")[j].alias(n) for j, n in enumerate(names)])
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -106,6 +106,62 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*structs)))
 
 
+def correlation_tiles(df: DataFrame, columns: Sequence[str], tile: int = 64) -> DataFrame:
+    """A14 for hundreds of columns: the same long form as :func:`correlation_matrix`, whose k(k+1)/2 aggregates
+    one stage cannot hold.
+
+    Tasks add up the co-moments of their rows (pairwise NULLs and NaN left out) as matrix products over
+    Arrow batches, shifted by the columns' means against cancellation, and give one row per pair of column
+    tiles; the tiles are summed cell by cell. A task holds six k x k matrices, the shuffle k * k / 2 cells a task."""
+    cols = list(columns)
+    number = [F.when(~F.isnan(colref(c).cast("double")), colref(c).cast("double")) for c in cols]
+    half = max(1, min(200, len(cols)))
+    centre: list = []
+    for lo in range(0, len(cols), half):
+        centre += list(df.agg(*[F.avg(x) for x in number[lo:lo + half]]).first())
+    shift = [c or 0.0 for c in centre]
+    k, names = len(cols), ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def moments(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = None
+        for b in batches:
+            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(k)]).astype(np.float64) if b.num_rows else np.zeros((0, k))
+            m = ~np.isnan(x)
+            x = np.where(m, x - shift, 0.0)
+            m = m.astype(np.float64)
+            sx, sxx = x.T @ m, (x * x).T @ m
+            own = [m.T @ m, sx, sx.T, sxx, sxx.T, x.T @ x]
+            total = own if total is None else [a + o for a, o in zip(total, own)]
+        if total is None:
+            return
+        for i in range(0, k, tile):
+            for j in range(i, k, tile):
+                cells = [t[i:i + tile, j:j + tile].reshape(1, -1) for t in total]
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([j]), *[pa.array(list(c), pa.list_(pa.float64())) for c in cells]],
+                                                 ["i", "j", *names])
+
+    parts = df.select(*[x.alias(f"x{i}") for i, x in enumerate(number)]).mapInArrow(
+        moments, "i long, j long, " + ", ".join(f"{c} array<double>" for c in names))
+    cells = parts.select("i", "j", F.posexplode(F.arrays_zip(*names)).alias("at", "c")).groupBy("i", "j", "at").agg(
+        *[F.sum(f"c.{c}").alias(c) for c in names])
+    wide = F.least(F.lit(tile), F.lit(k) - F.col("j"))
+    x, y = (F.col("i") + F.floor(F.col("at") / wide)).cast("int"), (F.col("j") + F.col("at") % wide).cast("int")
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n"), F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    # a constant column's spread is rounding of its shift alone
+    flat = (vx <= F.col("n") * F.pow(F.col("ax") * 1e-13, 2)) | (vy <= F.col("n") * F.pow(F.col("ay") * 1e-13, 2))
+    label = F.array(*[F.lit(c) for c in cols])
+    size = F.array(*[F.lit(abs(c)) for c in shift])
+    pairs = (cells.where("n > 1").withColumns({"x": x, "y": y}).withColumns({"ax": size[F.col("x")], "ay": size[F.col("y")]})
+             .withColumn("corr", F.when(~flat, cov / F.sqrt(vx * vy))))
+    grid = df.sparkSession.range(k * k).select((F.col("id") / k).cast("int").alias("gx"), (F.col("id") % k).cast("int").alias("gy"))
+    found = grid.join(pairs.select("x", "y", "corr"), (F.col("x") == F.least("gx", "gy")) & (F.col("y") == F.greatest("gx", "gy")), "left")
+    return found.select(label[F.col("gx")].alias("var_x"), label[F.col("gy")].alias("var_y"), "corr")
+
+
 def table_schema(df: DataFrame, table_name: str) -> DataFrame:
     """Shape and column types as rows (table_name, column_name, position,
     data_type, num_rows, num_columns). The types come from the schema

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import fixed_text, thousands_text
+from panelkit.functions.scalar import colref
 from panelkit.operators.leaders import top_in_period, top_n
-from panelkit.operators.ordinal import exact_quantiles
-from panelkit.operators.reshape import unpivot_components
+from panelkit.operators.ordinal import column_summary, exact_quantiles
 from panelkit.spec import PanelSpec
 
 Selection = Sequence[str] | DataFrame
@@ -102,9 +102,28 @@ def box_summary(long: DataFrame, group: str = "variable", value: str = "value",
         group, "n", "min", "q1", "median", "q3", "max", "lower_fence", "upper_fence", "outliers")
 
 
+def box_columns(df: DataFrame, columns: Sequence[str], group: str = "variable") -> DataFrame:
+    """A17 for columns of one table: :func:`box_summary` of each column, without the long form. Three
+    scans of all columns together: sketches, exact quartiles (a row per column reaches the driver),
+    and the returned plan, whose fences and outliers are one partial aggregation."""
+    names = ("q1", "median", "q3")
+    found = [r for r in column_summary(df, columns, (0.25, 0.5, 0.75), names).collect() if r["count"]]
+    schema = f"{group} string, n bigint, min double, q1 double, median double, q3 double, max double, lower_fence double, upper_fence double, outliers bigint"
+    if not found:
+        return df.sparkSession.createDataFrame([], schema)
+    aggs, rows = [], []
+    for i, r in enumerate(found):
+        x, reach = colref(r["column_name"]).cast("double"), 1.5 * (r["q3"] - r["q1"])
+        value = F.when(~F.isnan(x), x)
+        inside = (value >= r["q1"] - reach) & (value <= r["q3"] + reach)
+        aggs += [F.min(F.when(inside, value)).alias(f"l{i}"), F.max(F.when(inside, value)).alias(f"u{i}"),
+                 F.count_if(~inside).cast("bigint").alias(f"o{i}")]
+        fixed = [F.lit(r[c]).alias(c) for c in ("min", *names, "max")]
+        rows.append(F.struct(F.lit(r["column_name"]).alias(group), F.lit(r["count"]).cast("bigint").alias("n"), *fixed,
+                             F.col(f"l{i}").alias("lower_fence"), F.col(f"u{i}").alias("upper_fence"), F.col(f"o{i}").alias("outliers")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def view_distribution(clean: DataFrame, spec: PanelSpec, period) -> DataFrame:
     """X11: box summary of every component in one period."""
-    rows = clean.where(F.col(spec.period) == F.lit(period))
-    # One group per component: a bound fixed by the spec.
-    return box_summary(unpivot_components(rows, spec, [spec.entity], with_labels=False),
-                       few_groups=True)
+    return box_columns(clean.where(F.col(spec.period) == F.lit(period)), spec.components)

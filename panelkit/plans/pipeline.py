@@ -9,16 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators.leaders import top_performers
 from panelkit.operators.panel import clean_panel, entity_summary, period_trends
 from panelkit.operators.quality import quality_checks, quality_report, require
-from panelkit.session import delete_path
+from panelkit.session import delete_path, materialize
 from panelkit.sources.catalog import collection_report, data_catalog, dataset_catalog
-from panelkit.sources.files import panel_schema, read_csv
-from panelkit.sources.indicator import name_indicators, read_indicator_payloads
+from panelkit.functions import decoded_path
+from panelkit.sources.files import CSV_OPTIONS, panel_schema, read_csv, split_rejects
+from panelkit.sources.indicator import FLAT_COLUMNS, name_indicators, parse_envelopes, read_indicator_csv
 from panelkit.sources.sinks import (load_gold, publish_gold, register_views, save_table,
                                     write_csv, write_json, write_parquet)
 from panelkit.spec import REFERENCE_INDICATORS, REFERENCE_SPEC, PanelSpec
@@ -36,16 +38,43 @@ def transform(raw: DataFrame, spec: PanelSpec, stage_dir: str) -> dict[str, Data
     }
 
 
+def extract_indicators(spark: SparkSession, pattern: str, out_dir: str,
+                       tag_regex: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Every indicator CSV that matches, in one scan and one write: (rows tagged ``raw_<file stem>``,
+    rejected records with file and reason, report per source: ``files, rows, rejected``).
+
+    Good and rejected rows go to one table partitioned by (rejected, source), so the report and both
+    halves read only their folders. None where no file matches (the reference loads what is there);
+    a file whose header differs from the first one's is an error."""
+    try:
+        marked = read_indicator_csv(spark, pattern, tag_regex=tag_regex, on_broken="mark")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    rows, rejects = split_rejects(marked, f"{out_dir}/raw_indicators.parquet", F.col("reason"), [*FLAT_COLUMNS, "file", "record"], ["source"])
+    seen = (rows.select("source", "file", F.lit(0).alias("bad")).unionByName(rejects.select("source", "file", F.lit(1).alias("bad")))
+            .groupBy("source", "file").agg(F.count_if(F.col("bad") == 0).alias("rows"), F.sum("bad").alias("rejected")))
+    report = seen.groupBy("source").agg(F.count(F.lit(1)).cast("bigint").alias("files"), F.sum("rows").cast("bigint").alias("rows"),
+                                        F.sum("rejected").cast("bigint").alias("rejected"))
+    report = save_table(report, f"{out_dir}/extract_report.parquet")
+    return rows.select(*FLAT_COLUMNS, "source"), rejects.select("source", "file", "record", "reason"), report
+
+
 def run_pipeline(spark: SparkSession, raw_csv: str, out_dir: str,
                  spec: PanelSpec = REFERENCE_SPEC, on_fail: str = "warn",
-                 top: int = 10) -> dict:
+                 top: int = 10, indicators: str | None = None, indicator_tag: str | None = None) -> dict:
     """Extract -> transform -> quality checks -> load -> views.
 
-    Differences from the reference, on purpose: a missing input is an error
+    ``indicators``: a pattern of downloaded indicator CSVs (``raw/worldbank_*.csv``), loaded and reported
+    by :func:`extract_indicators` and published as ``raw_indicators`` (view of the same name).
+
+    Differences from the reference, on purpose: a missing panel is an error
     (no stale table is reused, C5); checks run *before* publishing and can
     stop it (``on_fail='raise'``, C4)."""
     stage = f"{out_dir}/_stage"
     raw = save_table(read_csv(spark, raw_csv, panel_schema(spec)), f"{stage}/raw_panel")
+    extracted = extract_indicators(spark, indicators, out_dir, indicator_tag) if indicators else None
     tables = transform(raw, spec, stage)
 
     checks = save_table(quality_checks(tables["clean_infrastructure"], spec.score, spec.key),
@@ -60,7 +89,10 @@ def run_pipeline(spark: SparkSession, raw_csv: str, out_dir: str,
     gold = load_gold(spark, out_dir, GOLD_TABLES, {n: t.schema for n, t in tables.items()})
     view = top_performers(gold["clean_infrastructure"], spec, top,
                           summary=gold["country_summary"])
-    register_views({**{n: gold[n] for n in GOLD_TABLES}, "top_performers": view})
+    views = {**{n: gold[n] for n in GOLD_TABLES}, "top_performers": view}
+    if extracted:
+        views |= dict(zip(("raw_indicators", "rejected_indicators", "extract_report"), extracted))
+    register_views(views)
     write_parquet(view, f"{out_dir}/top_performers.parquet", single_file=True)
     write_csv(view.orderBy(F.desc_nulls_last("latest_score"), spec.entity),
               f"{out_dir}/top_performers.csv", single_file=True)
@@ -68,21 +100,85 @@ def run_pipeline(spark: SparkSession, raw_csv: str, out_dir: str,
     counts = {r["key"]: r["value"] for r in
               meta.select(F.explode("record_counts")).collect()}  # 3 rows
     delete_path(spark, stage)
-    return {"success": True, "all_passed": all_passed, "record_counts": counts,
-            "out_dir": out_dir}
+    out = {"success": True, "all_passed": all_passed, "record_counts": counts, "out_dir": out_dir}
+    if extracted:
+        r = extracted[2].agg(F.sum("files"), F.sum("rows"), F.sum("rejected")).first()
+        out["indicators"] = {k: int(v or 0) for k, v in zip(("files", "rows", "rejected"), r)}
+    return out
+
+
+MANIFEST = "path string, length bigint, modified timestamp"
+KEY = ["indicator", "country_id", "year"]
+
+
+def new_files(spark: SparkSession, landing_dir: str, manifest: str) -> DataFrame:
+    """Files of the landing folder that no earlier run has taken in: not in the manifest with the same
+    length and time. Listing only; no file is opened."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing_dir)
+             .select("path", "length", F.col("modificationTime").alias("modified")))
+    try:
+        known = spark.read.schema(MANIFEST).parquet(manifest)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return files
+    return files.join(known, ["path", "length", "modified"], "left_anti")
+
+
+def latest_rows(rows: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Each key's row of the latest landing (``landed``, then ``file``): a partially aggregated maximum,
+    so a key that was downloaded very often collapses in the map tasks."""
+    rest = [c for c in rows.columns if c not in key]
+    newest = F.max_by(F.struct(*rest), F.struct("landed", "file", F.coalesce("value", F.lit(float("-inf"))))).alias("x")
+    return rows.groupBy(*key).agg(newest).select(*[f"x.{c}" if c not in key else c for c in rows.columns])
 
 
 def ingest_indicators(spark: SparkSession, landing_dir: str, out_dir: str,
                       names: Mapping[str, str] = REFERENCE_INDICATORS,
-                      raw_dir: str | None = None, wholetext: bool = True) -> DataFrame:
-    """Every payload in the landing folder -> one tidy table partitioned
-    by indicator (Parquet) plus one CSV folder per indicator; then the catalog
-    of the raw folder and the collection report. Returns the catalog."""
-    flat = name_indicators(read_indicator_payloads(spark, landing_dir, wholetext), names)
-    tidy = save_table(flat, f"{out_dir}/indicators.parquet", partition_by=["indicator"])
-    raw_dir = raw_dir or f"{out_dir}/raw"
-    (tidy.write.mode("overwrite").partitionBy("indicator").option("header", True)
-     .csv(raw_dir))
+                      raw_dir: str | None = None, wholetext: bool = True, on_broken: str = "fail") -> DataFrame:
+    """The payloads that have landed since the last run -> one tidy table partitioned by indicator
+    (Parquet) plus one CSV folder per indicator; then the catalog of the raw folder and the
+    collection report. Returns the catalog.
+
+    Runs may be repeated as payloads arrive: a manifest of (path, length, time) tells what is new, only
+    those files are read (their names pass through the driver, as in Spark's own listing), and their
+    rows replace earlier ones of the same (indicator, country, year). Only the partitions of the
+    indicators that the new files name are read and written again. The manifest is written last: a
+    run that dies is repeated by the next one, with the same result. ``on_broken="skip"`` leaves
+    unreadable payloads and rows out and puts them into ``rejects.parquet``."""
+    table, manifest, raw_dir = f"{out_dir}/indicators.parquet", f"{out_dir}/manifest.parquet", raw_dir or f"{out_dir}/raw"
+    fresh = materialize(new_files(spark, landing_dir, manifest), "new-files")
+    paths = [r["path"] for r in fresh.select("path").collect()]
+    if paths:
+        text = spark.read.text(paths, wholetext=wholetext).select(
+            "value", decoded_path("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("landed"))
+        marked = parse_envelopes(text, on_broken="mark" if on_broken == "skip" else on_broken, keep=["file", "landed"])
+        if on_broken == "skip":
+            rows, rejects = split_rejects(name_indicators(marked, names), f"{out_dir}/_new", F.col("reason"),
+                                          ["indicator", *FLAT_COLUMNS, "file", "landed", "record"])
+            rejects.select("file", "record", "reason").write.mode("append").parquet(f"{out_dir}/rejects.parquet")
+            rows = rows.drop("record")
+        else:
+            rows = save_table(name_indicators(marked, names), f"{out_dir}/_new")
+        rows = rows.select(*FLAT_COLUMNS, "file", "landed", "indicator")
+        touched = [r[0] for r in rows.select("indicator").distinct().collect()]  # partition folders
+        changed = F.col("indicator").isin([x for x in touched if x is not None]) | (F.col("indicator").isNull() & F.lit(None in touched))
+        merged = rows
+        try:
+            merged = spark.read.schema(rows.schema).parquet(table).where(changed).unionByName(rows)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+        # written aside first: the table must not be read and overwritten in one job
+        merged = save_table(latest_rows(merged).select(*rows.columns), f"{out_dir}/_merged")
+        order = ["indicator", "country_id", "year"]
+        (merged.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("indicator").parquet(table))
+        (spark.read.schema(rows.schema).parquet(table).where(changed).select(*FLAT_COLUMNS, "indicator").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("indicator").options(**CSV_OPTIONS).csv(raw_dir))
+        fresh.write.mode("append").parquet(manifest)
+        for scratch in ("_new", "_merged"):
+            delete_path(spark, f"{out_dir}/{scratch}")
     catalog = save_table(data_catalog(spark, raw_dir, "*.csv"), f"{out_dir}/data_catalog")
     write_csv(catalog.drop("path"), f"{out_dir}/data_catalog.csv", single_file=True)
     write_json(collection_report(dataset_catalog(catalog), raw_dir), f"{out_dir}/collection_report.json")

@@ -1,60 +1,92 @@
 """File catalog of a landing folder (S12) and its totals.
 
-One distributed text scan (file names, sizes and times from ``_metadata``,
-the header line per file) plus one CSV scan for the record counts. No file
-is read by the driver.
+One distributed text scan: file names, sizes and times from ``_metadata``, records and
+header width from the lines. No file is read by the driver, and a large file is counted
+by as many tasks as it has splits, with quoted newlines in their place: a line ends a
+record if the number of quotes so far in the file is even, and that parity is a prefix
+sum over the splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import bytes_to_mb, decoded_path, round_half_up
 
-# A comma outside double quotes (a CSV field separator).
-_FIELD_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_SPLIT = ["path", "block"]
+
+
+def _commas(line: Column, quoted: int) -> Column:
+    """Commas outside quotes of a line that begins inside (1) or outside (0) of them."""
+    parts = F.split(line, '"')
+    outside = F.filter(parts, lambda x, i: i % 2 == quoted)
+    text = F.array_join(outside, "")
+    return F.length(text) - F.length(F.translate(text, ",", ""))
+
+
+def _lines(spark: SparkSession, folder: str, opts: dict) -> DataFrame:
+    """(path, block, at: number of the line, rising within a block; odd: an odd number of quotes; blank; commas0, commas1)."""
+    meta, line = F.col("_metadata"), F.col("value")
+    quotes = F.length(line) - F.length(F.translate(line, '"', ""))
+    any_quote = F.instr(line, '"') > 0
+    plain = F.length(line) - F.length(F.translate(line, ",", ""))
+    return spark.read.options(**opts).text(folder).select(
+        meta.file_path.alias("path"), meta.file_block_start.alias("block"), meta.file_name.alias("name"), meta.file_size.alias("length"),
+        meta.file_modification_time.alias("mtime"), F.monotonically_increasing_id().alias("at"),
+        (any_quote & (quotes % 2 == 1)).alias("odd"), (F.length(line) == 0).alias("blank"),
+        # only a file's first split can hold its header
+        F.when(meta.file_block_start == 0, F.when(any_quote, _commas(line, 0)).otherwise(plain)).alias("commas0"),
+        F.when(meta.file_block_start == 0, F.when(any_quote, _commas(line, 1)).otherwise(0)).alias("commas1"))
 
 
 def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
-                 recursive: bool = True, quoted_newlines: bool = True) -> DataFrame:
-    """(filename, rows, columns, size_mb, downloaded) per file.
-
-    rows = CSV records after the header. With ``quoted_newlines`` (default)
-    a quoted newline stays inside one record, so each file is parsed by one
-    task - correct counts first; many files still run in parallel. Without
-    it, large files are split across tasks (correct when no field holds a
-    newline);
-    columns = field count of the header line; files without a line have no row.
-    A file that cannot be read to its end is an error that names it."""
+                 recursive: bool = True) -> DataFrame:
+    """(filename, rows, columns, size_mb, downloaded, path) per file.
+
+    rows = CSV records after the header; blank lines between records do not count (as in pandas), those
+    inside quotes belong to their record. columns = fields of the header record, which may span lines.
+    Quotes inside quoted fields are doubled (RFC 4180). Files without a line have no row. A file
+    that cannot be read to its end is an error that names it.
+
+    1. Per split: lines, blank lines, and whether its quotes are odd in number (one partial aggregation).
+    2. Lines with an odd number of quotes and blank lines, the only ones whose parity matters one by
+       one, are numbered within their split; line numbers are consecutive there, so the lines between
+       two of them are a difference. A file without such lines adds nothing to this step.
+    3. The parity before each split: a running sum over the splits of a file (a row each)."""
     opts = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower()}
-    meta = F.col("_metadata")
-    line = F.col("value")
-    # The quote-aware split costs O(n^2) per line; only quoted lines need it.
-    width = F.when(F.instr(line, '"') > 0, F.size(F.split(line, _FIELD_SEP))) \
-             .otherwise(F.size(F.split(line, ",")))
-    # One text scan gives every file's name, size, time and widest line
-    # (file metadata from ``_metadata``: no separate listing to join).
-    files = (spark.read.options(**opts).text(folder)
-             .select(meta.file_path.alias("path"), meta.file_name.alias("name"),
-                     meta.file_size.alias("length"),
-                     meta.file_modification_time.alias("mtime"), width.alias("_w"),
-                     (F.length(line) > 0).alias("_filled"),
-                     F.struct(meta.file_block_start, F.monotonically_increasing_id()).alias("_at"))
-             .groupBy("path").agg(F.max("name").alias("name"), F.max("length").alias("length"),
-                                  F.max("mtime").alias("mtime"),
-                                  F.min_by("_w", "_at").cast("bigint").alias("columns"),
-                                  # non-blank lines minus the header (pandas skips blank lines)
-                                  F.greatest(F.count_if("_filled") - 1, F.lit(0))
-                                  .cast("bigint").alias("_line_rows")))
-    if not quoted_newlines:
-        # No field holds a newline: records are lines, one splittable scan.
-        return _finish(files.withColumnRenamed("_line_rows", "rows"))
-    records = (spark.read.options(**opts).option("header", True).option("multiLine", True)
-               .csv(folder)
-               .select(meta.file_path.alias("path"))
-               .groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
-    return _finish(files.drop("_line_rows").join(records, "path", "left"))
+    lines = _lines(spark, folder, opts)
+    # one row for a split's ordinary lines, one for each odd or blank line
+    rows = lines.groupBy(*_SPLIT, F.when(F.col("odd") | F.col("blank"), F.col("at")).alias("mark")).agg(
+        *[F.first(c).alias(c) for c in ("name", "length", "mtime")], F.min("at").alias("first"), F.count(F.lit(1)).alias("n"),
+        F.max("odd").alias("odd"), F.max("blank").alias("blank"), F.min_by("commas0", "at").alias("commas"), F.min_by("odd", "at").alias("open"))
+    # odd lines o1 < o2 < ...: the parity after a line is odd from o1 to the line before o2, from o3 on, ...
+    rows = rows.withColumn("k", F.sum(F.col("odd").cast("long")).over(Window.partitionBy(*_SPLIT).orderBy(F.asc_nulls_first("mark"))))
+    k, at = F.col("k"), F.col("mark").bitwiseAND(F.lit((1 << 33) - 1))
+    held = rows.groupBy(*_SPLIT).agg(
+        *[F.first(c).alias(c) for c in ("name", "length", "mtime")], F.min("first").alias("first"), F.sum("n").alias("n"),
+        F.count_if("odd").alias("odds"), F.min_by("commas", "first").alias("commas"), F.min_by("open", "first").alias("open"),
+        F.sum(F.when(F.col("odd"), F.when(k % 2 == 0, at).otherwise(-at)).otherwise(0)).alias("odd_lines"),
+        F.count_if(F.col("blank") & (k % 2 == 0)).alias("blank_even"), F.count_if(F.col("blank") & (k % 2 == 1)).alias("blank_odd"),
+        F.min(F.when(F.col("odd") & (k == 2), F.col("mark"))).alias("second"))
+    end = F.col("first").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("n")
+    odd_after = F.col("odd_lines") + F.when(F.col("odds") % 2 == 1, end).otherwise(0)
+
+    before = F.coalesce(F.sum("odds").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = F.when(before % 2 == 0, F.col("n") - odd_after - F.col("blank_even")).otherwise(odd_after - F.col("blank_odd"))
+    files = (held.select(*_SPLIT, "name", "length", "mtime", "odds", ends.alias("ends"), "commas", "open", "first", "second")
+             .groupBy("path").agg(
+                 F.first("name").alias("name"), F.first("length").alias("length"), F.first("mtime").alias("mtime"),
+                 # a record that the file's end cuts off counts
+                 F.greatest(F.sum("ends") + F.sum("odds") % 2 - 1, F.lit(0)).cast("bigint").alias("rows"),
+                 *[F.min_by(c, "block").alias(c) for c in ("commas", "open", "first", "second")]))
+    # a header over several lines: those after its first begin inside quotes
+    long = files.where("open").select(F.col("path").alias("p"), "first", "second")
+    rest = (lines.where("block = 0").join(long, (F.col("path") == F.col("p")) & (F.col("at") > F.col("first"))
+                                          & ((F.col("at") <= F.col("second")) | F.col("second").isNull()))
+            .groupBy("p").agg(F.sum("commas1").alias("more")))
+    files = files.join(rest, files["path"] == rest["p"], "left")
+    return _finish(files.withColumn("columns", (F.col("commas") + F.coalesce("more", F.lit(0)) + 1).cast("bigint")))
 
 
 def _finish(files: DataFrame) -> DataFrame:
@@ -68,14 +100,21 @@ def _finish(files: DataFrame) -> DataFrame:
 
 
 def dataset_catalog(catalog: DataFrame) -> DataFrame:
-    """(dataset, rows, columns, size_mb): the part files of one table are one
-    dataset, named by its folder (``indicator=x`` by x); any other file is its own."""
-    folder = F.regexp_replace(F.element_at(F.split("path", "/"), -2), "^[^=/]+=", "")
-    name = F.when(F.col("filename").startswith("part-"), folder).otherwise(
+    """(dataset, files, rows, columns, size_mb): the part files of one table are one
+    dataset, named by its folder (``indicator=x`` by x); any other file is its own, named by its stem.
+    Datasets are told apart by their folders, so two
+    files of one name in two folders are two; such names carry their folder (``s1/data``)."""
+    parts = F.split("path", "/")
+    is_part = F.col("filename").startswith("part-")
+    own = F.when(is_part, F.regexp_replace(F.element_at(parts, -2), "^[^=/]+=", "")).otherwise(
         F.regexp_replace("filename", r"\.[^.]+$", ""))
-    return catalog.groupBy(name.alias("dataset")).agg(
-        F.sum("rows").cast("bigint").alias("rows"), F.max("columns").alias("columns"),
+    home = F.array_join(F.slice(parts, 1, F.size(parts) - F.when(is_part, 2).otherwise(1)), "/")
+    sets = catalog.groupBy(home.alias("home"), own.alias("name")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("files"), F.sum("rows").cast("bigint").alias("rows"), F.max("columns").alias("columns"),
         round_half_up(F.sum("size_mb"), 2).alias("size_mb"))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("name")) > 1
+    dataset = F.when(shared, F.concat(F.element_at(F.split("home", "/"), -1), F.lit("/"), F.col("name"))).otherwise(F.col("name"))
+    return sets.select(dataset.alias("dataset"), "files", "rows", "columns", "size_mb")
 
 
 def catalog_totals(catalog: DataFrame) -> DataFrame:

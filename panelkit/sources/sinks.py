@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.sources.files import CSV_OPTIONS
+from panelkit.spec import PanelSpec
+
 METADATA_SCHEMA = ("pipeline_run string, tables_created array<string>, "
                    "record_counts map<string, bigint>")
 
@@ -46,8 +49,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 
 def write_csv(df: DataFrame, path: str, sort_within: Sequence[str] | None = None,
               single_file: bool = False) -> str:
-    """``COPY t TO f (FORMAT CSV, HEADER)``."""
-    _prep(df, sort_within, single_file).write.mode("overwrite").option("header", True).csv(path)
+    """``COPY t TO f (FORMAT CSV, HEADER)``: quotes inside quoted cells are doubled."""
+    _prep(df, sort_within, single_file).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -110,6 +113,29 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def publish_catalog(spark: SparkSession, tables: Mapping[str, DataFrame], views: Mapping[str, str], database: str,
+                    location: str) -> None:
+    """S6 + S7 as the reference's database has them: tables and views by name in the session's catalog
+    (shared and lasting where the session has a metastore), not paths and temporary views.
+
+    ``tables`` are written below ``location`` and replaced as a whole; ``views`` are SQL texts
+    over them, stored by name, so their plans prune and push down in whatever query uses them."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, df in tables.items():
+        df.write.mode("overwrite").format("parquet").option("path", f"{location}/{name}").saveAsTable(f"`{database}`.`{name}`")
+    for name, text in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {text}")
+
+
+def top_performers_sql(spec: PanelSpec, database: str, n: int = 10) -> str:
+    """The reference's view over ``clean_infrastructure`` and ``country_summary``, ties by the entity."""
+    clean, e = f"`{database}`.clean_infrastructure", f"`{spec.entity}`"
+    latest = (f"SELECT {e}, `{spec.score}` AS latest_score, `{spec.rank}` AS latest_rank FROM {clean} "
+              f"WHERE `{spec.period}` = (SELECT MAX(`{spec.period}`) FROM {clean})")
+    return (f"SELECT {e}, avg_score, score_improvement, latest_score, latest_rank FROM ({latest}) "
+            f"JOIN `{database}`.country_summary USING ({e}) ORDER BY latest_score DESC NULLS LAST, {e} LIMIT {n}")
+
+
 def load_gold(spark: SparkSession, out_dir: str,
               names: Sequence[str] = ("clean_infrastructure", "country_summary",
                                       "yearly_trends", "top_performers"),
