@@ -156,26 +156,29 @@ def ingest_indicators(spark: SparkSession, landing_dir: str, out_dir: str,
         if on_broken == "skip":
             rows, rejects = split_rejects(name_indicators(marked, names), f"{out_dir}/_new", F.col("reason"),
                                           ["indicator", *FLAT_COLUMNS, "file", "landed", "record"])
-            rejects.select("file", "record", "reason").write.mode("append").parquet(f"{out_dir}/rejects.parquet")
-            rows = rows.drop("record")
         else:
-            rows = save_table(name_indicators(marked, names), f"{out_dir}/_new")
+            rows = name_indicators(marked, names)
         rows = rows.select(*FLAT_COLUMNS, "file", "landed", "indicator")
-        touched = [r[0] for r in rows.select("indicator").distinct().collect()]  # partition folders
-        changed = F.col("indicator").isin([x for x in touched if x is not None]) | (F.col("indicator").isNull() & F.lit(None in touched))
-        merged = rows
         try:
-            merged = spark.read.schema(rows.schema).parquet(table).where(changed).unionByName(rows)
+            held = spark.read.schema(rows.schema).parquet(table)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-        # written aside first: the table must not be read and overwritten in one job
-        merged = save_table(latest_rows(merged).select(*rows.columns), f"{out_dir}/_merged")
-        order = ["indicator", "country_id", "year"]
-        (merged.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+            held = None
+        if held is None:
+            merged, changed = latest_rows(rows).select(*rows.columns), F.lit(True)
+        else:
+            rows = rows if on_broken == "skip" else save_table(rows, f"{out_dir}/_new")
+            touched = [r[0] for r in rows.select("indicator").distinct().collect()]  # partition folders
+            changed = F.col("indicator").isin([x for x in touched if x is not None]) | (F.col("indicator").isNull() & F.lit(None in touched))
+            # written aside first: the table must not be read and overwritten in one job
+            merged = save_table(latest_rows(held.where(changed).unionByName(rows)).select(*rows.columns), f"{out_dir}/_merged")
+        (merged.sortWithinPartitions("indicator", "country_id", "year").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("indicator").parquet(table))
         (spark.read.schema(rows.schema).parquet(table).where(changed).select(*FLAT_COLUMNS, "indicator").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("indicator").options(**CSV_OPTIONS).csv(raw_dir))
+        if on_broken == "skip":
+            rejects.select("file", "record", "reason").write.mode("append").parquet(f"{out_dir}/rejects.parquet")
         fresh.write.mode("append").parquet(manifest)
         for scratch in ("_new", "_merged"):
             delete_path(spark, f"{out_dir}/{scratch}")

@@ -30,8 +30,8 @@ from panelkit.operators.views import (kpis, view_distribution, view_heatmap, vie
                                       view_ranking, view_time_series)
 from panelkit.plans.bindings import (NATION_SPEC, PART_SPEC, nation_panel, part_panel,
                                      read_table)
-from panelkit.plans.oracle import NATION_PANEL, PART_PANEL, nation_with, part_with, r2, r6
-from panelkit.session import scratch_path, stage_table
+from panelkit.plans.oracle import NATION_PANEL, PART_PANEL, nation_with, part_with, r2, r6, summary_cte
+from panelkit.session import materialize, scratch_path, stage_table
 from panelkit.sources.catalog import catalog_totals, data_catalog, dataset_catalog
 from panelkit.sources.files import panel_schema, read_csv, read_csv_tagged, read_json_object
 from panelkit.sources.grid import panel_grid
@@ -96,17 +96,7 @@ def q_clean_panel(spark, sf):
     return part_clean(spark, sf)
 
 
-_SUMMARY_SQL = """
-story AS (SELECT {e}, list({p} ORDER BY {p}) AS ps, list(revenue ORDER BY {p}) AS rs, list(score_change ORDER BY {p}) AS cs
-          FROM clean GROUP BY {e}),
-summary AS (
-  SELECT {e}, ps[1] AS first_year, ps[-1] AS last_year, CAST(len(ps) AS BIGINT) AS num_years, list_avg(rs) AS avg_score,
-    list_min(rs) AS min_score, list_max(rs) AS max_score, list_max(rs) - list_min(rs) AS score_improvement,
-    list_avg(cs) AS avg_yearly_change FROM story
-)"""
-
-
-@register("country_summary", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year")) + f"""
+@register("country_summary", part_with(summary_cte("l_partkey", "ship_year")) + f"""
 SELECT l_partkey, first_year, last_year, num_years, {r6('avg_score')} AS avg_score,
   min_score, max_score, score_improvement, {r6('avg_yearly_change')} AS avg_yearly_change
 FROM summary""")
@@ -133,14 +123,14 @@ SELECT {e}, {avg} AS avg_score, score_improvement, latest_score, latest_rank FRO
 _TOP_SQL = _BEST_SQL + _TOP_SELECT
 
 
-@register("top_performers", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year"))
+@register("top_performers", part_with(summary_cte("l_partkey", "ship_year"))
           + _TOP_SQL.format(e="l_partkey", p="ship_year", avg=r6("avg_score")))
 def q_top_performers(spark, sf):
     return _r6(top_performers(part_clean(spark, sf), PART_SPEC), "avg_score")
 
 
 @register("top_performers_nation",
-          nation_with(_SUMMARY_SQL.format(e="n_name", p="order_year"))
+          nation_with(summary_cte("n_name", "order_year"))
           + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("avg_score")))
 def q_top_performers_nation(spark, sf):
     return _r6(top_performers(nation_clean(spark, sf), NATION_SPEC), "avg_score")
@@ -353,7 +343,7 @@ def q_exploration_summary(spark, sf):
 # --------------------------------------------------------------------------
 # Dashboard views X6-X11, T10, reshape R1-R3
 
-_TOP5_SQL = (_SUMMARY_SQL + _BEST_SQL).format(e="l_partkey", p="ship_year") + """,
+_TOP5_SQL = summary_cte("l_partkey", "ship_year") + _BEST_SQL.format(e="l_partkey", p="ship_year") + """,
 top AS (""" + _TOP_SELECT.format(e="l_partkey", p="ship_year", avg="avg_score") + """),
 sel AS (SELECT l_partkey FROM top ORDER BY latest_score DESC NULLS LAST, l_partkey LIMIT 5)"""
 
@@ -562,7 +552,7 @@ def q_sink_parquet_roundtrip(spark, sf):
     return read_parquet(spark, path, clean.schema)
 
 
-@register("sink_csv_roundtrip", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year")) + f"""
+@register("sink_csv_roundtrip", part_with(summary_cte("l_partkey", "ship_year")) + f"""
 SELECT l_partkey, first_year, last_year, num_years, {r6('avg_score')} AS avg_score,
   min_score, max_score, score_improvement, {r6('avg_yearly_change')} AS avg_yearly_change
 FROM summary""")
@@ -674,7 +664,7 @@ def q_payload_rejects(spark, sf):
 # Composite jobs end to end: X5 (pipeline) and X13 (landing ingest)
 
 @register("pipeline_run",
-          nation_with(_SUMMARY_SQL.format(e="n_name", p="order_year"))
+          nation_with(summary_cte("n_name", "order_year"))
           + _TOP_SQL.format(e="n_name", p="order_year", avg=r6("avg_score")))
 def q_pipeline_run(spark, sf):
     """The whole ETL on the nation panel written as the raw CSV: extract,
@@ -788,7 +778,7 @@ def q_pipeline_extract(spark, sf):
 # --------------------------------------------------------------------------
 # Stored states, sketches, catalogued tables, wide tables
 
-@register("summary_incremental", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year")) + f"""
+@register("summary_incremental", part_with(summary_cte("l_partkey", "ship_year")) + f"""
 SELECT l_partkey, first_year, last_year, num_years, {r6('avg_score')} AS avg_score,
   min_score, max_score, score_improvement, {r6('avg_yearly_change')} AS avg_yearly_change
 FROM summary""")
@@ -818,7 +808,7 @@ def q_distinct_sketches(spark, sf):
         "exact", (off <= 3 * 1.04 / 64 * F.col("exact")).alias("within_bound"), "rows")
 
 
-@register("sql_top_performers", part_with(_SUMMARY_SQL.format(e="l_partkey", p="ship_year"))
+@register("sql_top_performers", part_with(summary_cte("l_partkey", "ship_year"))
           + _TOP_SQL.format(e="l_partkey", p="ship_year", avg=r6("avg_score")))
 def q_sql_top_performers(spark, sf):
     """The published view by its name in the session's catalog."""
@@ -848,9 +838,10 @@ SELECT 'c' || i AS var_x, 'c' || j AS var_y, CASE WHEN n > 1 THEN {r6('cov / NUL
 FROM range({_WIDE}) p(i) CROSS JOIN range({_WIDE}) q(j) LEFT JOIN pairs ON x = i AND y = j""")
 def q_correlation_wide(spark, sf):
     """All pairs of 300 columns: a part group's yearly quantities by supplier group, with many missing cells."""
-    rows = read_table(spark, sf, "lineitem")
-    wide = rows.groupBy((F.col("l_partkey") % 97).alias("g"), F.year("l_shipdate").alias("y")).agg(
-        *[F.sum(F.when(F.col("l_suppkey") % _WIDE == i, F.col("l_quantity"))).alias(c) for i, c in enumerate(_WIDE_COLUMNS)])
+    rows = read_table(spark, sf, "lineitem").withColumn("s", F.col("l_suppkey") % _WIDE)
+    wide = (rows.groupBy((F.col("l_partkey") % 97).alias("g"), F.year("l_shipdate").alias("y"))
+            .pivot("s", list(range(_WIDE))).agg(F.sum("l_quantity")).drop("g", "y").toDF(*_WIDE_COLUMNS))
+    wide = materialize(wide, "wide")  # read twice: for the means and for the co-moments
     return _r6(correlation_tiles(wide, _WIDE_COLUMNS), "corr")
 
 

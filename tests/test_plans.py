@@ -10,7 +10,7 @@ import re
 import pytest
 
 from panelkit.operators.leaders import latest_slice, top_per_period
-from panelkit.operators.panel import clean_panel
+from panelkit.operators.panel import clean_panel, select_panel, with_rank
 from panelkit.operators.views import view_ranking
 from panelkit.plans.bindings import PART_SPEC, nation_panel, part_panel, read_table
 from panelkit.sources.sinks import read_parquet, write_parquet
@@ -71,7 +71,7 @@ def test_rank_window_never_partitions_by_period_alone(spark):
     """The running count over the values is windowed by (period, bucket); only
     the tiny bucket-totals table (#periods x B rows) is windowed by period."""
     panel = part_panel(spark, SF)
-    text = plan(clean_panel(panel, PART_SPEC))
+    text = plan(with_rank(select_panel(panel, PART_SPEC), PART_SPEC))
     windows = re.findall(r"\(\d+\) Window\nInput \[\d+\]: \[([^\]]*)\]\n"
                          r"Arguments: \[.*?\], \[([^\]]*)\]", text)
     over_values = [keys for inputs, keys in windows if "revenue" in inputs and "_cnt" in inputs]
