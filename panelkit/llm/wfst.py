@@ -43,6 +43,7 @@ META = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 INF = float("inf")
 ROWS = 512
+HELD = 150_000  # words in each of two generations of the cache
 
 
 def _cache() -> dict:
@@ -109,9 +110,10 @@ class Transducer:
         self.alone = 10.0 - min(self.scores, default=0.0)
         inside = {c for p in self.ids if len(p) > 1 for c in p}
         if any(META in p.lstrip(META) for p in self.ids):
-            self.cut = re.compile("(?s).+")
+            self.cut, self.by_word = re.compile("(?s).+"), False
         else:  # no piece runs over the start of a word, nor over a character that only stands alone
             alone = "".join(c for c in "\n\t\r" if c not in inside)
+            self.by_word = True
             self.cut = re.compile(f"[{alone}]|{META}+[^{META}{alone}]*|[^{META}{alone}]+" if alone else f"{META}+[^{META}]*|[^{META}]+")
         self.out = []
         for p, k in zip(self.pieces, self.kinds):
@@ -122,6 +124,8 @@ class Transducer:
         self.pairs: dict = {}
         self.prefixes: dict = {}
         self.words: dict = {}
+        self.older: dict = {}
+        self.outputs = np.array([*self.out, b""], object)[:-1]
 
     @cached_property
     def trie(self) -> dict:
@@ -246,25 +250,34 @@ class Transducer:
                 out.append(self.unk)
         return np.array(out, "<u4").tobytes()
 
+    def unit(self, word: str) -> bytes:
+        """Ids of what the cut makes of a word that a space precedes."""
+        return b"".join([self.word_ids(w) for w in self.cut.findall(META + word)])
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        out, words = [], self.words
-        if len(words) > 120_000:
-            words.clear()
         if len(self.prefixes) > 120_000:
             self.prefixes.clear()
-        for w in self.cut.findall(self.normalise(text)):
-            got = words.get(w)
-            if got is None:
-                got = self.word_ids(w)
-                if len(w) <= 24:
-                    words[w] = got
-            out.append(got)
+        if not (self.prefix and self.by_word) or META in text or "  " in text or text[:1] == " " or text[-1:] == " ":
+            # behind a META of their own in the cache, which the words below never hold
+            words, unit = [META + w for w in self.cut.findall(self.normalise(text))], lambda w: self.word_ids(w[1:])
+        else:  # one space before every word: the words' paths join to the text's
+            words, unit = text.split(" ") if text else [], self.unit
+        out = list(map(self.words.get, words))
+        if None in out:
+            for i, got in enumerate(out):
+                if got is None:
+                    w = words[i]
+                    got = out[i] = self.words.get(w) or self.older.get(w) or unit(w)
+                    if len(w) <= 40:
+                        self.words[w] = got
+            if len(self.words) > HELD:  # of two generations the older goes
+                self.older, self.words = self.words, {}
         return b"".join(out)
 
     def decode(self, ids) -> str:
-        """Inverse projection of the path; the dummy prefix goes."""
-        s = b"".join([self.out[i] for i in ids]).decode("utf-8", "replace")
+        """Inverse projection of the path (an array of ids); the dummy prefix goes."""
+        s = b"".join(self.outputs[ids].tolist()).decode("utf-8", "replace")
         return s[1:] if self.prefix and s.startswith(" ") else s
 
 
@@ -304,7 +317,7 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", out: str = "i
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds ``out``: the text of ``ids_col``."""
-    return _mapped(df, ids_col, out, "string", _converted(model_path, pa.string(), lambda t, x: t.decode(np.frombuffer(x, "<u4").tolist())))
+    return _mapped(df, ids_col, out, "string", _converted(model_path, pa.string(), lambda t, x: t.decode(np.frombuffer(x, "<u4"))))
 
 
 def token_count(ids: str):
