@@ -10,7 +10,8 @@ Rules: vectors that are NULL or hold NULL or non-finite components, and rows
 with a NULL id, take no part; vectors are compared only with vectors of the
 same length; ties go to the smaller id; an id stands for one row, so a repeated
 id enters a query's list once, with its best score, and rows with the query's
-own id are not its candidates. An empty table gives an empty result.
+own id are not its candidates. An empty table gives an empty result. Scaled
+components and scores that do not fit 64 bits are errors, never clipped.
 """
 
 from __future__ import annotations
@@ -33,9 +34,14 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = 1024)
     """(id, v array<bigint>): floor(scale * x) of every usable vector."""
     x = col(vec_col).cast("array<double>")
     ok = F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), F.lit(False)))
+
+    def whole(c):
+        y = c * F.lit(float(scale))
+        return F.when(F.abs(y) < F.lit(float(1 << 63)), F.floor(y)).otherwise(
+            F.raise_error(F.concat(F.lit("a component does not fit 64 bits: "), c.cast("string"))).cast("bigint"))
+
     return (df.select(col(id_col).cast("bigint").alias("id"), F.when(ok, x).alias("x"))
-            .where("id is not null and x is not null")
-            .select("id", F.transform("x", lambda c: F.floor(c * F.lit(float(scale))).cast("bigint")).alias("v")))
+            .where("id is not null and x is not null").select("id", F.transform("x", whole).alias("v")))
 
 
 def _blob(shard, kind, dim, ids, mat):
@@ -93,8 +99,10 @@ def _scores(q: np.ndarray, m: np.ndarray) -> np.ndarray:
         return (q.astype(np.float64) @ m.astype(np.float64).T).astype(np.int64)
     if hi < float(1 << 62):
         return q @ m.T
-    lim = (1 << 62) - 1
-    return np.clip(q.astype(object) @ m.T.astype(object), -lim, lim).astype(np.int64)
+    out = q.astype(object) @ m.T.astype(object)
+    if np.abs(out).max(initial=0) >= 1 << 63:
+        raise OverflowError("an inner product does not fit 64 bits: use a smaller scale")
+    return out.astype(np.int64)
 
 
 def _best(row: np.ndarray, ids: np.ndarray, sc: np.ndarray, k: int):

@@ -501,6 +501,22 @@ def test_topk_is_exact(spark):
     assert big.tolist() == [[(1 << 60) + 3]]
 
 
+def test_topk_overflow_is_an_error_and_ties_and_repeats_have_their_rule(spark):
+    with pytest.raises(OverflowError):
+        topk._scores(np.array([[1 << 40] * 8]), np.array([[1 << 40] * 8]))
+    exact = topk._scores(np.array([[1 << 31, -(1 << 31)]]), np.array([[1 << 31, (1 << 31) - 1]]))
+    assert exact.tolist() == [[(1 << 62) - (1 << 31) * ((1 << 31) - 1)]]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.integer_vectors(frame(spark, [(1, [1e17])], "vec_id bigint, e array<double>"), "vec_id", "e").collect()
+    rows = [(0, [1.0]), *[(i, [2.0]) for i in (9, 3, 7)], (5, [3.0]), (5, [1.0]), (5, [3.0]), (None, [9.0]), (8, None), (6, [None])]
+    v = topk.integer_vectors(frame(spark, rows, "vec_id bigint, e array<double>"), "vec_id", "e")
+    got = topk.exact_topk(v, v.where("id = 0"), 3, shards=4, fan=2).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(5, 3 << 20), (3, 2 << 20), (7, 2 << 20)]
+    assert topk.exact_topk(v, v.where("id = -1"), 3).count() == 0
+    none = topk.integer_vectors(frame(spark, [], "vec_id bigint, e array<double>"), "vec_id", "e")
+    assert topk.exact_topk(none, none).count() == 0
+
+
 # -- all ---------------------------------------------------------------------
 
 def test_awkward_rows_and_empty_tables(spark):
@@ -519,4 +535,5 @@ def test_awkward_rows_and_empty_tables(spark):
         assert len({r.sequence_id for r in pieces}) >= min(n, 1)
         vec = df.select(F.col("doc_id").alias("vec_id"), F.array(F.col("c0").cast("double")).alias("e"))
         v = topk.integer_vectors(vec, "vec_id", "e")
-        assert topk.exact_topk(v, v).count() >= 0
+        got = topk.exact_topk(v, v).collect()
+        assert {r["query_id"] for r in got} <= {r["id"] for r in v.collect()} and all(r["query_id"] != r["vec_id"] for r in got)
