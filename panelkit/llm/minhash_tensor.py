@@ -42,8 +42,9 @@ SIDE = 12  # sub-keys of a collection
 HASHES = 4 * SIDE
 NEAR = 14  # of HASHES sketch values must agree: similarity 0.5 falls short with probability 2e-3, 0.8 with 1e-13
 BLOCK = 1 << 20
-INDEX = 64  # texts of a block's inverted index
-SALT = 128  # members of a centre per block
+INDEX, INDEX_SETS = 2048, 1 << 20  # texts of a block's inverted index, and their shingles
+SALT = 128  # members per block that are compared with a centre
+PEERS = 2048  # members per block that are compared with an index
 _MIX = 0x9E3779B97F4A7C15
 
 
@@ -374,32 +375,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = materialize(first, "first").withColumn("ok", F.expr(f"100 * inter >= {percent} * (nx + ny - inter)"))
     links = first.where("ok").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
-    # Members that are not linked to their centre, against its other members. Their distance
-    # from the centre (size of the symmetric difference) puts them in bands, and a member
-    # goes only to the bands that the triangle inequality leaves it.
+    # Members that are in another component than their centre, against its other members (within
+    # a component there is nothing left to join, and of two members of different components one is
+    # not in the centre's). Their distance from the centre (size of the symmetric difference) puts
+    # them in bands, and a member goes only to the bands that the triangle inequality leaves it.
+    comp = components(links)
+    root_of = lambda node, root: comp.select(F.col("node").alias(node), F.col("root").alias(root))
     far = first.select(F.col("y").alias("centre"), F.col("x").alias("key"), (F.col("nx") + F.col("ny") - 2 * F.col("inter")).alias("far"), "nx", "ok")
     far = far.withColumn("band", F.least(F.lit(64).cast("bigint"), F.floor(16 * F.col("far") / F.col("nx"))))
     reach = F.col("nx") * (100 - percent) / percent  # of linked sets: far differs by no more
-    bands = far.where("NOT ok").groupBy("centre", "band").agg(
-        F.ceil(F.count(F.lit(1)) / INDEX).alias("blocks"), F.min(F.col("far") - reach).alias("lo"), F.max(F.col("far") + reach).alias("hi"))
+    apart = materialize(far.where("NOT ok").join(root_of("key", "rk"), "key", "left").join(root_of("centre", "rc"), "centre", "left")
+                        .where("coalesce(rk, key) <> coalesce(rc, centre)").select(*far.columns), "apart")
+    # a group whose index fits one block is one band: each of its texts is read once
+    whole = apart.groupBy("centre").agg((F.count(F.lit(1)) <= INDEX).alias("few"), (F.sum("nx") <= INDEX_SETS).alias("short"))
+    apart = materialize(apart.join(whole, "centre").withColumn("band", F.when(F.col("few") & F.col("short"), 0).otherwise(F.col("band"))), "banded")
+    bands = apart.groupBy("centre", "band").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / INDEX), F.ceil(F.sum("nx") / INDEX_SETS)).alias("blocks"),
+        F.min(F.col("far") - reach).alias("lo"), F.max(F.col("far") + reach).alias("hi"))
     bands = materialize(bands, "bands")
+    root = F.coalesce("root", "x")
+    named = sets.select("h1", "h2", "x").join(comp, F.col("x") == F.col("node"), "left").select("h1", "h2", root.alias("root"))
     if bands.limit(1).collect():
-        loose = far.where("NOT ok").join(bands, ["centre", "band"]).join(count, "centre")
+        peers = near.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / PEERS).alias("salts"))
+        peers = materialize(peers.join(bands.select("centre").distinct(), "centre", "left_semi"), "salts")
+        loose = apart.select("centre", "band", "key", "far").join(bands, ["centre", "band"]).join(peers, "centre")
         block = F.concat_ws("/", "centre", "band", _salt("key", "blocks"))
         index = loose.withColumn("s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1))).select(
             F.concat_ws("/", block, "s").alias("block"), "key", "far")
         per = materialize(bands.groupBy("centre").agg(F.collect_list(F.struct("band", "blocks", "lo", "hi")).alias("bands")), "bands")  # 65 at most
-        others = far.drop("band").join(per, "centre").join(count, "centre")
+        others = far.drop("band").join(per, "centre").join(peers, "centre")
         others = others.withColumn("w", F.explode(F.expr("filter(bands, w -> far BETWEEN w.lo AND w.hi)")))
         others = others.withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("w.blocks") - 1)))
         others = others.select(F.concat_ws("/", "centre", "w.band", "k", _salt("key", "salts")).alias("block"), "key", "far")
         index = index.join(others.select("block").distinct(), "block", "left_semi")
         second = _streamed(index, others, texts, percent, words, False, p).select(F.col("x").alias("a"), F.col("y").alias("b"))
-        links = links.unionByName(materialize(second, "second"))
+        # links between the components so far; the least node of a component is its name
+        joined = (second.join(root_of("a", "ra"), "a", "left").join(root_of("b", "rb"), "b", "left")
+                  .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b").distinct())
+        wider = components(materialize(joined, "second")).withColumnsRenamed({"node": "part", "root": "whole"})
+        named = named.join(wider, F.col("root") == F.col("part"), "left").select("h1", "h2", F.coalesce("whole", "root").alias("root"))
 
-    comp = components(links)
-    named = sets.select("h1", "h2", "x").join(comp, F.col("x") == F.col("node"), "left").select(
-        "h1", "h2", F.coalesce("root", "x").alias("root"))
     verdict = made.select(F.col("key").alias("k"), "n", "h1", "h2").join(
         named.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
     verdict = materialize(verdict.select("k", "n", F.coalesce("root", "k").alias("root")), "verdict")
