@@ -178,19 +178,21 @@ f AS (SELECT r, doc_id, k, word, e - length(word) AS s, e FROM e
 plain AS (SELECT regexp_replace(regexp_replace(regexp_replace(text, key_ || val_, ' ', 'g'), 'AKIA[A-Z0-9]{14,}', ' ', 'g'), '[0-9a-f]{16,}', ' ', 'g') AS text
           FROM (SELECT DISTINCT doc_id, text FROM d), re),
 samples AS (SELECT DISTINCT word, 0 AS label FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9+/_=-]{8,}')) AS word FROM plain)
-  UNION SELECT unnest([sha256(text), upper(sha256(text)), to_base64(from_hex(sha256(text)))]), 1 FROM d
-  UNION SELECT CASE WHEN k = 0 THEN regexp_replace(word, '^' || key_, '') ELSE word END, 1 FROM f, re WHERE k < 3),
+  UNION SELECT word, CASE WHEN regexp_matches(word, '^[0-9a-f]+$') THEN 1 WHEN regexp_matches(word, '^[0-9A-Z]+$') THEN 2 ELSE 3 END FROM (
+    SELECT unnest([sha256(text), upper(sha256(text)), to_base64(from_hex(sha256(text)))]) AS word FROM d
+    UNION ALL SELECT CASE WHEN k = 0 THEN regexp_replace(word, '^' || key_, '') ELSE word END FROM f, re WHERE k < 3)),
 alphabet AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-' AS abc),
 codes AS (SELECT label, list_transform(string_split(word, ''), lambda c: strpos(abc, c)) AS cs FROM samples, alphabet),
 steps AS (SELECT label, unnest(list_zip(list_prepend(0, cs[1:len(cs) - 1]), cs)) AS ab FROM codes),
-n AS (SELECT ab[1] AS a, ab[2] AS b, count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1 FROM steps GROUP BY ALL),
-grid AS (SELECT x.i AS a, y.i AS b, coalesce(n0, 0) AS n0, coalesce(n1, 0) AS n1 FROM range(68) x(i) CROSS JOIN range(68) y(i) LEFT JOIN n ON a = x.i AND b = y.i),
-model AS (SELECT a, b, CAST(floor(1000 * ln((CAST(n1 + 1 AS DOUBLE) / CAST(sum(n1) OVER w + 68 AS DOUBLE)) / (CAST(n0 + 1 AS DOUBLE) / CAST(sum(n0) OVER w + 68 AS DOUBLE)))) AS BIGINT) AS v
-          FROM grid WINDOW w AS (PARTITION BY a)),
+n AS (SELECT ab[1] AS a, ab[2] AS b, label, count(*) AS n FROM steps GROUP BY ALL),
+grid AS (SELECT x.i AS a, y.i AS b, l.i AS label, coalesce(n, 0) AS n FROM range(68) x(i) CROSS JOIN range(68) y(i) CROSS JOIN range(4) l(i)
+  LEFT JOIN n ON a = x.i AND b = y.i AND label = l.i),
+chance AS (SELECT a, b, label, CAST(n + 1 AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY a, label) + 68 AS DOUBLE) AS p FROM grid),
+model AS (SELECT r.a, r.b, r.label, CAST(floor(1000 * ln(r.p / o.p)) AS BIGINT) AS v FROM chance r JOIN chance o ON o.a = r.a AND o.b = r.b AND o.label = 0 AND r.label > 0),
 words AS (SELECT DISTINCT word FROM f WHERE k = 3),
 ws AS (SELECT word, unnest(list_zip(list_prepend(0, cs[1:len(cs) - 1]), cs)) AS ab
        FROM (SELECT word, list_transform(string_split(word, ''), lambda c: strpos(abc, c)) AS cs FROM words, alphabet)),
-scores AS (SELECT word, sum(v) AS score FROM ws JOIN model ON a = ab[1] AND b = ab[2] GROUP BY word),
+scores AS (SELECT word, max(score) AS score FROM (SELECT word, label, sum(v) AS score FROM ws JOIN model ON a = ab[1] AND b = ab[2] GROUP BY word, label) GROUP BY word),
 kept AS (SELECT r, k, s, e FROM f WHERE k < 3
   UNION ALL SELECT r, k, s, e FROM f JOIN scores USING (word)
     WHERE k = 3 AND score >= 10000 AND NOT EXISTS (SELECT 1 FROM f b WHERE b.k < 3 AND b.r = f.r AND b.s <= f.s AND b.e >= f.e)),

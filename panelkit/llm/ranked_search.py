@@ -216,7 +216,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, doc_col: str = "doc_i
     if not n:
         return terms.sparkSession.createDataFrame([], f"item long, item_id {terms.schema['item_id'].dataType.simpleString()}, rank int, doc_id long, score long")
     df = index.where("term <> ''").groupBy("term").agg(F.sum("size").alias("df"))
-    owner = sum((F.col("df") > share * n).cast("int") for share in shares)
+    owner = sum(((F.col("df") > share * n).cast("int") for share in shares), F.lit(0))
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("bigint")
     known = materialize(df.select("term", owner.alias("owner"), weight.alias("weight")), "terms")
     # what an item's later owners can still add: a running sum over its owners, not over its terms

@@ -3,15 +3,15 @@ character Markov models. DataFrame functions only.
 
 * Patterns: ``assign`` (a password, token or key that is given a value), ``access``
   (AKIA keys), ``hex`` (runs of hexadecimal digits).
-* Models: first-order Markov chains over 67 characters, one of random strings and one of
-  ordinary identifiers, counted on labelled samples (:func:`labelled_samples`, or any
-  frame ``word, label``). A word's score is the sum of the log-likelihood ratios of its
-  transitions, in thousandths of a nat and whole numbers, so the order of summing cannot
-  change it. Words of ``min_length`` characters whose score reaches ``threshold`` (the
+* Models: first-order Markov chains over 67 characters, one of ordinary identifiers and one for
+  each notation of random strings (hexadecimal digits, capitals and digits, all others), counted on
+  labelled samples (:func:`labelled_samples`, or any frame ``word, label``). A word's score is the
+  sum of the log-likelihood ratios of its transitions, of the likeliest notation, in thousandths
+  of a nat and whole numbers, so the order of summing cannot change it. Words of ``min_length`` characters whose score reaches ``threshold`` (the
   log of the odds against a word being random) are spans of kind ``random``, unless a
   pattern's span holds them.
 
-The model is 68 x 68 whole numbers, whatever the corpus; it is the only thing that
+The model is 3 x 68 x 68 whole numbers, whatever the corpus; it is the only thing that
 reaches the driver. Matches become rows (document row, number, length of the text before
 it), running sums per document row give their places, and nothing else is shuffled: no
 text leaves its scan.
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from panelkit.functions.scalar import let
 from panelkit.llm.common import col, materialize
 
 KINDS = ("assign", "access", "hex", "random")
@@ -38,6 +39,8 @@ VALUE_LENGTH = 12
 WORD = "[A-Za-z0-9+/_=-]"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"  # other characters, and the start of a word, are 0
 SIZE = len(ALPHABET) + 1
+RANDOM = {1: "^[0-9a-f]+$", 2: "^[0-9A-Z]+$", 3: ""}  # labels of random strings by notation; 0: ordinary
+NEVER = -1_000_000  # a transition of a notation without samples
 
 
 def _text(text_col: str) -> Column:
@@ -51,8 +54,8 @@ def _all(text: Column, pattern: str, group: int = 0) -> Column:
 def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 2000, min_length: int = 8) -> DataFrame:
     """(word, label), each pair once, from the ``max_rows`` documents (a bounded sample of rows) with the least hashes.
 
-    Label 1: what the patterns find there, and the SHA-256 digests of those texts written as keys are (hexadecimal in
-    either case, base64). Label 0: the other words of ``min_length`` characters."""
+    Labels 1 to 3, by notation: what the patterns find there, and the SHA-256 digests of those texts written as keys are
+    (hexadecimal in either case, base64). Label 0: the other words of ``min_length`` characters."""
     rows = docs.select(col(id_col).cast("string").alias("id"), _text(text_col).alias("text"))
     rows = rows.withColumn("h", F.xxhash64(F.lit(7), "id", "text"))
     least = rows.select("h").distinct().orderBy("h").limit(max_rows).agg(F.max("h"))
@@ -64,7 +67,8 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     plain = text
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")
-    words = F.concat(F.transform(random, lambda w: F.struct(w.alias("word"), F.lit(1).alias("label"))),
+    notation = lambda w: F.when(F.rlike(w, F.lit(RANDOM[1])), 1).when(F.rlike(w, F.lit(RANDOM[2])), 2).otherwise(3)
+    words = F.concat(F.transform(random, lambda w: F.struct(w.alias("word"), notation(w).alias("label"))),
                      F.transform(_all(plain, f"{WORD}{{{min_length},}}"), lambda w: F.struct(w.alias("word"), F.lit(0).alias("label"))))
     return rows.select(F.inline(words)).distinct()
 
@@ -76,24 +80,28 @@ def _steps(word: str) -> Column:
 
 
 def train(samples: DataFrame, smoothing: int = 1) -> DataFrame:
-    """Labelled ``samples (word, label)`` -> one row ``ratios``: for each cell (before, after) the log of its probability
-    among random strings over that among ordinary ones, in thousandths, rounded down. Unseen transitions count ``smoothing``."""
+    """Labelled ``samples (word, label)`` -> one row ``r1, r2, r3``: for each notation and cell (before, after) the log of its
+    probability there over that among ordinary words, in thousandths, rounded down. Unseen transitions count ``smoothing``."""
+    labels = [0, *RANDOM]
     cells = (samples.where("word <> ''").select("label", F.explode(_steps("word")).alias("cell"))
-             .groupBy("cell").agg(*[F.count_if(F.col("label") == k).alias(f"n{k}") for k in (0, 1)]))
+             .groupBy("cell").agg(*[F.count_if(F.col("label") == k).alias(f"n{k}") for k in labels]))
     grid = samples.sparkSession.range(SIZE * SIZE).select(F.col("id").cast("int").alias("cell"))
-    rows = grid.join(cells, "cell", "left").select("cell", *[F.coalesce(f"n{k}", F.lit(0)).alias(f"n{k}") for k in (0, 1)])
-    before = Window.partitionBy((F.col("cell") / SIZE).cast("int"))
-    chance = [(F.col(f"n{k}") + smoothing).cast("double") / (F.sum(f"n{k}").over(before) + smoothing * SIZE).cast("double") for k in (0, 1)]
-    ratio = F.floor(F.lit(1000.0) * F.log(chance[1] / chance[0])).cast("int")
-    rows = rows.select("cell", ratio.alias("ratio"))
-    return materialize(rows.agg(F.expr("transform(sort_array(collect_list(struct(cell, ratio))), x -> x.ratio)").alias("ratios")), "markov")
+    rows = grid.join(cells, "cell", "left").select("cell", *[F.coalesce(f"n{k}", F.lit(0)).alias(f"n{k}") for k in labels])
+    before, all_cells = Window.partitionBy((F.col("cell") / SIZE).cast("int")), Window.partitionBy(F.lit(0))  # of 68 x 68 rows
+    chance = {k: (F.col(f"n{k}") + smoothing).cast("double") / (F.sum(f"n{k}").over(before) + smoothing * SIZE).cast("double") for k in labels}
+    ratio = {k: F.when(F.sum(f"n{k}").over(all_cells) > 0, F.floor(F.lit(1000.0) * F.log(chance[k] / chance[0])).cast("int")).otherwise(NEVER)
+             for k in RANDOM}
+    rows = rows.select("cell", *[x.alias(f"r{k}") for k, x in ratio.items()])
+    return materialize(rows.agg(*[F.expr(f"transform(sort_array(collect_list(struct(cell, r{k}))), x -> x.r{k})").alias(f"r{k}") for k in RANDOM]), "markov")
 
 
 def score(word: str, model: DataFrame) -> Column:
-    """Log-likelihood ratio of a column of words, in thousandths of a nat."""
-    ratios = model.select(F.array_join(F.col("ratios").cast("array<string>"), ",")).first()[0]  # 68 x 68 whole numbers
-    table = F.split(F.lit(ratios), ",").cast("array<int>")
-    return F.aggregate(F.transform(_steps(word), lambda c: table[c].cast("bigint")), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    """Log-likelihood ratio of a column of words, in thousandths of a nat: that of the likeliest notation."""
+    row = model.select(*[F.array_join(F.col(f"r{k}").cast("array<string>"), ",") for k in RANDOM]).first()  # 3 x 68 x 68 whole numbers
+    tables = [F.split(F.lit(x), ",").cast("array<int>") for x in row]
+    total = lambda table, steps: F.aggregate(steps, F.lit(0).cast("bigint"), lambda s, c: s + table[c].cast("bigint"))
+    return F.when(F.length(col(word)) > 0, let(_steps(word), lambda steps: F.greatest(*[total(t, steps) for t in tables]))).otherwise(
+        F.when(col(word).isNotNull(), F.lit(0).cast("bigint")))
 
 
 def find_spans(docs: DataFrame, model: DataFrame, carry: list[str], text_col: str = "text", min_length: int = 16,

@@ -30,7 +30,10 @@ def key(rng, n=40, letters=S.ALPHABET[:62]):
 
 def texts():
     rng = random.Random(11)
-    words = "the quick brown fox configuration_value getUserName maximum_length_of_the_buffer internationalization 2010-2014 under_score".split()
+    parts = "an be con de ed er for get in ing ion iv le me na of on per re st ter the ti un user val".split()
+    words = ["".join(rng.choices(parts, k=rng.randint(2, 6))) for _ in range(3000)]
+    words += [w.capitalize() for w in words[:500]] + [w.upper() for w in words[500:700]] + [f"{a}_{b}" for a, b in zip(words[:300], words[300:600])]
+    words += ["getUserName", "maximum_length_of_the_buffer", "internationalization", "2010-2014-2015-2016"]
     plain = [" ".join(rng.choices(words, k=60)) for _ in range(300)]
     secrets = {f"ghp_{key(rng, 36)}", key(rng), base64.b64encode(rng.randbytes(30)).decode(), key(rng, 32, "0123456789ABCDEF")}
     rows = plain + [f"é😀 {x} {s} tail" for x, s in zip(plain, sorted(secrets))]
@@ -42,7 +45,7 @@ def texts():
 def test_patterns_equal_pythons_and_random_words_are_found(spark):
     rows, secrets = texts()
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(rows)] + [(0, rows[0], 1, "x"), (None, None, None, None)], DOCS).repartition(4)
-    model = S.train(S.labelled_samples(docs))
+    model = S.train(S.labelled_samples(docs.where("doc_id < 300")))  # without the planted words
     got = S.find_spans(docs, model, ["doc_id", "k"]).collect()
     assert len(got) == len(rows) + 2
     found = set()
@@ -52,12 +55,13 @@ def test_patterns_equal_pythons_and_random_words_are_found(spark):
         assert [x for x in spans if x[1] < 3] == base(text)
         assert spans == sorted(spans)
         found |= {text[s:e] for s, k, e in spans if k == 3}
-    assert found - {"-" * 200, "x" * 15 + "-" * 200} == secrets
+    assert found - {"-" * 200, "x" * 15 + "-" * 200, "abcdefghijklmnop"} == secrets
 
 
 def test_model_is_the_count_of_transitions(spark):
     rows = [("ab1", 1), ("abab", 1), ("b=é", 1), ("aab", 0), ("", 0)]
-    ratios = S.train(spark.createDataFrame(rows, "word string, label int")).first()[0]
+    model = S.train(spark.createDataFrame(rows, "word string, label int"))
+    ratios, *others = model.first()
     n, total = [Counter(), Counter()], [defaultdict(int), defaultdict(int)]
     for w, k in rows:
         at = [0] + [S.ALPHABET.find(c) + 1 for c in w]
@@ -68,8 +72,9 @@ def test_model_is_the_count_of_transitions(spark):
     want = [math.floor(1000 * math.log((n[1][a, b] + 1) / (total[1][a] + size) / ((n[0][a, b] + 1) / (total[0][a] + size))))
             for a in range(size) for b in range(size)]
     assert len(ratios) == size * size and max(abs(x - y) for x, y in zip(ratios, want)) <= 1
+    assert all(set(x) == {S.NEVER} for x in others)  # notations without samples
     words = spark.createDataFrame([("ab1",), ("",), ("zz",)], "word string")
-    got = [r[0] for r in words.select(S.score("word", spark.createDataFrame([(ratios,)], "ratios array<int>"))).collect()]
+    got = [r[0] for r in words.select(S.score("word", model)).collect()]
     cell = lambda w: sum(ratios[a * size + b] for a, b in zip([0] + [S.ALPHABET.find(c) + 1 for c in w], [S.ALPHABET.find(c) + 1 for c in w]))
     assert got == [cell("ab1"), 0, cell("zz")]
 
@@ -78,7 +83,7 @@ def test_samples_are_bounded_by_rows(spark):
     rows, _ = texts()
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)] + [(1, rows[1])] * 50, "doc_id bigint, text string")
     sample = S.labelled_samples(docs, max_rows=20)
-    assert sample.where("label = 1").count() >= 3 * 18 and sample.where("label = 0").count() > 0
+    assert min(sample.where(f"label = {k}").count() for k in S.RANDOM) >= 18 and sample.where("label = 0").count() > 0
     assert sample.count() == sample.distinct().count()
     assert S.labelled_samples(docs.limit(0)).count() == 0
 
