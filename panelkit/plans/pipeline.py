@@ -127,10 +127,11 @@ def new_files(spark: SparkSession, landing_dir: str, manifest: str) -> DataFrame
 
 def latest_rows(rows: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Each key's row of the latest landing (``landed``, then ``file``): a partially aggregated maximum,
-    so a key that was downloaded very often collapses in the map tasks."""
+    so a key that was downloaded very often collapses in the map tasks. The aggregation sorts by its keys:
+    the first of them, mostly the same in all rows, comes last, so that rows differ in what is compared first."""
     rest = [c for c in rows.columns if c not in key]
     newest = F.max_by(F.struct(*rest), F.struct("landed", "file", F.coalesce("value", F.lit(float("-inf"))))).alias("x")
-    return rows.groupBy(*key).agg(newest).select(*[f"x.{c}" if c not in key else c for c in rows.columns])
+    return rows.groupBy(*key[1:], key[0]).agg(newest).select(*[f"x.{c}" if c not in key else c for c in rows.columns])
 
 
 def ingest_indicators(spark: SparkSession, landing_dir: str, out_dir: str,

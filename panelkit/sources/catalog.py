@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import bytes_to_mb, decoded_path, round_half_up
+from panelkit.session import materialize
 
 _SPLIT = ["path", "block"]
+_FILE = ["name", "length", "mtime"]  # the same in every split: keys, so that what is aggregated are numbers and needs no sort
 
 
 def _commas(line: Column, quoted: int) -> Column:
@@ -30,7 +32,7 @@ def _lines(spark: SparkSession, folder: str, opts: dict) -> DataFrame:
     meta, line = F.col("_metadata"), F.col("value")
     quotes = F.length(line) - F.length(F.translate(line, '"', ""))
     any_quote = F.instr(line, '"') > 0
-    plain = F.length(line) - F.length(F.translate(line, ",", ""))
+    plain = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(","), F.lit("")))  # of every line: translate() looks up each character
     return spark.read.options(**opts).text(folder).select(
         meta.file_path.alias("path"), meta.file_block_start.alias("block"), meta.file_name.alias("name"), meta.file_size.alias("length"),
         meta.file_modification_time.alias("mtime"), F.monotonically_increasing_id().alias("at"),
@@ -53,18 +55,20 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
     2. Lines with an odd number of quotes and blank lines, the only ones whose parity matters one by
        one, are numbered within their split; line numbers are consecutive there, so the lines between
        two of them are a difference. A file without such lines adds nothing to this step.
-    3. The parity before each split: a running sum over the splits of a file (a row each)."""
+    3. The parity before each split: a running sum over the splits of a file (a row each).
+
+    The text is read once; a second time only if a file's header goes on over several lines."""
     opts = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower()}
     lines = _lines(spark, folder, opts)
     # one row for a split's ordinary lines, one for each odd or blank line
-    rows = lines.groupBy(*_SPLIT, F.when(F.col("odd") | F.col("blank"), F.col("at")).alias("mark")).agg(
-        *[F.first(c).alias(c) for c in ("name", "length", "mtime")], F.min("at").alias("first"), F.count(F.lit(1)).alias("n"),
+    rows = lines.groupBy(*_SPLIT, *_FILE, F.when(F.col("odd") | F.col("blank"), F.col("at")).alias("mark")).agg(
+        F.min("at").alias("first"), F.count(F.lit(1)).alias("n"),
         F.max("odd").alias("odd"), F.max("blank").alias("blank"), F.min_by("commas0", "at").alias("commas"), F.min_by("odd", "at").alias("open"))
     # odd lines o1 < o2 < ...: the parity after a line is odd from o1 to the line before o2, from o3 on, ...
     rows = rows.withColumn("k", F.sum(F.col("odd").cast("long")).over(Window.partitionBy(*_SPLIT).orderBy(F.asc_nulls_first("mark"))))
     k, at = F.col("k"), F.col("mark").bitwiseAND(F.lit((1 << 33) - 1))
-    held = rows.groupBy(*_SPLIT).agg(
-        *[F.first(c).alias(c) for c in ("name", "length", "mtime")], F.min("first").alias("first"), F.sum("n").alias("n"),
+    held = rows.groupBy(*_SPLIT, *_FILE).agg(
+        F.min("first").alias("first"), F.sum("n").alias("n"),
         F.count_if("odd").alias("odds"), F.min_by("commas", "first").alias("commas"), F.min_by("open", "first").alias("open"),
         F.sum(F.when(F.col("odd"), F.when(k % 2 == 0, at).otherwise(-at)).otherwise(0)).alias("odd_lines"),
         F.count_if(F.col("blank") & (k % 2 == 0)).alias("blank_even"), F.count_if(F.col("blank") & (k % 2 == 1)).alias("blank_odd"),
@@ -80,13 +84,17 @@ def data_catalog(spark: SparkSession, folder: str, pattern: str = "*.csv",
                  # a record that the file's end cuts off counts
                  F.greatest(F.sum("ends") + F.sum("odds") % 2 - 1, F.lit(0)).cast("bigint").alias("rows"),
                  *[F.min_by(c, "block").alias(c) for c in ("commas", "open", "first", "second")]))
+    files = materialize(files, "catalog")  # a row a file
+    columns = F.col("commas") + 1
+    if not files.where("open").limit(1).collect():
+        return _finish(files.withColumn("columns", columns.cast("bigint")))
     # a header over several lines: those after its first begin inside quotes
     long = files.where("open").select(F.col("path").alias("p"), "first", "second")
     rest = (lines.where("block = 0").join(long, (F.col("path") == F.col("p")) & (F.col("at") > F.col("first"))
                                           & ((F.col("at") <= F.col("second")) | F.col("second").isNull()))
             .groupBy("p").agg(F.sum("commas1").alias("more")))
     files = files.join(rest, files["path"] == rest["p"], "left")
-    return _finish(files.withColumn("columns", (F.col("commas") + F.coalesce("more", F.lit(0)) + 1).cast("bigint")))
+    return _finish(files.withColumn("columns", (columns + F.coalesce("more", F.lit(0))).cast("bigint")))
 
 
 def _finish(files: DataFrame) -> DataFrame:

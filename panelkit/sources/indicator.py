@@ -63,10 +63,13 @@ def payload_rejects(text: DataFrame, column: str = "value") -> DataFrame:
 
 
 def _tidy(rows: DataFrame, cell, keep: list[str]) -> DataFrame:
-    """Rows of text cells -> FLAT_COLUMNS, ``keep`` and ``reason``: the first cell that does not parse."""
+    """Rows of text cells -> FLAT_COLUMNS, ``keep``, ``reason``: the first cell that does not parse, and ``_pk_at``.
+
+    ``_pk_at`` is no fixed function of the row: a filter that names it (:func:`_settled`) stays above the
+    parsed cells, where the optimiser would otherwise parse every cell once for the filter and again for the row."""
     ind, ctry = cell("indicator"), cell("country")
     year, value = F.expr("try_cast(date AS bigint)"), F.expr("try_cast(value AS double)")
-    out = rows.withColumns({"_i": ind, "_c": ctry, "_y": year, "_v": value})
+    out = rows.withColumns({"_i": ind, "_c": ctry, "_y": year, "_v": value, "_pk_at": F.spark_partition_id()})
     unread = lambda c: F.col(c).isNotNull() & F.col(f"_{c[0]}._pk_bad").isNotNull()
     reason = F.coalesce("reason", F.when(unread("indicator"), "indicator").when(unread("country"), "country")
                         .when(F.col("date").isNotNull() & F.col("_y").isNull(), "date")
@@ -75,7 +78,7 @@ def _tidy(rows: DataFrame, cell, keep: list[str]) -> DataFrame:
         F.col("_i.id").alias("indicator_id"), F.col("_i.value").alias("indicator_name"),
         F.col("_c.id").alias("country_id"), F.col("_c.value").alias("country"),
         F.col("countryiso3code").alias("iso3"), F.col("_y").alias("year"), F.col("_v").alias("value"),
-        *keep, reason.alias("reason"))
+        *keep, reason.alias("reason"), "_pk_at")
 
 
 def _pair(text: Column, options: dict) -> Column:
@@ -86,13 +89,13 @@ def _pair(text: Column, options: dict) -> Column:
 def _settled(marked: DataFrame, on_broken: str, keep: list[str]) -> DataFrame:
     """Rows with a ``reason``: an error, left out, or handed on (``mark``)."""
     if on_broken == "mark":
-        return marked
+        return marked.drop("_pk_at")
     if on_broken == "skip":
-        return marked.where("reason IS NULL").select(*FLAT_COLUMNS, *keep)
+        return marked.where("reason IS NULL AND _pk_at >= 0").select(*FLAT_COLUMNS, *keep)
     if on_broken != "fail":
         raise ValueError("on_broken: fail, skip or mark")
     said = F.concat(F.lit("broken "), F.col("reason"), F.lit(": "), F.substring(F.coalesce("record", F.lit("NULL")), 1, 200))
-    return (marked.where(F.when(F.col("reason").isNotNull(), F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
+    return (marked.where(F.when(F.col("reason").isNotNull(), F.raise_error(said).cast("boolean")).otherwise(F.col("_pk_at") >= 0))
             .select(*FLAT_COLUMNS, *keep))
 
 
