@@ -133,14 +133,16 @@ def read_indicator_csv(spark: SparkSession, pattern: str, tag: str = "source",
     ``from_json`` (single quotes allowed), the same tidy columns as
     :func:`parse_envelopes`, plus the ``raw_<file stem>`` table name (or
     ``raw_<group 1 of tag_regex>`` on the path). Records and cells that do not parse: as there;
-    ``"mark"`` adds ``file``, ``record`` and ``reason``."""
+    ``"mark"`` adds ``file``, ``record`` and ``reason`` (both NULL for good rows)."""
     raw = tag_source(bound_csv(spark, pattern, RAW_CSV_SCHEMA), tag, tag_regex)
     raw = raw.select(*_CELLS, tag, decoded_path("_metadata.file_path").alias("file"),
-                     F.when(F.col(RECORD).isNotNull(), "record").alias("reason"),
-                     F.coalesce(RECORD, F.to_csv(F.struct(*_CELLS))).alias("record"))
+                     F.when(F.col(RECORD).isNotNull(), "record").alias("reason"), RECORD, F.struct(*_CELLS).alias("_pk_cells"))
     # Python writes None where JSON has null.
     cell = lambda c: _pair(F.regexp_replace(c, r":\s*None\s*([,}])", ": null$1"), {"allowSingleQuotes": "true"})
-    marked = _tidy(raw, cell, [tag, "file", "record"])
+    marked = _tidy(raw, cell, [tag, "file", RECORD, "_pk_cells"])
+    # written as text for rejected rows only
+    record = F.when(F.col("reason").isNotNull(), F.coalesce(RECORD, F.to_csv("_pk_cells")))
+    marked = marked.withColumn("record", record).select(*FLAT_COLUMNS, tag, "file", "record", "reason", "_pk_at")
     return _settled(marked, on_broken, [tag])
 
 

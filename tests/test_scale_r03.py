@@ -40,3 +40,15 @@ def test_catalog_reads_the_text_once(spark, tmp_dir):
         f.write('x,"y\nz,",w\n1,2,3\n')
     got = {r.filename: (r.rows, r.columns) for r in data_catalog(spark, tmp_dir).collect()}
     assert got["long.csv"] == (1, 3) and len(got) == 2
+
+
+def test_records_are_kept_for_rejected_rows_only(spark, tmp_dir):
+    with open(f"{tmp_dir}/worldbank_x.csv", "w") as f:
+        f.write("indicator,country,countryiso3code,date,value\n"
+                + "".join(f"\"{{'id': 'I', 'value': 'i'}}\",\"{{'id': 'C', 'value': 'c'}}\",CCC,{y},{v}\n" for y, v in ((2000, 1.5), (2001, "n/a"))))
+    rows, rejects, report = extract_indicators(spark, f"{tmp_dir}/worldbank_*.csv", f"{tmp_dir}/out")
+    assert [(r.year, r.value) for r in rows.collect()] == [(2000, 1.5)]
+    assert [(r.reason, "n/a" in r.record) for r in rejects.collect()] == [("value", True)]
+    assert [(r.rows, r.rejected) for r in report.collect()] == [(1, 1)]
+    stored = spark.read.parquet(f"{tmp_dir}/out/raw_indicators.parquet")
+    assert stored.where(~F.col("rejected") & F.col("record").isNotNull()).count() == 0
