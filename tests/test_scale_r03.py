@@ -52,3 +52,19 @@ def test_records_are_kept_for_rejected_rows_only(spark, tmp_dir):
     assert [(r.rows, r.rejected) for r in report.collect()] == [(1, 1)]
     stored = spark.read.parquet(f"{tmp_dir}/out/raw_indicators.parquet")
     assert stored.where(~F.col("rejected") & F.col("record").isNotNull()).count() == 0
+
+
+def _tables(spark, d):
+    spark.range(40).selectExpr("id % 8 AS l_orderkey", "id % 5 AS l_partkey", "1.25D AS l_extendedprice", "2D AS l_quantity", "0.1D AS l_discount",
+                               "0.2D AS l_tax", "timestamp'1997-05-01' AS l_shipdate").write.parquet(f"{d}/lineitem.parquet")
+    spark.range(8).selectExpr("id AS o_orderkey", "id % 2 AS o_custkey", "date'1997-01-01' AS o_orderdate").write.parquet(f"{d}/orders.parquet")
+    spark.range(2).selectExpr("id AS c_custkey", "id AS c_nationkey").write.parquet(f"{d}/customer.parquet")
+    spark.range(2).selectExpr("id AS n_nationkey", "concat('N', id) AS n_name").write.parquet(f"{d}/nation.parquet")
+
+
+def test_part_panel_deals_lines_before_it_sums(spark, tmp_dir):
+    _tables(spark, tmp_dir)
+    got = part_panel(spark, tmp_dir)
+    assert sorted((r.l_partkey, r.ship_year, r.revenue, r.line_count) for r in got.collect()) == [(k, 1997, 10.0, 8.0) for k in range(5)]
+    plan = _plan(part_panel(spark, tmp_dir))
+    assert plan.rindex("HashAggregate") < plan.index("Exchange")  # no sums in the scan's tasks, whose share grows with the table
