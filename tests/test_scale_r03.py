@@ -68,3 +68,12 @@ def test_part_panel_deals_lines_before_it_sums(spark, tmp_dir):
     assert sorted((r.l_partkey, r.ship_year, r.revenue, r.line_count) for r in got.collect()) == [(k, 1997, 10.0, 8.0) for k in range(5)]
     plan = _plan(part_panel(spark, tmp_dir))
     assert plan.rindex("HashAggregate") < plan.index("Exchange")  # no sums in the scan's tasks, whose share grows with the table
+
+
+def test_nation_panel_deals_lines_before_it_sums(spark, tmp_dir):
+    _tables(spark, tmp_dir)
+    got = nation_panel(spark, tmp_dir)
+    assert sorted((r.n_name, r.revenue, r.line_count) for r in got.collect()) == [("N0", 25.0, 20.0), ("N1", 25.0, 20.0)]
+    plan = _plan(nation_panel(spark, tmp_dir))
+    below = plan[plan.rindex("HashAggregate(keys=[l_orderkey"):].splitlines()[1:]
+    assert "Exchange" in "".join(below[:2])
