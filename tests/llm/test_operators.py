@@ -254,6 +254,51 @@ def test_passages_against_brute_force():
     assert 20 < hits < 140
 
 
+def test_dense_places_hold_all_similar_passages():
+    rn = random.Random(8)
+    for _ in range(200):
+        pool = [rn.randrange(1 << 30) for _ in range(rn.choice([3, 20]))]
+        a, b = (np.array([rn.choice(pool) if rn.random() < 0.85 else rn.randrange(1 << 40) for _ in range(40)]) for _ in range(2))
+        _, at, times = np.unique(a, return_inverse=True, return_counts=True)
+        dense = compact_windows._dense(compact_windows._before(at), times[at], np.isin(a, b), 80, 8)
+        for n in (8, 11, 15):
+            assert compact_windows._sliding(compact_windows._before(at), n).tolist() == [len(set(a[i:i + n].tolist())) for i in range(41 - n)]
+            sets = [set(b[j:j + k].tolist()) for k in (8, 11, 15) for j in range(41 - k)]
+            for i in range(41 - n):
+                u = set(a[i:i + n].tolist())
+                if any(100 * len(u & w) >= 80 * len(u | w) for w in sets):
+                    assert dense[i:i + n].all()
+
+
+def test_last_turn_leaves_out_windows_that_share_a_line_only(spark, monkeypatch):
+    """Texts that have but a line in common are not paired, those that share a passage are."""
+    rn = random.Random(12)
+    word = lambda: "".join(rn.choice("abcdefgh") for _ in range(9))
+    line, body = [word() for _ in range(30)], [word() for _ in range(60)]
+    rows = [(i, " ".join([word() for _ in range(40)] + line + [word() for _ in range(40)])) for i in range(60)]
+    rows += [(i, " ".join([word() for _ in range(40)] + body + [word() for _ in range(40)])) for i in (60, 61)]
+    seen, whole = [], compact_windows._cross_pairs
+
+    def counted(windows, p):
+        pairs, tasks = whole(windows, p)
+        seen.append(pairs.count())
+        return pairs, tasks
+
+    monkeypatch.setattr(compact_windows, "_cross_pairs", counted)
+    _, members = compact_windows.near_passages(frame(spark, rows), carry=["doc_id"])
+    assert {r.doc_id: r["class"] for r in members.collect()} == {i: min(i, 60) for i, _ in rows}
+    assert seen == [0]
+
+
+def test_passages_of_repeated_words_are_searched_once():
+    """Regions within another are dropped, and runs of repeated words that share no passage need no search."""
+    assert compact_windows._widest([(0, 90, 0, 80), (5, 60, 5, 50), (0, 90, 0, 80), (100, 200, 0, 80)]) == [(100, 200, 0, 80), (0, 90, 0, 80)]
+    run = lambda *n: np.concatenate([np.full(k, v, np.uint64) for v, k in n])
+    assert compact_windows.passages(run((1, 30), (2, 30), (3, 30)), run((4, 40), (2, 40), (5, 40)), 80) == []
+    got = compact_windows.passages(run((1, 60), (2, 30)), run((3, 30), (1, 70)), 80)
+    assert got and all(x[4] * 100 >= 80 * x[5] for x in got)
+
+
 def test_crossed_pairs_are_all_pairs(spark, monkeypatch):
     rn = random.Random(6)
     monkeypatch.setattr(compact_windows, "CROSS", 40)
