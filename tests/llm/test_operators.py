@@ -308,6 +308,33 @@ def test_crossed_pairs_are_all_pairs(spark, monkeypatch):
     assert got == sorted((x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] > y[1] and x[6] != y[6])
 
 
+def test_last_turn_in_rounds_gives_all_pairs(spark, monkeypatch):
+    """Rounds of a few pairs meet every pair across classes once, and no round has many more than are stored at a time."""
+    rn = random.Random(9)
+    rows = [(rn.choice([1, 1, 1, 2, 3]), i, 0, i, i + 3, i + 50, rn.choice([1, 1, 1, 2, 3])) for i in range(120)]
+    windows = spark.createDataFrame(rows, "sig bigint, x bigint, f tinyint, lx int, cx int, rx int, class bigint")
+    monkeypatch.setattr(compact_windows, "DEALT", 200)
+    got = [[(r.x, r.y) for r in compact_windows._cross_pairs(w, 2)[0].collect()] for w in compact_windows._rounds(windows, 2)]
+    want = sorted((x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] > y[1] and x[6] != y[6])
+    assert sorted(x for r in got for x in r) == want and len(want) > 1200
+    assert max(map(len, got)) < 800
+    monkeypatch.undo()
+    assert [w for w in compact_windows._rounds(windows, 2)] == [windows]
+
+
+def test_texts_of_no_class_are_not_shuffled_for_their_class(spark):
+    """Of many texts those that a few keys name are shuffled, the others are worked on where they are read."""
+    rows = spark.range(5000).selectExpr("id AS key", "encode(repeat(cast(id AS string), 3), 'UTF-8') AS text")
+    keys = spark.range(3, 8).selectExpr("id AS key")
+    some = compact_windows._squeezed_with(rows, keys)
+    assert {r.key for r in some.collect()} >= set(range(3, 8)) and some.count() < 50
+    back = some.mapInArrow(compact_windows._whole, "key bigint, text binary").collect()
+    assert all(bytes(r.text).decode() == 3 * str(r.key) for r in back)
+    rest = compact_windows.without_any_key(rows, keys, compact_windows._own_class, "key bigint, text binary, class bigint")
+    assert "Exchange" not in rest._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.key for r in [*rest.collect(), *back]) == list(range(5000)) and rest.where("key <> class").count() == 0
+
+
 # -- 4 -----------------------------------------------------------------------
 
 def brute_statistics(t):
