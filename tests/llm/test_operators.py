@@ -335,6 +335,19 @@ def test_texts_of_no_class_are_not_shuffled_for_their_class(spark):
     assert sorted(r.key for r in [*rest.collect(), *back]) == list(range(5000)) and rest.where("key <> class").count() == 0
 
 
+def test_stored_leaves_no_shuffle_files(spark):
+    """The shuffle files of a stage go when its table is written, so that the disk does not hold those of all stages."""
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f.rsplit("/", 1)[-1] for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(key)
+    got = compact_windows._stored(spark.range(10_000).selectExpr("xxhash64(id) AS h").repartition(3, "h"), "test")
+    assert not files() - before and spark.conf.get(key) == was
+    assert got.count() == 10_000
+
+
 # -- 4 -----------------------------------------------------------------------
 
 def brute_statistics(t):
